@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 NBSP = " "
 
-# Java regex with UNICODE_CHARACTER_CLASS: \s covers nbsp and the other
-# Unicode spaces, as Python's str.strip()/split() do.
-_EDGE_WS = r"(?U)^\s+|\s+$"
-_RUN_WS = r"(?U)\s+"
+# The whitespace set of Python's str.isspace() (what str.strip()/split() use),
+# generated by rule: nbsp, the Unicode spaces and the ASCII controls 9-13, 28-31.
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+_WS_CLASS = "[" + "".join("\\x{%04X}" % ord(ch) for ch in WHITESPACE) + "]"
+_RUN_WS = _WS_CLASS + "+"
 
 
 def _c(c) -> Column:
@@ -27,7 +28,7 @@ def _c(c) -> Column:
 
 def strip(c) -> Column:
     """SC1: trim Unicode whitespace (nbsp included) on both ends; null kept."""
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def collapse_spaces(c) -> Column:

@@ -21,13 +21,16 @@ from quorum.functions.predicates import is_blank
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only if it has at most ``max_rows`` rows.
-
-    The check is a count over the (small) dimension; a dimension that grows
-    past the bound is joined with a shuffle join instead.
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      bound: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``dim`` only if it provably has at most ``max_rows`` rows.
+
+    ``bound`` is a table with at least as many rows as ``dim`` (e.g. the raw
+    sheet before deduplication), cheaper to count; by default ``dim`` itself.
+    A dimension past the bound is joined with a shuffle join instead (and
+    AQE may still broadcast it if its measured size turns out small).
     """
-    n = dim.limit(max_rows + 1).count()
+    n = (dim if bound is None else bound).limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 
@@ -45,8 +48,8 @@ def keep_first(df: DataFrame, keys, values, order: str) -> DataFrame:
 
 
 def _join_dim(fact: DataFrame, dim: DataFrame, fact_key: Column, dim_key: str,
-              null_safe: bool, max_rows: int) -> DataFrame:
-    dim = bounded_broadcast(dim, max_rows)
+              null_safe: bool, max_rows: int, bound: DataFrame | None = None) -> DataFrame:
+    dim = bounded_broadcast(dim, max_rows, bound)
     fk = "__fk"
     f = fact.withColumn(fk, fact_key)
     cond = f[fk].eqNullSafe(dim[dim_key]) if null_safe else (f[fk] == dim[dim_key])
@@ -69,7 +72,7 @@ def contract(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
                         F.col(order).alias("__o")))
     dim = keep_first(dim, "__dk", ["__dv"], "__o")
     fact = fact.withColumn(local, tx.strip(F.col(f"`{local}`")))
-    out_df = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", True, max_rows)
+    out_df = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", True, max_rows, sheet)
     return out_df.withColumn(out, F.col("__dv")).drop("__dv")
 
 
@@ -92,7 +95,7 @@ def edited_place(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
         fact = fact.withColumn(out, F.lit(None).cast("string"))
     fact = fact.withColumns({local: tx.strip(F.col(f"`{local}`")),
                              out: tx.strip(F.col(f"`{out}`"))})
-    j = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", False, max_rows)
+    j = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", False, max_rows, sheet)
     new = F.col("__dv")
     found = new.isNotNull() & (new != "")
     same = found & (F.coalesce(F.col(f"`{out}`"), F.lit("")) == F.coalesce(new, F.lit("")))
@@ -120,7 +123,7 @@ def target(fact: DataFrame, sheet: DataFrame, cls: str = "CLASSIFICACAO",
            .where(F.col("__dk") != ""))
     dim = keep_first(dim, "__dk", ["__dv", "__dg"], "__o")
     fact = fact.withColumn(cls, tx.strip(F.col(f"`{cls}`"))).drop(out, found_col)
-    j = _join_dim(fact, dim, tx.meta_key(F.col(f"`{cls}`")), "__dk", False, max_rows)
+    j = _join_dim(fact, dim, tx.meta_key(F.col(f"`{cls}`")), "__dk", False, max_rows, sheet)
     return j.withColumnsRenamed({"__dv": out, "__dg": found_col})
 
 

@@ -12,7 +12,7 @@ from quorum.config.classification import CLASSIFICATION_RULES, CLASS_NAMES, DELI
 from quorum.config import operator as ocfg
 from quorum.functions.text import fold_key_py
 
-WS = r"[\t-\r\x{85}\pZ]"
+WS = r"[\t-\r\x{1C}-\x{1F}\x{85}\pZ]"
 
 
 def s(v: str) -> str:
