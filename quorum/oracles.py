@@ -225,3 +225,24 @@ def group_case(col: str) -> str:
         for c in classes:
             parts.append(f"WHEN {s(fold_key_py(c))} THEN {s(g)}")
     return f"CASE {fold_key(col)} " + " ".join(parts) + " END"
+
+
+def class_prep(src: str, rules=None) -> str:
+    """Prepared rule inputs with per-rule match flags __m1..__mn, first match
+    __fm and the input-blank flag __ob (for the audit oracles)."""
+    rules = CLASSIFICATION_RULES if rules is None else rules
+    n = len(rules)
+    prep = f"""SELECT * REPLACE (TRY_CAST(TIPO AS DOUBLE) AS TIPO, lower({strip('CONTRATACAO')}) AS CONTRATACAO,
+  {strip('LOCAL')} AS LOCAL, {strip('ESPECIALIDADE')} AS ESPECIALIDADE, {strip('CLASSIFICACAO')} AS CLASSIFICACAO)
+FROM {src}"""
+    ms = ", ".join(f"{class_mask(r)} AS __m{k}" for k, r in enumerate(rules, 1))
+    fm = "CASE " + " ".join(f"WHEN __m{k} THEN {k}" for k in range(1, n + 1)) + " END"
+    return f"""SELECT *, {fm} AS __fm, {blank('CLASSIFICACAO')} AS __ob FROM (SELECT *, {ms} FROM ({prep}))"""
+
+
+def rule_meta_values(rules=None) -> str:
+    """VALUES table (k, lista, chave, nome) of the rules."""
+    rules = CLASSIFICATION_RULES if rules is None else rules
+    rows = [f"({k}, {s(r['nome_lista'])}, {s(r['grupo_classificacao'])}, {s(class_name(r['grupo_classificacao']))})"
+            for k, r in enumerate(rules, 1)]
+    return f"(SELECT * FROM (VALUES {', '.join(rows)}) AS t(k, lista, chave, nome))"

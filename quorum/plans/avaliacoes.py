@@ -42,3 +42,18 @@ def persist_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFram
     """Cut lineage by writing a Parquet table to shared storage and reading it back."""
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def step_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a step's output once under the session's shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the written table.
+
+    Several reports read the same step output; writing it once cuts the
+    lineage (an executor loss re-reads files instead of replaying the
+    pipeline), keeps downstream plans small, and gives the reports column
+    pruning and filter pushdown on Parquet.
+    """
+    import uuid
+    from quorum.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    return persist_table(df, f"{base}/quorum-steps/{name}-{uuid.uuid4().hex}")

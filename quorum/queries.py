@@ -14,6 +14,7 @@ from quorum import oracles as O
 from quorum import survey as S
 from quorum.operators import clean, lookup, operator_rules, rules, score
 from quorum.plans import avaliacoes as PL
+from quorum.session import configure
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -24,7 +25,11 @@ KEYS_SQL = ", ".join(KEYS)
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            configure(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -141,3 +146,463 @@ def pl1_scored_pipeline(spark, d):
     df = PL.scored_pipeline(S.survey(spark, d), S.contract_sheet(spark, d), S.edited_sheet(spark, d),
                             S.unit_sheet(spark, d), S.meta_sheet(spark, d))
     return df.select(*KEYS, *[q(c) for c in _PL1_COLS])
+
+
+# ======================================================================
+# Named pipeline stages (Spark side) and their SQL CTEs (oracle side)
+# ======================================================================
+from quorum.functions import schema as SCH  # noqa: E402
+from quorum.functions.predicates import is_blank  # noqa: E402
+from quorum.operators import route as R  # noqa: E402
+from quorum.operators import summary as SM  # noqa: E402
+
+
+_STEP_TABLES: dict = {}
+
+
+def _step(spark, d, name, build):
+    """A pipeline step output written once per session and data folder
+    (see :func:`quorum.plans.avaliacoes.step_table`) and shared by the
+    reports that read it."""
+    key = (id(spark._jsparkSession), d, name)
+    if key not in _STEP_TABLES:
+        _STEP_TABLES[key] = PL.step_table(build(), name)
+    return _STEP_TABLES[key]
+
+
+def _pl1_full(spark, d):
+    return _step(spark, d, "avaliacoes", lambda: PL.scored_pipeline(
+        S.survey(spark, d), S.contract_sheet(spark, d), S.edited_sheet(spark, d),
+        S.unit_sheet(spark, d), S.meta_sheet(spark, d)))
+
+
+def _pl2_full(spark, d):
+    return _step(spark, d, "negativas", lambda: PL.negative_pipeline(
+        S.negatives(spark, d), S.contract_sheet(spark, d), S.edited_sheet(spark, d)))
+
+
+def _routed(spark, d):
+    return R.route({"avaliacoes": _pl1_full(spark, d), "negativas": _pl2_full(spark, d)})
+
+
+def _edited_action(spark, d):
+    return lookup.edited_place(_classified(spark, d), S.edited_sheet(spark, d))
+
+
+def _targeted(spark, d):
+    return lookup.target(_classified(spark, d), S.meta_sheet(spark, d))
+
+
+_SQL_PL1_STEPS = [
+    ("cleaned", "SELECT * FROM (" + O.scored("survey") + ") WHERE \"Quantidade notas validas\" > 0"),
+    ("c1", O.contracted("cleaned")), ("c2", O.classified("c1")), ("c3", O.edited("c2")),
+    ("c4", O.operated("c3")), ("c5", O.targeted("c4")), ("c6", O.unit_results("c5")),
+    ("pl1", O.statused("c6")),
+]
+STAGES = [
+    ("contracted", O.contracted("survey")),
+    ("classified", O.classified("contracted")),
+    ("edited_act", O.edited("classified", with_action=True)),
+    ("edited", O.edited("classified")),
+    ("operated", O.operated("edited")),
+    ("targeted", O.targeted("classified")),
+    *_SQL_PL1_STEPS,
+    ("n1", O.contracted("negativas")), ("n2", O.classified("n1")), ("pl2", O.edited("n2")),
+    ("routed", f"""SELECT *, {O.group_case('CLASSIFICACAO')} AS GRUPO,
+  {O.fold_key('CLASSIFICACAO')} AS CLASSIFICACAO_NORMALIZADA
+FROM (SELECT 'avaliacoes' AS ORIGEM, * FROM pl1 UNION ALL BY NAME SELECT 'negativas' AS ORIGEM, * FROM pl2)"""),
+]
+
+
+def sqlx(body: str) -> str:
+    return S.with_views(body, *STAGES)
+
+
+# ---------------------------------------------------------------- clean
+@query("fi1_clean_totals", sqlx("""SELECT count(*) AS total_linhas_entrada,
+  count(*) FILTER (WHERE "Quantidade notas validas" > 0) AS total_linhas_saida,
+  count(*) FILTER (WHERE "Quantidade notas validas" = 0) AS total_linhas_removidas
+FROM (""" + O.scored("survey") + ")"))
+def fi1_clean_totals(spark, d):
+    return clean.clean_totals(S.survey(spark, d))
+
+
+_REQ = list(clean.SCORED_REQUIRED)
+
+
+@query("pr2_clean_scored", sqlx(f"""SELECT {KEYS_SQL}, NULL::DOUBLE AS "NOTA GERAL", NULL::VARCHAR AS CONTRATACAO,
+  CLASSIFICACAO, NULL::VARCHAR AS OPERADORA, NULL::VARCHAR AS "LOCAL EDITADO", NULL::DOUBLE AS META,
+  NULL::DOUBLE AS "RESULTADO DA UNIDADE", NULL::VARCHAR AS "STATUS UNIDADE", "Quantidade notas validas"
+FROM ({O.scored('survey')}) WHERE "Quantidade notas validas" > 0"""))
+def pr2_clean_scored(spark, d):
+    return clean.clean_scored(S.survey(spark, d)).select(*KEYS, *[q(c) for c in _REQ], q(score.VALID))
+
+
+@query("pr4_audit_base", sqlx(f"""SELECT {KEYS_SQL}, CDUSUARIO, MES, DIA, ANO, TIPO, NULL::VARCHAR AS CONTRATACAO,
+  LOCAL, ESPECIALIDADE FROM ({O.scored('survey')}) WHERE "Quantidade notas validas" > 0"""))
+def pr4_audit_base(spark, d):
+    return clean.project(clean.clean_scored(S.survey(spark, d)), KEYS + list(clean.AUDIT_BASE_COLUMNS))
+
+
+@query("pr5_schema_overlay", sqlx(f"""SELECT {KEYS_SQL},
+  regexp_replace(NUM_BENEFICIARIO, '(\\d)\\.0$', '\\1') AS NUM_BENEFICIARIO,
+  regexp_replace(TELEFONE, '(\\d)\\.0$', '\\1') AS TELEFONE, CDUSUARIO,
+  CAST(TIPO AS BIGINT) AS TIPO, CAST(MES AS BIGINT) AS MES, CAST(NOTA1 AS BIGINT) AS NOTA1,
+  CAST(NOTA5 AS DOUBLE) AS NOTA5 FROM survey"""))
+def pr5_schema_overlay(spark, d):
+    df = SCH.overlay(S.survey(spark, d), strict_ints=False)
+    return df.select(*KEYS, "NUM_BENEFICIARIO", "TELEFONE", "CDUSUARIO", "TIPO", "MES", "NOTA1", "NOTA5")
+
+
+# ---------------------------------------------------------------- contract
+@query("jn11_rows_without_contract", sqlx(f"""SELECT {KEYS_SQL}, CDUSUARIO, UF, LOCAL, DIA, MES, ANO, ESPECIALIDADE
+FROM contracted WHERE CONTRATACAO IS NULL"""))
+def jn11_rows_without_contract(spark, d):
+    df = lookup.unmatched(_contracted(spark, d), q("CONTRATACAO").isNotNull())
+    return df.select(*KEYS, "CDUSUARIO", "UF", "LOCAL", "DIA", "MES", "ANO", "ESPECIALIDADE")
+
+
+@query("ag1_places_without_contract", sqlx("""SELECT coalesce(UF, 'VAZIO') AS UF, coalesce(LOCAL, 'VAZIO') AS LOCAL,
+  count(*) AS QUANTIDADE FROM contracted WHERE CONTRATACAO IS NULL GROUP BY 1, 2"""))
+def ag1_places_without_contract(spark, d):
+    df = _contracted(spark, d).where(q("CONTRATACAO").isNull())
+    return SM.sort_count_desc(SM.multi_frequency(df, ["UF", "LOCAL"], fill="VAZIO"), ["UF", "LOCAL"])
+
+
+@query("ag6_contract_totals", sqlx("""SELECT count(*) FILTER (WHERE CONTRATACAO = 'rede propria') AS total_rede_propria,
+  count(*) FILTER (WHERE CONTRATACAO = 'rede credenciada') AS total_rede_credenciada,
+  count(*) FILTER (WHERE CONTRATACAO IS NULL) AS total_sem_contratacao FROM contracted"""))
+def ag6_contract_totals(spark, d):
+    c = q("CONTRATACAO")
+    return SM.conditional_totals(_contracted(spark, d), {
+        "total_rede_propria": c == "rede propria", "total_rede_credenciada": c == "rede credenciada",
+        "total_sem_contratacao": c.isNull()})
+
+
+@query("ag16_contract_dimension", sqlx(f"""SELECT lower({O.strip('Local')}) AS LOCAL_COMPARACAO,
+  arg_min(lower({O.strip('contratacao')}), _ord) AS contratacao FROM contract_sheet GROUP BY 1"""))
+def ag16_contract_dimension(spark, d):
+    sh = S.contract_sheet(spark, d)
+    dim = sh.select(F.lower(lookup.tx.strip(q("Local"))).alias("LOCAL_COMPARACAO"),
+                    F.lower(lookup.tx.strip(q("contratacao"))).alias("contratacao"), "_ord")
+    return lookup.keep_first(dim, "LOCAL_COMPARACAO", ["contratacao"], "_ord")
+
+
+@query("ag17_contract_conflicts", sqlx(f"""SELECT k AS LOCAL_COMPARACAO, count(DISTINCT v) AS TOTAL_VALORES,
+  array_to_string(list_sort(list_distinct(list(v))), ' | ') AS VALORES
+FROM (SELECT lower({O.strip('Local')}) AS k, lower({O.strip('contratacao')}) AS v FROM contract_sheet)
+GROUP BY k HAVING count(DISTINCT v) > 1"""))
+def ag17_contract_conflicts(spark, d):
+    sh = S.contract_sheet(spark, d).select(F.lower(lookup.tx.strip(q("Local"))).alias("LOCAL_COMPARACAO"),
+                                           F.lower(lookup.tx.strip(q("contratacao"))).alias("v"))
+    return SM.conflicts(sh, "LOCAL_COMPARACAO", "v")
+
+
+# ---------------------------------------------------------------- score
+@query("ag5_valid_score_distribution", sqlx(f"""SELECT "Quantidade notas validas", count(*) AS QUANTIDADE
+FROM ({O.scored('survey')}) GROUP BY 1"""))
+def ag5_valid_score_distribution(spark, d):
+    df = score.row_score(S.survey(spark, d))
+    return df.groupBy(q(score.VALID)).agg(F.count(F.lit(1)).alias("QUANTIDADE")).orderBy(q(score.VALID))
+
+
+# ---------------------------------------------------------------- edited place
+@query("ag3_edited_updated", sqlx("""SELECT LOCAL, "LOCAL EDITADO", CONTRATACAO, count(*) AS QUANTIDADE
+FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'atualizado' AND LOCAL IS NOT NULL AND "LOCAL EDITADO" IS NOT NULL
+  AND CONTRATACAO IS NOT NULL GROUP BY 1, 2, 3"""))
+def ag3_edited_updated(spark, d):
+    df = _edited_action(spark, d).where(q("ACAO_LOCAL_EDITADO") == "atualizado")
+    return SM.multi_frequency(df, ["LOCAL", "LOCAL EDITADO", "CONTRATACAO"])
+
+
+@query("ag4_edited_not_found", sqlx("""SELECT coalesce(LOCAL, 'VAZIO') AS LOCAL, count(*) AS QUANTIDADE
+FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'nao_encontrado' GROUP BY 1"""))
+def ag4_edited_not_found(spark, d):
+    df = _edited_action(spark, d).where(q("ACAO_LOCAL_EDITADO") == "nao_encontrado")
+    return SM.frequency(df, "LOCAL")
+
+
+@query("ag6_edited_totals", sqlx("""SELECT count(*) FILTER (WHERE ACAO_LOCAL_EDITADO = 'atualizado') AS total_atualizados,
+  count(*) FILTER (WHERE ACAO_LOCAL_EDITADO = 'nao_alterado') AS total_nao_alterados,
+  count(*) FILTER (WHERE ACAO_LOCAL_EDITADO = 'nao_encontrado') AS total_nao_encontrados FROM edited_act"""))
+def ag6_edited_totals(spark, d):
+    a = q("ACAO_LOCAL_EDITADO")
+    return SM.conditional_totals(_edited_action(spark, d), {
+        "total_atualizados": a == "atualizado", "total_nao_alterados": a == "nao_alterado",
+        "total_nao_encontrados": a == "nao_encontrado"})
+
+
+# ---------------------------------------------------------------- target
+@query("ag3_target_found_groups", sqlx("""SELECT GRUPO_ENCONTRADO AS GRUPO, count(*) AS QUANTIDADE FROM targeted
+WHERE GRUPO_ENCONTRADO IS NOT NULL AND GRUPO_ENCONTRADO <> '' GROUP BY 1"""))
+def ag3_target_found_groups(spark, d):
+    df = _targeted(spark, d).where(q("GRUPO_ENCONTRADO").isNotNull() & (q("GRUPO_ENCONTRADO") != ""))
+    return SM.frequency(df, "GRUPO_ENCONTRADO", None, alias="GRUPO")
+
+
+@query("ag4_target_not_found", sqlx("""SELECT coalesce(CLASSIFICACAO, 'VAZIO') AS CLASSIFICACAO, count(*) AS QUANTIDADE
+FROM targeted WHERE GRUPO_ENCONTRADO IS NULL OR GRUPO_ENCONTRADO = '' GROUP BY 1"""))
+def ag4_target_not_found(spark, d):
+    df = _targeted(spark, d).where(is_blank(q("GRUPO_ENCONTRADO")))
+    return SM.frequency(df, "CLASSIFICACAO")
+
+
+# ---------------------------------------------------------------- rule audits
+def _audit_sql(src: str, rules=None) -> str:
+    from quorum.config.classification import CLASSIFICATION_RULES
+    rules = CLASSIFICATION_RULES if rules is None else rules
+    parts = []
+    for k, r in enumerate(rules, 1):
+        fo = bool(r.get("aplicar_somente_vazios"))
+        bb = f"(__ob AND __fm = {k})"
+        ap = f"(__m{k} AND {bb})" if fo else f"__m{k}"
+        parts.append(f"""SELECT {k} AS ORDEM_REGRA, {O.s(r['grupo_classificacao'])} AS CHAVE_GRUPO,
+  {O.s(O.class_name(r['grupo_classificacao']))} AS CLASSIFICACAO, {O.s(r['nome_lista'])} AS NOME_LISTA,
+  {O.s(r['palavra_filtro']) if r.get('palavra_filtro') else 'NULL::VARCHAR'} AS PALAVRA_FILTRO,
+  {O.s(rules_mod_describe(r))} AS REGRA,
+  count(*) FILTER (WHERE __m{k}) AS TOTAL_ATINGIDAS,
+  count(*) FILTER (WHERE __m{k} AND {bb}) AS TOTAL_CLASSIFICADAS_VAZIAS,
+  count(*) FILTER (WHERE __m{k} AND NOT {bb}) AS TOTAL_JA_CLASSIFICADAS,
+  count(*) FILTER (WHERE {ap} AND NOT {bb}) AS TOTAL_SOBRESCRITAS FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def rules_mod_describe(r):
+    return rules.describe_rule(r)
+
+
+@query("ru4_class_rule_audit", sqlx(_audit_sql(f"({O.class_prep('contracted')})")))
+def ru4_class_rule_audit(spark, d):
+    return rules.class_rule_audit(_contracted(spark, d))
+
+
+def _overwriting_rules():
+    from quorum.config.classification import CLASSIFICATION_RULES
+    return [{**r, "aplicar_somente_vazios": False} for r in CLASSIFICATION_RULES]
+
+
+@query("ru4_class_rule_audit_overwriting", sqlx(_audit_sql(
+    f"({O.class_prep('contracted', _overwriting_rules())})", _overwriting_rules())))
+def ru4_class_rule_audit_overwriting(spark, d):
+    return rules.class_rule_audit(_contracted(spark, d), _overwriting_rules())
+
+
+def _events_sql(src: str, rules_list, applied: bool) -> str:
+    """Overwrite events via per-rule rows and a lag window over each row."""
+    parts = [f"SELECT {KEYS_SQL}, 0 AS k, CLASSIFICACAO AS lbl, LOCAL, ESPECIALIDADE, CONTRATACAO FROM {src} WHERE NOT __ob"]
+    for k, r in enumerate(rules_list, 1):
+        name = O.s(O.class_name(r["grupo_classificacao"]))
+        cond = f"__m{k}"
+        if applied and r.get("aplicar_somente_vazios"):
+            cond = f"(__m{k} AND __ob AND __fm = {k})"
+        parts.append(f"SELECT {KEYS_SQL}, {k}, {name}, LOCAL, ESPECIALIDADE, CONTRATACAO FROM {src} WHERE {cond}")
+    u = "\nUNION ALL\n".join(parts)
+    return f"""SELECT * FROM (SELECT *, lag(k) OVER w AS p, lag(lbl) OVER w AS pl FROM ({u})
+  WINDOW w AS (PARTITION BY {KEYS_SQL} ORDER BY k)) WHERE p IS NOT NULL"""
+
+
+def _label_sql(ev: str, extra_cols: str = "", extra_group: str = "") -> str:
+    meta = O.rule_meta_values()
+    return f"""SELECT CASE WHEN e.p = 0 THEN 'ORIGINAL' ELSE CAST(e.p AS VARCHAR) END AS ORDEM_REGRA_ANTERIOR,
+  CAST(e.k AS INTEGER) AS ORDEM_REGRA_NOVA,
+  CASE WHEN e.p = 0 THEN 'BASE DE ENTRADA' ELSE mp.lista END AS NOME_LISTA_ANTERIOR, mn.lista AS NOME_LISTA_NOVA,
+  CASE WHEN e.p = 0 THEN 'CLASSIFICACAO_PRE_EXISTENTE' ELSE mp.chave END AS CHAVE_GRUPO_ANTERIOR,
+  mn.chave AS CHAVE_GRUPO_NOVA, coalesce(e.pl, 'VAZIO') AS CLASSIFICACAO_ANTERIOR, mn.nome AS CLASSIFICACAO_NOVA
+  {extra_cols}, count(*) AS QUANTIDADE
+FROM ({ev}) e LEFT JOIN {meta} mp ON e.p = mp.k JOIN {meta} mn ON e.k = mn.k
+GROUP BY ALL"""
+
+
+@query("ru5_class_overwrite_audit", sqlx(_label_sql(_events_sql(
+    f"({O.class_prep('contracted', _overwriting_rules())})", _overwriting_rules(), True))))
+def ru5_class_overwrite_audit(spark, d):
+    return rules.class_overwrite_audit(_contracted(spark, d), _overwriting_rules())
+
+
+def _ru8_sql() -> str:
+    from quorum.config.classification import CLASSIFICATION_RULES as CR
+    ev = _events_sql(f"({O.class_prep('contracted')})", CR, False)
+    texts = []
+    for alias, field in rules.INCREMENTAL_RULE_TEXT:
+        texts.append("CASE e.k " + " ".join(
+            f"WHEN {k} THEN {O.s(rules.rule_value_text(r.get(field)))}" for k, r in enumerate(CR, 1)) + f" END AS {alias}")
+    extra = (", coalesce(e.LOCAL, 'VAZIO') AS LOCAL_LINHA_SOBRESCRITA,"
+             " coalesce(e.ESPECIALIDADE, 'VAZIO') AS ESPECIALIDADE_LINHA_SOBRESCRITA,"
+             " coalesce(e.CONTRATACAO, 'VAZIO') AS CONTRATACAO_LINHA_SOBRESCRITA,"
+             " 'false' AS APLICAR_SOMENTE_VAZIOS_REGRA, " + ", ".join(texts))
+    return _label_sql(ev, extra)
+
+
+@query("ru8_incremental_overwrite_audit", sqlx(_ru8_sql()))
+def ru8_incremental_overwrite_audit(spark, d):
+    return rules.incremental_overwrite_audit(_contracted(spark, d))
+
+
+@query("ru7_unclassified_by_local", sqlx("""SELECT coalesce(LOCAL, 'VAZIO') AS LOCAL, count(*) AS QUANTIDADE
+FROM classified WHERE coalesce(CLASSIFICACAO, '') = '' GROUP BY 1"""))
+def ru7_unclassified_by_local(spark, d):
+    return SM.frequency(rules.unclassified(_classified(spark, d)), "LOCAL")
+
+
+@query("ru7_unclassified_detail", sqlx(f"""SELECT {KEYS_SQL}, CDUSUARIO, UF, MES, DIA, ANO, TIPO, CONTRATACAO, LOCAL,
+  ESPECIALIDADE FROM classified WHERE coalesce(CLASSIFICACAO, '') = ''"""))
+def ru7_unclassified_detail(spark, d):
+    return rules.unclassified(_classified(spark, d)).select(*KEYS, *rules.UNCLASSIFIED_DETAIL)
+
+
+@query("dq11_all_classified", sqlx("""SELECT count(*) AS TOTAL_LINHAS,
+  count(*) FILTER (WHERE coalesce(CLASSIFICACAO, '') = '') AS TOTAL_NAO_CLASSIFICADAS FROM classified"""))
+def dq11_all_classified(spark, d):
+    return _classified(spark, d).agg(F.count(F.lit(1)).alias("TOTAL_LINHAS"),
+                                     F.count(F.when(is_blank(q("CLASSIFICACAO")), 1)).alias("TOTAL_NAO_CLASSIFICADAS"))
+
+
+# ---------------------------------------------------------------- operator
+def _operated_frame(spark, d):
+    return _edited(spark, d), S.unit_sheet(spark, d)
+
+
+def _op_audit_sql() -> str:
+    """RU9 audit oracle: per step counts via the closed form written in SQL."""
+    from quorum.config import operator as oc
+    rules_ = oc.OPERATOR_RULES
+    def flt(f):
+        c = O.qi(f["coluna"])
+        if f["tipo_filtro"] == "igual":
+            return f"coalesce({c} = {O.s(f['valor_filtro'])}, false)"
+        return f"coalesce(regexp_matches({c}, {O.s(f['valor_filtro'])}, 'i'), false)"
+    masks = ["(" + " AND ".join(flt(f) for f in r["filtros"]) + ")" for r in rules_]
+    name, value, col, place = oc.SPECIAL_FILL_RULE
+    masks_all = masks + [f"coalesce({O.qi(col)} = {O.s(place)}, false)", "(__mo IS NOT NULL AND __mo <> '')", "true"]
+    fills = [False] * len(masks) + [True, False, True]
+    names = [r["descricao"] for r in rules_] + [name, oc.MAP_RULE_NAME, oc.DEFAULT_RULE_NAME]
+    vals = [r["valor_operadora"] for r in rules_] + [value, oc.MAP_RULE_VALUE, oc.DEFAULT_OPERATOR]
+    ob = O.blank("OPERADORA")
+    parts = []
+    for k, (m, fo) in enumerate(zip(masks_all, fills)):
+        before = " OR ".join(["false"] + masks_all[:k])
+        bb = f"({ob} AND NOT ({before}))"
+        ap = f"({m} AND {bb})" if fo else m
+        parts.append(f"""SELECT {k + 1} AS ORDEM, {O.s(names[k])} AS REGRA, {O.s(vals[k])} AS OPERADORA_APLICADA,
+  count(*) FILTER (WHERE {ap}) AS TOTAL_ATINGIDAS, count(*) FILTER (WHERE {ap} AND {bb}) AS TOTAL_VAZIAS,
+  count(*) FILTER (WHERE {ap} AND NOT {bb}) AS TOTAL_SOBRESCRITAS FROM opprep""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _opprep_sql() -> str:
+    n = O.normalize
+    return f"""SELECT p.*, d.v AS __mo FROM (SELECT * REPLACE (upper({n('CLASSIFICACAO')}) AS CLASSIFICACAO,
+   upper({n('UF')}) AS UF, upper({n('"LOCAL EDITADO"')}) AS "LOCAL EDITADO",
+   upper({n('OPERADORA')}) AS OPERADORA) FROM (SELECT *, NULL::VARCHAR AS OPERADORA FROM edited)) p
+LEFT JOIN (SELECT upper({n('UNIDADE')}) AS k, arg_min(upper({n('OPERA')}), _ord) AS v FROM unit_sheet
+           WHERE UNIDADE IS NOT NULL GROUP BY 1) d ON p."LOCAL EDITADO" = d.k"""
+
+
+@query("ru9_operator_rule_audit", S.with_views(_op_audit_sql(), *STAGES, ("opprep", _opprep_sql())))
+def ru9_operator_rule_audit(spark, d):
+    df, us = _operated_frame(spark, d)
+    return operator_rules.operator_rule_audit(df, us)
+
+
+@query("ru11_blank_before_default", sqlx(f"""SELECT {KEYS_SQL}, UF, "LOCAL EDITADO", CLASSIFICACAO, CONTRATACAO,
+  ESPECIALIDADE FROM operated WHERE OPERADORA = 'HAPVIDA'"""))
+def ru11_blank_before_default(spark, d):
+    df, us = _operated_frame(spark, d)
+    out = operator_rules.assign_operator(df, us, snapshot_col="__blank_before_default")
+    return out.where("__blank_before_default").select(*KEYS, "UF", q("LOCAL EDITADO"), "CLASSIFICACAO",
+                                                      "CONTRATACAO", "ESPECIALIDADE")
+
+
+@query("ru11_default_places", sqlx("""SELECT "LOCAL EDITADO", UF, count(*) AS QUANTIDADE FROM operated
+WHERE OPERADORA = 'HAPVIDA' AND "LOCAL EDITADO" IS NOT NULL AND UF IS NOT NULL GROUP BY 1, 2"""))
+def ru11_default_places(spark, d):
+    df, us = _operated_frame(spark, d)
+    out = operator_rules.assign_operator(df, us, snapshot_col="__b").where("__b")
+    return SM.sort_count_desc(SM.multi_frequency(out, ["LOCAL EDITADO", "UF"]), ["LOCAL EDITADO"])
+
+
+@query("ag7_places_many_operators", sqlx("""SELECT "LOCAL EDITADO", OPERADORA, QUANTIDADE, TOTAL_OPERADORAS FROM (
+  SELECT "LOCAL EDITADO", OPERADORA, count(*) AS QUANTIDADE,
+         count(*) OVER (PARTITION BY "LOCAL EDITADO") AS TOTAL_OPERADORAS
+  FROM operated WHERE "LOCAL EDITADO" IS NOT NULL AND OPERADORA IS NOT NULL GROUP BY 1, 2)
+WHERE TOTAL_OPERADORAS > 1"""))
+def ag7_places_many_operators(spark, d):
+    return operator_rules.places_with_many_operators(_operated(spark, d))
+
+
+@query("ag3_place_operator_pairs", sqlx("""SELECT "LOCAL EDITADO", OPERADORA, count(*) AS QUANTIDADE FROM operated
+WHERE "LOCAL EDITADO" IS NOT NULL AND OPERADORA IS NOT NULL GROUP BY 1, 2"""))
+def ag3_place_operator_pairs(spark, d):
+    return SM.multi_frequency(_operated(spark, d), ["LOCAL EDITADO", "OPERADORA"]).orderBy(
+        q("LOCAL EDITADO"), "OPERADORA")
+
+
+# ---------------------------------------------------------------- unit result / status
+@query("an5_status_counts", sqlx("""SELECT coalesce("STATUS UNIDADE", 'sem status') AS "STATUS UNIDADE",
+  count(*) AS QUANTIDADE FROM pl1 GROUP BY 1"""))
+def an5_status_counts(spark, d):
+    return SM.frequency(_pl1_full(spark, d), "STATUS UNIDADE", "sem status")
+
+
+@query("fi16_status_totals", sqlx("""SELECT count(*) FILTER (WHERE "STATUS UNIDADE" = 'dentro da meta') AS total_dentro_meta,
+  count(*) FILTER (WHERE "STATUS UNIDADE" = 'fora da meta') AS total_fora_meta,
+  count(*) FILTER (WHERE "STATUS UNIDADE" IS NULL) AS total_sem_status FROM pl1"""))
+def fi16_status_totals(spark, d):
+    st = q("STATUS UNIDADE")
+    return SM.conditional_totals(_pl1_full(spark, d), {
+        "total_dentro_meta": st == "dentro da meta", "total_fora_meta": st == "fora da meta",
+        "total_sem_status": st.isNull()})
+
+
+_ORD_SQL = "struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_suppkey)"
+
+
+@query("ag8_unit_inspection", sqlx(f"""SELECT CLASSIFICACAO, "LOCAL EDITADO", UF, count(*) AS QUANTIDADE_LINHAS,
+  arg_min("RESULTADO DA UNIDADE", CASE WHEN "RESULTADO DA UNIDADE" IS NOT NULL THEN {_ORD_SQL} END) AS RESULTADO_DA_UNIDADE,
+  min("NOTA GERAL") AS NOTA_GERAL_MIN, max("NOTA GERAL") AS NOTA_GERAL_MAX,
+  arg_min(META, CASE WHEN META IS NOT NULL THEN {_ORD_SQL} END) AS META,
+  arg_min(OPERADORA, CASE WHEN OPERADORA IS NOT NULL THEN {_ORD_SQL} END) AS OPERADORA
+FROM pl1 GROUP BY ALL"""))
+def ag8_unit_inspection(spark, d):
+    order = F.struct(*[F.col(c) for c in S.ORDER_COLUMNS])
+    return score.unit_inspection(_pl1_full(spark, d), order)
+
+
+@query("fi15_blank_unit_keys", sqlx(f"""SELECT {KEYS_SQL}, CLASSIFICACAO, "LOCAL EDITADO", UF,
+  concat_ws(', ', CASE WHEN coalesce(CLASSIFICACAO, '') = '' THEN 'CLASSIFICACAO' END,
+    CASE WHEN coalesce("LOCAL EDITADO", '') = '' THEN 'LOCAL EDITADO' END,
+    CASE WHEN coalesce(UF, '') = '' THEN 'UF' END) AS COLUNA_VAZIA
+FROM pl1 WHERE coalesce(CLASSIFICACAO, '') = '' OR coalesce("LOCAL EDITADO", '') = '' OR coalesce(UF, '') = ''"""))
+def fi15_blank_unit_keys(spark, d):
+    return score.blank_key_rows(_pl1_full(spark, d)).select(*KEYS, "CLASSIFICACAO", q("LOCAL EDITADO"), "UF",
+                                                            "COLUNA_VAZIA")
+
+
+# ---------------------------------------------------------------- summaries per class / operator
+@query("ag9_class_summary", sqlx(f"""SELECT CLASSIFICACAO, count(*) AS CONTAGEM,
+  {O.round2('CAST(sum(CAST(round_even("NOTA GERAL" * 100, 0) AS BIGINT)) AS DOUBLE) / (100.0::DOUBLE * count(*))')} AS MEDIA_NOTA_GERAL
+FROM (SELECT {O.strip('CLASSIFICACAO')} AS CLASSIFICACAO, "NOTA GERAL" FROM pl1)
+WHERE CLASSIFICACAO IS NOT NULL AND CLASSIFICACAO NOT IN ('', 'nan', 'None') AND "NOTA GERAL" IS NOT NULL GROUP BY 1"""))
+def ag9_class_summary(spark, d):
+    return SM.class_summary(_pl1_full(spark, d))
+
+
+_AG10_BASE = f"""SELECT {O.strip('OPERADORA')} AS OPERADORA, "NOTA GERAL" FROM pl1
+  WHERE {O.strip('OPERADORA')} NOT IN ('', 'nan', 'None') AND "NOTA GERAL" IS NOT NULL"""
+
+
+@query("ag10_operator_summary", S.with_views(f"""SELECT OPERADORA, count(*) AS CONTAGEM,
+  {O.round2('CAST(sum(CAST(round_even("NOTA GERAL" * 100, 0) AS BIGINT)) AS DOUBLE) / (100.0::DOUBLE * count(*))')} AS MEDIA_NOTA_GERAL
+FROM (SELECT OPERADORA, "NOTA GERAL" FROM ag10_base UNION ALL
+      SELECT 'PROMED + HAPVIDA', "NOTA GERAL" FROM ag10_base WHERE OPERADORA IN ('PROMED', 'HAPVIDA'))
+GROUP BY 1""", *STAGES, ("ag10_base", _AG10_BASE)))
+def ag10_operator_summary(spark, d):
+    return SM.operator_summary(_pl1_full(spark, d))
+
+
+@query("fi14_discard_counts", sqlx("""SELECT count(*) AS LINHAS,
+  count(*) FILTER (WHERE CLASSIFICACAO IS NULL OR trim(CLASSIFICACAO) IN ('', 'nan', 'None')) AS DESCARTADAS_CHAVE,
+  count(*) FILTER (WHERE NOT (CLASSIFICACAO IS NULL OR trim(CLASSIFICACAO) IN ('', 'nan', 'None')) AND "NOTA GERAL" IS NULL) AS DESCARTADAS_NOTA,
+  0::BIGINT AS ERRO_CONVERSAO FROM pl1"""))
+def fi14_discard_counts(spark, d):
+    return SM.discard_counts(_pl1_full(spark, d), "CLASSIFICACAO")

@@ -35,7 +35,8 @@ SURVEY_EXPRS = [
     ("ANO", "cast(year(l_shipdate) as bigint)"),
     ("TIPO", "cast(1 + (l_partkey + l_linenumber) % 14 as bigint)"),
     ("LOCAL", "case when l_suppkey % 37 = 0 then null "
-              "when l_suppkey % 11 = 0 then concat(chr(160), upper(p_name), ' ') else p_name end"),
+              "when l_suppkey % 11 = 0 then concat(chr(160), upper(p_name), ' ') "
+              "when l_suppkey % 53 = 0 then concat(p_name, ' annex') else p_name end"),
     ("ESPECIALIDADE", "case when l_orderkey % 41 = 0 then null else p_type end"),
     ("UF", "case when o_custkey % 29 = 0 then null else n_name end"),
     ("NOTA1", "cast(nullif(cast(l_quantity as int) % 6, 0) as int)"),
