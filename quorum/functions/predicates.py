@@ -105,3 +105,39 @@ def between(c, lo, hi) -> Column:
 
 def at_least(c, lo) -> Column:
     return F.coalesce(_c(c) >= lo, F.lit(False))
+
+
+def adhoc_filter(df, tipo=None, contratacao=None, local=None, especialidade=None,
+                 classificacao=None, tipo_diferente=None, contratacao_diferente=None,
+                 local_diferente=None, especialidade_diferente=None,
+                 classificacao_diferente=None):
+    """FI10: optional positive/negative filters (None = not applied).
+
+    TIPO numeric equality; CONTRATACAO/CLASSIFICACAO trimmed lower-case
+    equality; LOCAL/ESPECIALIDADE trimmed lower-case literal containment.
+    """
+    from quorum.functions.text import strip, to_number
+
+    def norm(c):
+        return F.lower(strip(_c(c)))
+
+    def low(v):
+        return str(v).strip().lower()
+
+    conds = []
+    t = to_number(_c("TIPO"))
+    if tipo is not None:
+        conds.append(F.coalesce(t == tipo, F.lit(False)))
+    if tipo_diferente is not None:
+        conds.append(~F.coalesce(t == tipo_diferente, F.lit(False)))  # NaN != x is true
+    for col, v, neg in (("CONTRATACAO", contratacao, False), ("CONTRATACAO", contratacao_diferente, True),
+                        ("CLASSIFICACAO", classificacao, False), ("CLASSIFICACAO", classificacao_diferente, True)):
+        if v is not None:
+            e = (norm(col) != low(v)) if neg else (norm(col) == low(v))
+            conds.append(F.coalesce(e, F.lit(False)))
+    for col, v, neg in (("LOCAL", local, False), ("LOCAL", local_diferente, True),
+                        ("ESPECIALIDADE", especialidade, False), ("ESPECIALIDADE", especialidade_diferente, True)):
+        if v is not None:
+            e = F.coalesce(norm(col).contains(low(v)), F.lit(False))
+            conds.append(~e if neg else e)
+    return df.where(all_of(conds)).select("TIPO", "CONTRATACAO", "LOCAL", "ESPECIALIDADE", "CLASSIFICACAO")

@@ -606,3 +606,239 @@ def ag10_operator_summary(spark, d):
   0::BIGINT AS ERRO_CONVERSAO FROM pl1"""))
 def fi14_discard_counts(spark, d):
     return SM.discard_counts(_pl1_full(spark, d), "CLASSIFICACAO")
+
+
+# ---------------------------------------------------------------- negatives (PL2)
+@query("pl2_negative_pipeline", sqlx(f"""SELECT {KEYS_SQL}, LOCAL, CONTRATACAO, CLASSIFICACAO, "LOCAL EDITADO" FROM pl2"""))
+def pl2_negative_pipeline(spark, d):
+    return _pl2_full(spark, d).select(*KEYS, "LOCAL", "CONTRATACAO", "CLASSIFICACAO", q("LOCAL EDITADO"))
+
+
+# ---------------------------------------------------------------- routing (PL3)
+def _routed_step(spark, d):
+    return _step(spark, d, "routed", lambda: _routed(spark, d))
+
+
+@query("pl3_route_class_counts", sqlx("""SELECT GRUPO, CLASSIFICACAO_NORMALIZADA, ORIGEM, count(*) AS QUANTIDADE
+FROM routed WHERE GRUPO IS NOT NULL GROUP BY ALL"""))
+def pl3_route_class_counts(spark, d):
+    return R.class_counts(_routed_step(spark, d))
+
+
+def _groups_values():
+    from quorum.config.classification import DELIVERY_GROUPS
+    return "(SELECT * FROM (VALUES " + ", ".join(f"({O.s(g)})" for g in DELIVERY_GROUPS) + ") AS t(GRUPO))"
+
+
+@query("ag12_per_file_counts", sqlx(f"""SELECT g.GRUPO, coalesce(c.a, 0) AS AVALIACOES, coalesce(c.n, 0) AS NEGATIVAS,
+  coalesce(c.a, 0) + coalesce(c.n, 0) AS TOTAL
+FROM {_groups_values()} g LEFT JOIN (SELECT GRUPO, count(*) FILTER (WHERE ORIGEM = 'avaliacoes') AS a,
+  count(*) FILTER (WHERE ORIGEM = 'negativas') AS n FROM routed WHERE GRUPO IS NOT NULL GROUP BY 1) c ON g.GRUPO = c.GRUPO"""))
+def ag12_per_file_counts(spark, d):
+    return R.per_file_counts(_routed_step(spark, d))
+
+
+def _rule_classes_values():
+    from quorum.config.classification import DELIVERY_GROUPS
+    from quorum.functions.text import fold_key_py
+    rows, seen = [], set()
+    for g, classes in DELIVERY_GROUPS.items():
+        for c in classes:
+            k = fold_key_py(c)
+            if (g, k) not in seen:
+                seen.add((g, k))
+                rows.append(f"({O.s(g)}, {O.s(k)}, {O.s(c)})")
+    return f"(SELECT * FROM (VALUES {', '.join(rows)}) AS t(GRUPO, CN, CLASSIFICACAO))"
+
+
+@query("ag13_per_class_counts", sqlx(f"""SELECT r.GRUPO, r.CLASSIFICACAO, coalesce(c.a, 0) AS AVALIACOES,
+  coalesce(c.n, 0) AS NEGATIVAS, coalesce(c.a, 0) + coalesce(c.n, 0) AS TOTAL
+FROM {_rule_classes_values()} r LEFT JOIN (SELECT GRUPO, CLASSIFICACAO_NORMALIZADA AS CN,
+  count(*) FILTER (WHERE ORIGEM = 'avaliacoes') AS a, count(*) FILTER (WHERE ORIGEM = 'negativas') AS n
+  FROM routed WHERE GRUPO IS NOT NULL GROUP BY 1, 2) c ON r.GRUPO = c.GRUPO AND r.CN = c.CN"""))
+def ag13_per_class_counts(spark, d):
+    return R.per_class_counts(_routed_step(spark, d))
+
+
+@query("ag14_unassigned_classes", sqlx("""SELECT ORIGEM, coalesce(CLASSIFICACAO, 'VAZIO') AS CLASSIFICACAO,
+  count(*) AS QUANTIDADE FROM routed WHERE GRUPO IS NULL GROUP BY 1, 2"""))
+def ag14_unassigned_classes(spark, d):
+    return R.unassigned(_routed_step(spark, d)).orderBy("ORIGEM", "CLASSIFICACAO")
+
+
+@query("ag15_reconciliation")
+def ag15_reconciliation(spark, d):
+    return R.reconciliation(_routed_step(spark, d))
+
+
+ORACLES["ag15_reconciliation"] = sqlx("""SELECT ORIGEM, TOTAL_ORIGEM, TOTAL_ENVIADO, TOTAL_ORIGEM - TOTAL_ENVIADO AS TOTAL_NAO_ENVIADO,
+  0::BIGINT AS DIFERENCA, true AS OK FROM (
+  SELECT ORIGEM, count(*) AS TOTAL_ORIGEM, count(GRUPO) AS TOTAL_ENVIADO FROM routed GROUP BY 1
+  UNION ALL SELECT 'total', count(*), count(GRUPO) FROM routed)""")
+
+
+@query("io14_delivery_datasets", sqlx(f"""SELECT {KEYS_SQL}, GRUPO, ORIGEM, {O.send_name_case('CLASSIFICACAO')} AS CLASSIFICACAO
+FROM routed WHERE GRUPO IS NOT NULL"""))
+def io14_delivery_datasets(spark, d):
+    from quorum.sources import io as IO
+    out = R.delivery(_routed_step(spark, d)).select(*KEYS, "GRUPO", "ORIGEM", "CLASSIFICACAO")
+    path = IO.scratch_path(spark, "delivery")
+    IO.write_partitioned(out, path, ["GRUPO", "ORIGEM"])
+    return spark.read.parquet(path).select(*KEYS, "GRUPO", "ORIGEM", "CLASSIFICACAO")
+
+
+@query("fi11_one_group_delivery", sqlx(f"""SELECT ORIGEM, count(*) AS QUANTIDADE FROM routed
+WHERE {O.fold_key('CLASSIFICACAO')} IN ('HAPCLINICA') GROUP BY 1"""))
+def fi11_one_group_delivery(spark, d):
+    return R.in_group(_routed_step(spark, d), "hapclinica").groupBy("ORIGEM").agg(F.count(F.lit(1)).alias("QUANTIDADE"))
+
+
+@query("jn6_send_names", sqlx(f"""SELECT {KEYS_SQL}, {O.send_name_case('CLASSIFICACAO')} AS CLASSIFICACAO FROM pl1"""))
+def jn6_send_names(spark, d):
+    return lookup.apply_send_names(_pl1_full(spark, d)).select(*KEYS, "CLASSIFICACAO")
+
+
+@query("io7_sheet_union", sqlx("""SELECT __origem_aba, count(*) AS QUANTIDADE, count(CLASSIFICACAO) AS COM_CLASSIFICACAO
+FROM (SELECT 'avaliacoes' AS __origem_aba, * FROM pl1 UNION ALL BY NAME SELECT 'negativas' AS __origem_aba, * FROM pl2)
+GROUP BY 1"""))
+def io7_sheet_union(spark, d):
+    from quorum.sources import io as IO
+    u = IO.union_sheets({"avaliacoes": _pl1_full(spark, d), "negativas": _pl2_full(spark, d)})
+    return u.groupBy("__origem_aba").agg(F.count(F.lit(1)).alias("QUANTIDADE"),
+                                         F.count("CLASSIFICACAO").alias("COM_CLASSIFICACAO"))
+
+
+@query("io8_sheets_with_columns", sqlx("""SELECT ABA_ORIGEM, count(*) AS QUANTIDADE FROM (
+  SELECT 'avaliacoes' AS ABA_ORIGEM, CLASSIFICACAO, "NOTA GERAL" FROM pl1) GROUP BY 1"""))
+def io8_sheets_with_columns(spark, d):
+    from quorum.sources import io as IO
+    u = IO.union_sheets_with({"avaliacoes": _pl1_full(spark, d), "negativas": _pl2_full(spark, d)},
+                             ["CLASSIFICACAO", "NOTA GERAL"])
+    return u.groupBy("ABA_ORIGEM").agg(F.count(F.lit(1)).alias("QUANTIDADE"))
+
+
+# ---------------------------------------------------------------- splits (IO12 / IO13)
+def _split_sql(src, ranges):
+    parts = []
+    for name, lo, hi in ranges:
+        cond = f"TIPO >= {lo}" if hi is None else f"TIPO BETWEEN {lo} AND {hi}"
+        parts.append(f"WHEN {cond} THEN {O.s(name)}")
+    return f"CASE {' '.join(parts)} ELSE {O.s(R.OUTSIDE)} END"
+
+
+@query("io12_split_two_ranges", sqlx(f"""SELECT {_split_sql('pl2', R.TWO_WAY)} AS FAIXA, count(*) AS QUANTIDADE
+FROM pl2 GROUP BY 1"""))
+def io12_split_two_ranges(spark, d):
+    from quorum.sources import io as IO
+    df = R.split_by_type(_pl2_full(spark, d), R.TWO_WAY)
+    path = IO.scratch_path(spark, "split2")
+    IO.write_partitioned(df, path, ["FAIXA"])
+    return spark.read.parquet(path).groupBy("FAIXA").agg(F.count(F.lit(1)).alias("QUANTIDADE"))
+
+
+@query("io13_split_three_ranges", sqlx(f"""SELECT {_split_sql('pl1', R.THREE_WAY)} AS FAIXA, count(*) AS QUANTIDADE,
+  count(*) FILTER (WHERE regexp_replace(trim(NUM_BENEFICIARIO), '\\.0$', '') LIKE '%.0') AS IDS_COM_DECIMAL
+FROM pl1 GROUP BY 1"""))
+def io13_split_three_ranges(spark, d):
+    from quorum.sources import io as IO
+    df = R.split_by_type(_pl1_full(spark, d), R.THREE_WAY)
+    path = IO.scratch_path(spark, "split3")
+    IO.write_partitioned(df, path, ["FAIXA"])
+    back = spark.read.parquet(path)
+    return back.groupBy("FAIXA").agg(F.count(F.lit(1)).alias("QUANTIDADE"),
+                                     F.count(F.when(F.col("NUM_BENEFICIARIO").endswith(".0"), 1)).alias("IDS_COM_DECIMAL"))
+
+
+# ---------------------------------------------------------------- text functions
+from quorum.functions import text as TX  # noqa: E402
+
+
+@query("sc1_text_normalisers", sqlx(f"""SELECT {KEYS_SQL}, {O.strip('LOCAL')} AS SC1_STRIP, lower(LOCAL) AS SC2_LOWER,
+  upper(LOCAL) AS SC2_UPPER, replace(LOCAL, chr(160), ' ') AS SC3_NBSP, {O.collapse('LOCAL')} AS SC4_COLLAPSE,
+  {O.normalize('LOCAL')} AS SC5_NORMALIZE, coalesce({O.normalize('LOCAL')}, '') AS SC6_NORMALIZE_OR_EMPTY,
+  {O.fold_key('LOCAL')} AS SC8_FOLD_KEY,
+  regexp_replace({O.strip('TELEFONE')}, '\\.0$', '') AS SC10_DROP_DECIMAL_ZERO FROM survey"""))
+def sc1_text_normalisers(spark, d):
+    L = q("LOCAL")
+    return S.survey(spark, d).select(
+        *KEYS, TX.strip(L).alias("SC1_STRIP"), F.lower(L).alias("SC2_LOWER"), F.upper(L).alias("SC2_UPPER"),
+        TX.nbsp_to_space(L).alias("SC3_NBSP"), TX.collapse_spaces(L).alias("SC4_COLLAPSE"),
+        TX.normalize(L).alias("SC5_NORMALIZE"), TX.normalize_or_empty(L).alias("SC6_NORMALIZE_OR_EMPTY"),
+        TX.fold_key(L).alias("SC8_FOLD_KEY"), TX.drop_decimal_zero_trimmed(q("TELEFONE")).alias("SC10_DROP_DECIMAL_ZERO"))
+
+
+@query("sc7_accent_folding", sqlx(f"""SELECT DISTINCT c AS CLASSE, strip_accents(c) AS SC7_SEM_ACENTO,
+  {O.fold_key('c')} AS SC8_FOLD_KEY,
+  coalesce(nullif(lower(regexp_replace(regexp_replace(strip_accents(c), '[^a-zA-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')), ''), 'sem_nome') AS SC19_SLUG
+FROM (SELECT {O.send_name_case('CLASSIFICACAO')} AS c FROM pl1) WHERE c IS NOT NULL"""))
+def sc7_accent_folding(spark, d):
+    c = q("CLASSE")
+    df = lookup.apply_send_names(_pl1_full(spark, d)).select(q("CLASSIFICACAO").alias("CLASSE")).where(c.isNotNull()).distinct()
+    return df.select(c, TX.remove_accents(c).alias("SC7_SEM_ACENTO"), TX.fold_key(c).alias("SC8_FOLD_KEY"),
+                     TX.slug(c).alias("SC19_SLUG"))
+
+
+_DIRTY_NUM = ("case l_linenumber when 1 then ' 3 ' when 2 then 'NaN' when 3 then '1d' when 4 then cast(l_partkey as string) "
+              "when 5 then '' when 6 then '2.5e1' else 'abc' end")
+_DIRTY_FLAG = ("case l_linenumber when 1 then 'sim' when 2 then ' S ' when 3 then 'true' when 4 then '1' "
+               "when 5 then 'YES' when 6 then 'nao' else null end")
+
+
+@query("sc11_numeric_and_flags", sqlx(f"""SELECT {KEYS_SQL}, CASE WHEN regexp_full_match(trim(x), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')
+  THEN CAST(trim(x) AS DOUBLE) END AS SC11_NUMERO,
+  coalesce(lower(trim(f)) IN ('sim', 's', 'true', '1', 'yes'), false) AS SC15_FLAG
+FROM (SELECT *, {_DIRTY_NUM} AS x, {_DIRTY_FLAG} AS f FROM survey)"""))
+def sc11_numeric_and_flags(spark, d):
+    df = S.survey(spark, d).select(*KEYS, F.expr(_DIRTY_NUM).alias("x"), F.expr(_DIRTY_FLAG).alias("f"))
+    return df.select(*KEYS, TX.to_number(q("x")).alias("SC11_NUMERO"), TX.flag(q("f")).alias("SC15_FLAG"))
+
+
+# ---------------------------------------------------------------- FI10 ad-hoc filter
+_FI10 = dict(especialidade="small", tipo_diferente=6, local_diferente="gear")
+
+
+@query("fi10_adhoc_filter", sqlx("""SELECT TIPO, CONTRATACAO, LOCAL, ESPECIALIDADE, CLASSIFICACAO FROM classified
+WHERE NOT coalesce(TIPO = 6, false) AND coalesce(contains(lower(trim(ESPECIALIDADE)), 'small'), false)
+  AND NOT coalesce(contains(lower(trim(LOCAL)), 'gear'), false)"""))
+def fi10_adhoc_filter(spark, d):
+    from quorum.functions.predicates import adhoc_filter
+    return adhoc_filter(_classified(spark, d), **_FI10)
+
+
+# ---------------------------------------------------------------- PL5 legacy one-shot
+@query("pl5_legacy_score_contract", sqlx(f"""SELECT t.{KEYS_SQL.replace(', ', ', t.')}, t."NOTA GERAL", t."Quantidade notas validas",
+  CASE WHEN t."Quantidade notas validas" > 0 THEN c.CONTRATACAO END AS CONTRATACAO
+FROM ({O.scored('survey')}) t JOIN contracted c USING ({KEYS_SQL})"""))
+def pl5_legacy_score_contract(spark, d):
+    from quorum.plans.legacy import legacy_score_contract
+    out = legacy_score_contract(S.survey(spark, d), S.contract_sheet(spark, d))
+    return out.select(*KEYS, q("NOTA GERAL"), q(score.VALID), "CONTRATACAO")
+
+
+# ---------------------------------------------------------------- IO1/IO2/IO5 round trip
+@query("io1_csv_roundtrip", sqlx(f"""SELECT {KEYS_SQL}, regexp_replace(NUM_BENEFICIARIO, '(\\d)\\.0$', '\\1') AS NUM_BENEFICIARIO,
+  LOCAL, CAST(TIPO AS BIGINT) AS TIPO, CAST(NOTA5 AS DOUBLE) AS NOTA5, CLASSIFICACAO FROM survey"""))
+def io1_csv_roundtrip(spark, d):
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "survey-csv")
+    cols = KEYS + ["NUM_BENEFICIARIO", "LOCAL", "TIPO", "NOTA5", "CLASSIFICACAO"]
+    IO.write_survey_csv(S.survey(spark, d).select(*cols), path)
+    back = IO.read_survey_csv(spark, path, strict_ints=False)
+    return back.select(*[F.col(k).cast("long" if k != "l_linenumber" else "int").alias(k) for k in KEYS],
+                       "NUM_BENEFICIARIO", "LOCAL", "TIPO", "NOTA5", "CLASSIFICACAO")
+
+
+@query("io5_raw_text_ids", sqlx("""SELECT count(*) FILTER (WHERE NUM_BENEFICIARIO LIKE '%.0') AS NUM_BENEFICIARIO_COM_DECIMAL,
+  count(*) FILTER (WHERE TELEFONE LIKE '%.0') AS TELEFONE_COM_DECIMAL, count(*) FILTER (WHERE LOCAL IS NULL) AS LOCAL_VAZIO
+FROM survey"""))
+def io5_raw_text_ids(spark, d):
+    """IO5 + DQ4: ids kept as raw text (no null tokens, no overlay) and the
+    '.0' check over them."""
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "raw-csv")
+    (S.survey(spark, d).select("NUM_BENEFICIARIO", "TELEFONE", "LOCAL").write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    raw = IO.read_raw_text(spark, path)
+    return raw.agg(F.count(F.when(F.col("NUM_BENEFICIARIO").endswith(".0"), 1)).alias("NUM_BENEFICIARIO_COM_DECIMAL"),
+                   F.count(F.when(F.col("TELEFONE").endswith(".0"), 1)).alias("TELEFONE_COM_DECIMAL"),
+                   F.count(F.when(F.col("LOCAL") == "", 1)).alias("LOCAL_VAZIO"))
