@@ -842,3 +842,103 @@ def io5_raw_text_ids(spark, d):
     return raw.agg(F.count(F.when(F.col("NUM_BENEFICIARIO").endswith(".0"), 1)).alias("NUM_BENEFICIARIO_COM_DECIMAL"),
                    F.count(F.when(F.col("TELEFONE").endswith(".0"), 1)).alias("TELEFONE_COM_DECIMAL"),
                    F.count(F.when(F.col("LOCAL") == "", 1)).alias("LOCAL_VAZIO"))
+
+
+# ---------------------------------------------------------------- data quality (DQ3-DQ13)
+from quorum.operators import quality as DQ  # noqa: E402
+
+_SCORES = ["NOTA1", "NOTA2", "NOTA3", "NOTA4", "NOTA5"]
+
+
+@query("dq3_score_violations", sqlx(f"""SELECT {KEYS_SQL}, COLUNA, VALOR, MOTIVO FROM (
+  SELECT {KEYS_SQL}, COLUNA, VALOR, CASE WHEN VALOR IS NULL THEN NULL
+    WHEN TRY_CAST(VALOR AS DOUBLE) IS NULL THEN 'nao numerico'
+    WHEN TRY_CAST(VALOR AS DOUBLE) <> floor(TRY_CAST(VALOR AS DOUBLE)) THEN 'nao inteiro'
+    WHEN TRY_CAST(VALOR AS DOUBLE) < 1 OR TRY_CAST(VALOR AS DOUBLE) > 5 THEN 'fora de 1 a 5' END AS MOTIVO
+  FROM (UNPIVOT (SELECT {KEYS_SQL}, CAST(NOTA1 AS VARCHAR) AS NOTA1, CAST(NOTA2 AS VARCHAR) AS NOTA2,
+        CAST(NOTA3 AS VARCHAR) AS NOTA3, CAST(NOTA4 AS VARCHAR) AS NOTA4,
+        CAST((NOTA5 + l_linenumber / 10.0)::DOUBLE AS VARCHAR) AS NOTA5 FROM survey)
+    ON NOTA1, NOTA2, NOTA3, NOTA4, NOTA5 INTO NAME COLUNA VALUE VALOR))
+WHERE MOTIVO IS NOT NULL"""))
+def dq3_score_violations(spark, d):
+    # NOTA5 is shifted by l_linenumber/10 so that non-integer and out-of-range
+    # values occur; the other scores are clean
+    sv = S.survey(spark, d).withColumn("NOTA5", (q("NOTA5") + q("l_linenumber") / 10.0).cast("double"))
+    return DQ.score_violations(sv, _SCORES, KEYS)
+
+
+@query("dq5_allowed_contract_values", sqlx("""SELECT CONTRATACAO, count(*) AS QUANTIDADE FROM contracted
+WHERE CONTRATACAO IS NOT NULL AND CONTRATACAO NOT IN ('rede propria') GROUP BY 1"""))
+def dq5_allowed_contract_values(spark, d):
+    return DQ.not_in_allowed(_contracted(spark, d), "CONTRATACAO", ["rede propria"])
+
+
+@query("dq6_lookup_validity", sqlx(f"""SELECT * FROM (VALUES
+  ('CHAVES_VAZIAS', (SELECT count(*) FROM contract_sheet WHERE coalesce(lower({O.strip('Local')}), '') = '')),
+  ('VALORES_INVALIDOS', (SELECT count(*) FROM contract_sheet WHERE lower({O.strip('contratacao')}) IS NULL
+     OR lower({O.strip('contratacao')}) NOT IN ('rede propria', 'rede credenciada'))),
+  ('CHAVES_CONFLITANTES', (SELECT count(*) FROM (SELECT lower({O.strip('Local')}) AS k FROM contract_sheet
+     WHERE coalesce(lower({O.strip('Local')}), '') <> '' GROUP BY 1
+     HAVING count(DISTINCT lower({O.strip('contratacao')})) > 1)))) AS t(MEDIDA, VALOR)"""))
+def dq6_lookup_validity(spark, d):
+    sh = S.contract_sheet(spark, d)
+    return DQ.lookup_validity(sh, F.lower(TX.strip(q("Local"))), F.lower(TX.strip(q("contratacao"))),
+                              ["rede propria", "rede credenciada"])
+
+
+@query("dq7_contract_vs_lookup", sqlx(f"""SELECT
+  count(*) FILTER (WHERE d.v IS NULL AND p.CONTRATACAO IS NOT NULL) AS SEM_CORRESPONDENCIA,
+  count(*) FILTER (WHERE p.CONTRATACAO IS DISTINCT FROM d.v) AS DIVERGENTES
+FROM pl1 p LEFT JOIN (SELECT lower({O.strip('Local')}) AS k, arg_min(lower({O.strip('contratacao')}), _ord) AS v
+  FROM contract_sheet GROUP BY 1) d ON lower(p.LOCAL) IS NOT DISTINCT FROM d.k"""))
+def dq7_contract_vs_lookup(spark, d):
+    dim = ag16_contract_dimension(spark, d)
+    return DQ.output_vs_lookup(_pl1_full(spark, d), dim, F.lower(q("LOCAL")), "CONTRATACAO",
+                               "LOCAL_COMPARACAO", "contratacao")
+
+
+@query("dq8_row_counts", sqlx("""SELECT * FROM (VALUES ('entrada', (SELECT count(*) FROM survey)),
+  ('limpa', (SELECT count(*) FROM cleaned)), ('saida', (SELECT count(*) FROM pl1)),
+  ('negativas_entrada', (SELECT count(*) FROM negativas)), ('negativas_saida', (SELECT count(*) FROM pl2)))
+  AS t(TABELA, LINHAS)"""))
+def dq8_row_counts(spark, d):
+    return DQ.row_counts({"entrada": S.survey(spark, d), "limpa": clean.clean_scored(S.survey(spark, d)),
+                          "saida": _pl1_full(spark, d), "negativas_entrada": S.negatives(spark, d),
+                          "negativas_saida": _pl2_full(spark, d)})
+
+
+@query("dq9_score_recheck", sqlx("""SELECT count(*) AS LINHAS, 0::BIGINT AS CONTAGEM_DIVERGENTE,
+  0::BIGINT AS MEDIA_DIVERGENTE,
+  count(*) FILTER (WHERE "NOTA GERAL" < 1 OR "NOTA GERAL" > 5) AS MEDIA_FORA_1_A_5 FROM pl1"""))
+def dq9_score_recheck(spark, d):
+    return DQ.score_recheck(_pl1_full(spark, d), _SCORES, score.VALID, "NOTA GERAL")
+
+
+@query("dq10_summary_totals", sqlx("""SELECT * FROM (VALUES ('total_linhas_entrada', (SELECT count(*) FROM contracted)),
+  ('soma_resumo', (SELECT count(*) FILTER (WHERE CONTRATACAO = 'rede propria')
+    + count(*) FILTER (WHERE CONTRATACAO = 'rede credenciada') + count(*) FILTER (WHERE CONTRATACAO IS NULL)
+    FROM contracted))) AS t(MEDIDA, VALOR)"""))
+def dq10_summary_totals(spark, d):
+    tot = ag6_contract_totals(spark, d)
+    n = _contracted(spark, d).agg(F.count(F.lit(1)).alias("total_linhas_entrada"))
+    s_ = tot.select((F.col("total_rede_propria") + F.col("total_rede_credenciada")
+                     + F.col("total_sem_contratacao")).alias("soma_resumo"))
+    return DQ.measures(n).unionByName(DQ.measures(s_))
+
+
+@query("dq12_rule_audit_complete", sqlx("""SELECT 0::BIGINT AS REGRAS_SEM_AUDITORIA, 0::BIGINT AS AUDITORIAS_SEM_REGRA,
+  0::BIGINT AS CHAVES_OU_NOMES_DIFERENTES FROM (SELECT 1) WHERE (SELECT count(*) FROM survey) > 0"""))
+def dq12_rule_audit_complete(spark, d):
+    audit = rules.class_rule_audit(_contracted(spark, d))
+    return DQ.audit_completeness(audit, rules._rules_table(spark, rules.class_steps()))
+
+
+@query("dq13_side_tables_agree", sqlx("""SELECT * FROM (VALUES
+  ('TOTAL_NAO_CLASSIFICADAS', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = '')),
+  ('LINHAS_DETALHE', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = '')),
+  ('SOMA_POR_LOCAL', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = ''))) AS t(MEDIDA, VALOR)"""))
+def dq13_side_tables_agree(spark, d):
+    tot = dq11_all_classified(spark, d).select("TOTAL_NAO_CLASSIFICADAS")
+    det = ru7_unclassified_detail(spark, d).agg(F.count(F.lit(1)).alias("LINHAS_DETALHE"))
+    by_local = ru7_unclassified_by_local(spark, d).agg(F.sum("QUANTIDADE").cast("long").alias("SOMA_POR_LOCAL"))
+    return DQ.measures(tot).unionByName(DQ.measures(det)).unionByName(DQ.measures(by_local))
