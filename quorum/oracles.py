@@ -156,13 +156,16 @@ LEFT JOIN (SELECT {meta_key(strip('grupo'))} AS k, arg_min(CAST(meta AS DOUBLE),
 ON {meta_key('t.CLASSIFICACAO')} = d.k"""
 
 
-def operated(src: str) -> str:
-    """RU9-RU11 (v1) in SQL: CASE over applied steps, last applied wins."""
+def operated(src: str, v2: bool = False) -> str:
+    """RU9-RU11 (v1) in SQL: CASE over applied steps, last applied wins.
+    ``v2``: literal 'contem', and the unit map gives the block's constant."""
     rules = ocfg.OPERATOR_RULES
     def flt(f):
         c = qi(f["coluna"])
         if f["tipo_filtro"] == "igual":
             return f"coalesce({c} = {s(f['valor_filtro'])}, false)"
+        if v2:
+            return f"coalesce(contains(upper({c}), upper({s(f['valor_filtro'])})), false)"
         return f"coalesce(regexp_matches({c}, {s(f['valor_filtro'])}, 'i'), false)"
     masks = ["(" + " AND ".join(flt(f) for f in r["filtros"]) + ")" for r in rules]
     vals = [s(r["valor_operadora"]) for r in rules]
@@ -179,12 +182,15 @@ def operated(src: str) -> str:
              f"WHEN {special} THEN {s(value)} "
              + " ".join(f"WHEN {m} THEN {v}" for m, v in reversed(list(zip(masks, vals))))
              + " ELSE OPERADORA END")
-    prep = f"""SELECT * REPLACE (upper({normalize('CLASSIFICACAO')}) AS CLASSIFICACAO, upper({normalize('UF')}) AS UF,
-   upper({normalize('"LOCAL EDITADO"')}) AS "LOCAL EDITADO", upper({normalize('OPERADORA')}) AS OPERADORA,
-   lower({normalize('CONTRATACAO')}) AS CONTRATACAO, {normalize('ESPECIALIDADE')} AS ESPECIALIDADE)
+    n = (lambda x: f"coalesce({normalize(x)}, '')") if v2 else normalize
+    prep = f"""SELECT * REPLACE (upper({n('CLASSIFICACAO')}) AS CLASSIFICACAO, upper({n('UF')}) AS UF,
+   upper({n('"LOCAL EDITADO"')}) AS "LOCAL EDITADO", upper({n('OPERADORA')}) AS OPERADORA,
+   lower({n('CONTRATACAO')}) AS CONTRATACAO, {n('ESPECIALIDADE')} AS ESPECIALIDADE)
 FROM (SELECT COLUMNS(lambda c: c <> 'OPERADORA'), NULL::VARCHAR AS OPERADORA FROM {src})"""
     dim = f"""SELECT upper({normalize('UNIDADE')}) AS k, arg_min(upper({normalize('OPERA')}), _ord) AS v
 FROM unit_sheet WHERE UNIDADE IS NOT NULL GROUP BY 1"""
+    if v2:
+        dim = f"SELECT k, {s(ocfg.V2_MAP_OPERATOR)} AS v FROM ({dim})"
     return f"""SELECT * EXCLUDE (__mo) REPLACE (upper({normalize(final)}) AS OPERADORA)
 FROM (SELECT p.*, d.v AS __mo FROM ({prep}) p LEFT JOIN ({dim}) d ON p."LOCAL EDITADO" = d.k)"""
 

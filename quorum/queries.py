@@ -942,3 +942,49 @@ def dq13_side_tables_agree(spark, d):
     det = ru7_unclassified_detail(spark, d).agg(F.count(F.lit(1)).alias("LINHAS_DETALHE"))
     by_local = ru7_unclassified_by_local(spark, d).agg(F.sum("QUANTIDADE").cast("long").alias("SOMA_POR_LOCAL"))
     return DQ.measures(tot).unionByName(DQ.measures(det)).unionByName(DQ.measures(by_local))
+
+
+# ---------------------------------------------------------------- operator rules v2 (RU12-RU17)
+def _v2_sheet(spark, d):
+    return operator_rules.default_v2_rule_table(spark, S.unit_sheet(spark, d))
+
+
+@query("ru14_operator_v2", sqlx(f"""SELECT {KEYS_SQL}, "LOCAL EDITADO", UF, OPERADORA FROM ({O.operated('edited', v2=True)})"""))
+def ru14_operator_v2(spark, d):
+    out = operator_rules.assign_operator_v2(_edited(spark, d), _v2_sheet(spark, d))
+    return out.select(*KEYS, q("LOCAL EDITADO"), "UF", "OPERADORA")
+
+
+@query("ru16_blank_before_closing", sqlx(f"""SELECT count(*) AS LINHAS_VAZIAS_ANTES_DO_FECHAMENTO
+FROM ({O.operated('edited', v2=True)}) WHERE OPERADORA = 'HAPVIDA'"""))
+def ru16_blank_before_closing(spark, d):
+    out = operator_rules.assign_operator_v2(_edited(spark, d), _v2_sheet(spark, d), snapshot_col="__snap")
+    return out.agg(F.count(F.when(F.col("__snap"), 1)).alias("LINHAS_VAZIAS_ANTES_DO_FECHAMENTO"))
+
+
+@query("ru14_operator_v2_audit")
+def ru14_operator_v2_audit(spark, d):
+    return operator_rules.operator_v2_audit(_edited(spark, d), _v2_sheet(spark, d))
+
+
+@query("ru17_operator_v2_overwrite_log")
+def ru17_operator_v2_overwrite_log(spark, d):
+    return operator_rules.operator_v2_overwrite_log(_edited(spark, d), _v2_sheet(spark, d))
+
+
+@query("ru17_operator_overwrite_log")
+def ru17_operator_overwrite_log(spark, d):
+    df, us = _operated_frame(spark, d)
+    return operator_rules.operator_overwrite_log(df, us)
+
+
+@query("ru13_rule_validation")
+def ru13_rule_validation(spark, d):
+    """Violations of the v2 rule sheet plus one deliberately broken row
+    (unknown column, bad comparator, missing value)."""
+    sheet = _v2_sheet(spark, d)
+    broken = spark.createDataFrame(
+        [("X", "nao", "COLUNA_INEXISTENTE", "parecido", None, None, None, None, None, None, None, "x", "sim",
+          "regra com problemas", 7)], sheet.schema)
+    rules_t = operator_rules.load_rule_table(sheet.unionByName(broken))
+    return operator_rules.validate_rule_table(rules_t, _edited(spark, d).columns)
