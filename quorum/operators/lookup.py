@@ -30,6 +30,8 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     A dimension past the bound is joined with a shuffle join instead (and
     AQE may still broadcast it if its measured size turns out small).
     """
+    if max_rows < 0:  # no check possible (streaming): leave the choice to the planner
+        return dim
     n = (dim if bound is None else bound).limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
