@@ -988,3 +988,103 @@ def ru13_rule_validation(spark, d):
           "regra com problemas", 7)], sheet.schema)
     rules_t = operator_rules.load_rule_table(sheet.unionByName(broken))
     return operator_rules.validate_rule_table(rules_t, _edited(spark, d).columns)
+
+
+# ---------------------------------------------------------------- top-k / first-n reports (SO5-SO7)
+@query("so5_top_places_without_contract", sqlx("""SELECT coalesce(LOCAL, 'VAZIO') AS LOCAL, count(*) AS QUANTIDADE
+FROM contracted WHERE CONTRATACAO IS NULL GROUP BY 1 ORDER BY QUANTIDADE DESC, LOCAL ASC LIMIT 50"""))
+def so5_top_places_without_contract(spark, d):
+    df = _contracted(spark, d).where(q("CONTRATACAO").isNull())
+    return SM.top(SM.frequency(df, "LOCAL"), 50, ["LOCAL"])
+
+
+@query("so6_top_rules", sqlx(f"""SELECT ORDEM_REGRA, CHAVE_GRUPO, TOTAL_ATINGIDAS FROM (
+{_audit_sql(f"({O.class_prep('contracted')})")}) ORDER BY TOTAL_ATINGIDAS DESC, ORDEM_REGRA ASC LIMIT 10"""))
+def so6_top_rules(spark, d):
+    a = rules.class_rule_audit(_contracted(spark, d))
+    return a.orderBy(F.col("TOTAL_ATINGIDAS").desc(), "ORDEM_REGRA").limit(10).select(
+        "ORDEM_REGRA", "CHAVE_GRUPO", "TOTAL_ATINGIDAS")
+
+
+@query("so6_top_overwrites", sqlx(f"""SELECT ORDEM_REGRA_ANTERIOR, ORDEM_REGRA_NOVA, QUANTIDADE FROM (
+{_label_sql(_events_sql(f"({O.class_prep('contracted', _overwriting_rules())})", _overwriting_rules(), True))})
+ORDER BY QUANTIDADE DESC, ORDEM_REGRA_NOVA ASC, ORDEM_REGRA_ANTERIOR ASC LIMIT 20"""))
+def so6_top_overwrites(spark, d):
+    a = rules.class_overwrite_audit(_contracted(spark, d), _overwriting_rules())
+    return a.orderBy(F.col("QUANTIDADE").desc(), "ORDEM_REGRA_NOVA", "ORDEM_REGRA_ANTERIOR").limit(20).select(
+        "ORDEM_REGRA_ANTERIOR", "ORDEM_REGRA_NOVA", "QUANTIDADE")
+
+
+@query("so7_first_violations", sqlx(f"""SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS CHAVE, COLUNA, MOTIVO FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'NOTA5' AS COLUNA,
+    CASE WHEN x <> floor(x) THEN 'nao inteiro' WHEN x < 1 OR x > 5 THEN 'fora de 1 a 5' END AS MOTIVO
+  FROM (SELECT *, (NOTA5 + l_linenumber / 10.0)::DOUBLE AS x FROM survey) WHERE NOTA5 IS NOT NULL)
+WHERE MOTIVO IS NOT NULL ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20)
+UNION ALL SELECT 'RESTANTES', NULL, CAST(greatest(count(*) - 20, 0) AS VARCHAR) FROM (
+  SELECT (NOTA5 + l_linenumber / 10.0)::DOUBLE AS x FROM survey WHERE NOTA5 IS NOT NULL)
+WHERE x <> floor(x) OR x < 1 OR x > 5"""))
+def so7_first_violations(spark, d):
+    v = dq3_score_violations(spark, d)
+    head, rest = SM.first_with_remainder(v, 20, [F.col(c) for c in S.ORDER_COLUMNS])
+    head = head.select(F.col("l_orderkey").cast("string").alias("CHAVE"), "COLUNA", "MOTIVO")
+    rest = rest.select(F.lit("RESTANTES").alias("CHAVE"), F.lit(None).cast("string").alias("COLUNA"),
+                       F.col("RESTANTES").cast("string").alias("MOTIVO"))
+    return head.unionByName(rest)
+
+
+# ---------------------------------------------------------------- summary sinks (IO17 / IO18 / IO19 / PR15 / AG18)
+@query("io17_summary_json", sqlx("""SELECT count(*) AS total_linhas_entrada,
+  count(*) FILTER (WHERE CONTRATACAO = 'rede propria') AS total_rede_propria,
+  count(*) FILTER (WHERE CONTRATACAO = 'rede credenciada') AS total_rede_credenciada,
+  count(*) FILTER (WHERE CONTRATACAO IS NULL) AS total_sem_contratacao,
+  CAST(count(DISTINCT CASE WHEN CONTRATACAO IS NULL THEN coalesce(LOCAL, 'VAZIO') END) AS BIGINT) AS locais_sem_contratacao
+FROM contracted"""))
+def io17_summary_json(spark, d):
+    from quorum.sources import io as IO
+    c = _contracted(spark, d)
+    tot = c.agg(F.count(F.lit(1)).alias("total_linhas_entrada"),
+                F.count(F.when(q("CONTRATACAO") == "rede propria", 1)).alias("total_rede_propria"),
+                F.count(F.when(q("CONTRATACAO") == "rede credenciada", 1)).alias("total_rede_credenciada"),
+                F.count(F.when(q("CONTRATACAO").isNull(), 1)).alias("total_sem_contratacao"))
+    places = SM.records(SM.frequency(c.where(q("CONTRATACAO").isNull()), "LOCAL"), ["LOCAL", "QUANTIDADE"],
+                        "locais_sem_contratacao")
+    summary = tot.unionByName(places, allowMissingColumns=True).agg(
+        *[F.max(x).alias(x) for x in tot.columns], F.first("locais_sem_contratacao", ignorenulls=True)
+        .alias("locais_sem_contratacao"))
+    path = IO.scratch_path(spark, "resumo-json")
+    IO.write_summary_json(summary, path)
+    back = spark.read.schema(summary.schema).json(path)
+    return back.select(*tot.columns, F.size("locais_sem_contratacao").cast("long").alias("locais_sem_contratacao"))
+
+
+@query("io18_summary_csv", sqlx("""SELECT ACAO_LOCAL_EDITADO, count(*) AS QUANTIDADE FROM edited_act GROUP BY 1"""))
+def io18_summary_csv(spark, d):
+    from quorum.sources import io as IO
+    t = SM.frequency(_edited_action(spark, d), "ACAO_LOCAL_EDITADO", None)
+    path = IO.scratch_path(spark, "resumo-csv")
+    IO.write_summary_csv(t, path)
+    return spark.read.schema(t.schema).option("header", True).csv(path)
+
+
+def _ru8_body():
+    return _ru8_sql()
+
+
+@query("io19_rule_audit_partitions", sqlx(f"""SELECT ORDEM_REGRA_NOVA,
+  coalesce(nullif(lower(regexp_replace(regexp_replace(strip_accents(NOME_LISTA_NOVA), '[^a-zA-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')), ''), 'sem_nome') AS SLUG,
+  count(*) AS LINHAS, sum(QUANTIDADE) AS QUANTIDADE FROM ({_ru8_body()}) GROUP BY 1, 2"""))
+def io19_rule_audit_partitions(spark, d):
+    from quorum.sources import io as IO
+    a = rules.incremental_overwrite_audit(_contracted(spark, d)).withColumn("SLUG", TX.slug(F.col("NOME_LISTA_NOVA")))
+    path = IO.scratch_path(spark, "auditoria-por-regra")
+    IO.write_partitioned(a, path, ["ORDEM_REGRA_NOVA", "SLUG"])
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("ORDEM_REGRA_NOVA").cast("int").alias("ORDEM_REGRA_NOVA"), "SLUG").agg(
+        F.count(F.lit(1)).alias("LINHAS"), F.sum("QUANTIDADE").cast("long").alias("QUANTIDADE"))
+
+
+@query("ag18_total_overwrites", sqlx(f"""SELECT CAST(coalesce(sum(QUANTIDADE), 0) AS BIGINT) AS TOTAL_SOBRESCRITAS FROM (
+{_label_sql(_events_sql(f"({O.class_prep('contracted', _overwriting_rules())})", _overwriting_rules(), True))})"""))
+def ag18_total_overwrites(spark, d):
+    a = rules.class_overwrite_audit(_contracted(spark, d), _overwriting_rules())
+    return a.agg(F.coalesce(F.sum("QUANTIDADE"), F.lit(0)).cast("long").alias("TOTAL_SOBRESCRITAS"))
