@@ -2,7 +2,9 @@
 
 Each query is fully computed through the ``noop`` sink (no collect to the
 driver).  Prints one JSON line: total seconds plus per-query seconds.
-Set BENCH_QUERIES to a comma list to run a subset.
+Headline queries by default (the pipelines, the rule fold and its audits,
+routing and delivery); BENCH_QUERIES=all runs every registered query, or
+give a comma list.
 """
 
 from __future__ import annotations
@@ -18,10 +20,18 @@ from quorum.queries import QUERIES  # noqa: E402
 from quorum.session import build_session  # noqa: E402
 
 
+HEADLINE = [
+    "pl1_scored_pipeline", "pl2_negative_pipeline", "ru1_classify", "an1_unit_result",
+    "ru4_class_rule_audit", "ru8_incremental_overwrite_audit", "ru9_operator", "ru14_operator_v2",
+    "pl3_route_class_counts", "io14_delivery_datasets", "ag8_unit_inspection", "dq3_score_violations",
+]
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    only = [x for x in os.environ.get("BENCH_QUERIES", "").split(",") if x]
+    sel = os.environ.get("BENCH_QUERIES", "")
+    only = HEADLINE if not sel else ([] if sel == "all" else [x for x in sel.split(",") if x])
     spark = build_session(master=f"local[{cpus}]", app="quorum-bench",
                           shuffle_partitions=int(cpus) * 2)
     names = [n for n in QUERIES if not only or n in only]
