@@ -681,9 +681,12 @@ ORACLES["ag15_reconciliation"] = sqlx("""SELECT ORIGEM, TOTAL_ORIGEM, TOTAL_ENVI
 FROM routed WHERE GRUPO IS NOT NULL"""))
 def io14_delivery_datasets(spark, d):
     from quorum.sources import io as IO
-    out = R.delivery(_routed_step(spark, d)).select(*KEYS, "GRUPO", "ORIGEM", "CLASSIFICACAO")
+    from datetime import datetime
+    run_id = datetime.now().strftime("%Y%m%d_%H%M%S")  # IO16: run-stamped output
+    out = (R.delivery(_routed_step(spark, d)).select(*KEYS, "GRUPO", "ORIGEM", "CLASSIFICACAO")
+           .withColumn("RUN_ID", F.lit(run_id)))
     path = IO.scratch_path(spark, "delivery")
-    IO.write_partitioned(out, path, ["GRUPO", "ORIGEM"])
+    IO.write_partitioned(out, path, ["RUN_ID", "GRUPO", "ORIGEM"])
     return spark.read.parquet(path).select(*KEYS, "GRUPO", "ORIGEM", "CLASSIFICACAO")
 
 
@@ -1088,3 +1091,48 @@ def io19_rule_audit_partitions(spark, d):
 def ag18_total_overwrites(spark, d):
     a = rules.class_overwrite_audit(_contracted(spark, d), _overwriting_rules())
     return a.agg(F.coalesce(F.sum("QUANTIDADE"), F.lit(0)).cast("long").alias("TOTAL_SOBRESCRITAS"))
+
+
+# ---------------------------------------------------------------- remaining sources and traces
+@query("io10_rules_file_classify", sqlx(f"SELECT {KEYS_SQL}, CLASSIFICACAO FROM classified"))
+def io10_rules_file_classify(spark, d):
+    """Rules written to a JSON rule file, read back (IO10) and applied."""
+    from quorum.config.classification import CLASSIFICATION_RULES
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "regras")
+    IO.write_class_rules(spark, CLASSIFICATION_RULES, path)
+    loaded = IO.read_class_rules(spark, path)
+    return rules.classify(_contracted(spark, d), loaded).select(*KEYS, "CLASSIFICACAO")
+
+
+@query("io6_sheet_by_name", sqlx(f"""SELECT lower({O.strip('Local')}) AS LOCAL_COMPARACAO,
+  arg_min(lower({O.strip('contratacao')}), _ord) AS contratacao FROM contract_sheet GROUP BY 1"""))
+def io6_sheet_by_name(spark, d):
+    """Lookup sheets stored one dataset per sheet name (IO6), read back by name."""
+    from quorum.sources import io as IO
+    base = IO.scratch_path(spark, "insumos")
+    S.contract_sheet(spark, d).write.parquet(f"{base}/contratacao")
+    sh = IO.read_sheet(spark, base, "contratacao")
+    dim = sh.select(F.lower(TX.strip(q("Local"))).alias("LOCAL_COMPARACAO"),
+                    F.lower(TX.strip(q("contratacao"))).alias("contratacao"), "_ord")
+    return lookup.keep_first(dim, "LOCAL_COMPARACAO", ["contratacao"], "_ord")
+
+
+@query("io11_missing_lookup", S.with_views(f"""SELECT {KEYS_SQL}, OPERADORA FROM ({O.operated('edited').replace(
+    'FROM unit_sheet WHERE', 'FROM (SELECT * FROM unit_sheet WHERE false) WHERE')})""", *STAGES))
+def io11_missing_lookup(spark, d):
+    """The operator step when the optional unit sheet is missing (IO11)."""
+    from quorum.sources import io as IO
+    sheet = IO.read_optional(spark, IO.scratch_path(spark, "planilha-ausente"))
+    return operator_rules.assign_operator(_edited(spark, d), sheet).select(*KEYS, "OPERADORA")
+
+
+@query("ru3_rule_trace", sqlx(f"""SELECT {KEYS_SQL},
+  CASE WHEN NOT __ob THEN 'ORIGINAL' WHEN __fm IS NOT NULL THEN CAST(__fm AS VARCHAR) END AS _ORDEM_REGRA,
+  CASE WHEN NOT __ob THEN 'BASE DE ENTRADA' ELSE m.lista END AS _NOME_LISTA,
+  CASE WHEN NOT __ob THEN 'CLASSIFICACAO_PRE_EXISTENTE' ELSE m.chave END AS _CHAVE_GRUPO
+FROM ({O.class_prep('contracted')}) p LEFT JOIN {O.rule_meta_values()} m ON p.__fm = m.k"""))
+def ru3_rule_trace(spark, d):
+    """Which rule set each row's class (RU3 origin tracking)."""
+    return rules.classify(_contracted(spark, d), keep_trace=True).select(
+        *KEYS, "_ORDEM_REGRA", "_NOME_LISTA", "_CHAVE_GRUPO")

@@ -115,3 +115,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     from quorum.session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quorum-io/{name}-{uuid.uuid4().hex}"
+
+
+# --- rule files (IO10) --------------------------------------------------------
+CLASS_RULE_SCHEMA = T.StructType(
+    [T.StructField(f, T.BooleanType() if f == "aplicar_somente_vazios" else T.StringType(), True)
+     for f in ("grupo_classificacao", "nome_lista", "aplicar_somente_vazios", "palavra_filtro",
+               "tipo_igual", "tipo_diferente", "contratacao_igual", "contratacao_diferente",
+               "filtro_local", "filtro_local_diferente", "filtro_especialidade",
+               "filtro_especialidade_diferente")])
+
+
+def write_class_rules(spark: SparkSession, rules, path: str) -> None:
+    """Write a rule list as a JSON rule file (one array, like the source files)."""
+    import json
+    rows = [{k: (json.dumps(v) if k.startswith("tipo_") and v is not None else v) for k, v in r.items()}
+            for r in rules]
+    spark.createDataFrame(rows, CLASS_RULE_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_class_rules(spark: SparkSession, path: str, max_rules: int = 10_000) -> list[dict]:
+    """IO10: rule file -> ordered rule list (a small configuration table).
+
+    ``tipo_*`` are read as text and parsed: '[..]' -> list of ints, a number
+    -> int.  Order is the file order (``monotonically_increasing_id`` right
+    after the scan).  Rules are configuration, bounded by ``max_rules``.
+    """
+    import json
+    df = (spark.read.schema(CLASS_RULE_SCHEMA).option("multiLine", False).json(path)
+          .withColumn("_ord", F.monotonically_increasing_id()))
+    rows = df.orderBy("_ord").limit(max_rules + 1).collect()
+    if len(rows) > max_rules:
+        raise ValueError("rule file too large")
+    out = []
+    for r in rows:
+        d = r.asDict()
+        d.pop("_ord")
+        for k in ("tipo_igual", "tipo_diferente"):
+            v = d[k]
+            if v is not None:
+                v = json.loads(v) if v.strip().startswith("[") else int(float(v))
+            d[k] = v
+        out.append(d)
+    return out
