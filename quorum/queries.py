@@ -1136,3 +1136,15 @@ def ru3_rule_trace(spark, d):
     """Which rule set each row's class (RU3 origin tracking)."""
     return rules.classify(_contracted(spark, d), keep_trace=True).select(
         *KEYS, "_ORDEM_REGRA", "_NOME_LISTA", "_CHAVE_GRUPO")
+
+
+@query("io4_pruned_csv_scan", sqlx("""SELECT TIPO, count(*) AS QUANTIDADE, count(ESPECIALIDADE) AS COM_ESPECIALIDADE
+FROM (SELECT CAST(TIPO AS VARCHAR) AS TIPO, ESPECIALIDADE FROM survey) GROUP BY 1"""))
+def io4_pruned_csv_scan(spark, d):
+    """IO3/IO4: a plain CSV scan pruned to the columns a report needs."""
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "survey-csv-pruned")
+    IO.write_survey_csv(S.survey(spark, d), path)
+    df = IO.read_csv_columns(spark, path, ["TIPO", "ESPECIALIDADE"])
+    return df.groupBy("TIPO").agg(F.count(F.lit(1)).alias("QUANTIDADE"),
+                                  F.count("ESPECIALIDADE").alias("COM_ESPECIALIDADE"))
