@@ -462,39 +462,74 @@ def _operated_frame(spark, d):
     return _edited(spark, d), S.unit_sheet(spark, d)
 
 
-def _op_audit_sql() -> str:
-    """RU9 audit oracle: per step counts via the closed form written in SQL."""
+def _op_steps_sql(v2: bool = False):
+    """(mask, fill_only, name, value-sql, ordem) per operator step, in SQL."""
     from quorum.config import operator as oc
     rules_ = oc.OPERATOR_RULES
+
     def flt(f):
         c = O.qi(f["coluna"])
         if f["tipo_filtro"] == "igual":
             return f"coalesce({c} = {O.s(f['valor_filtro'])}, false)"
+        if v2:
+            return f"coalesce(contains(upper({c}), upper({O.s(f['valor_filtro'])})), false)"
         return f"coalesce(regexp_matches({c}, {O.s(f['valor_filtro'])}, 'i'), false)"
     masks = ["(" + " AND ".join(flt(f) for f in r["filtros"]) + ")" for r in rules_]
     name, value, col, place = oc.SPECIAL_FILL_RULE
-    masks_all = masks + [f"coalesce({O.qi(col)} = {O.s(place)}, false)", "(__mo IS NOT NULL AND __mo <> '')", "true"]
-    fills = [False] * len(masks) + [True, False, True]
-    names = [r["descricao"] for r in rules_] + [name, oc.MAP_RULE_NAME, oc.DEFAULT_RULE_NAME]
-    vals = [r["valor_operadora"] for r in rules_] + [value, oc.MAP_RULE_VALUE, oc.DEFAULT_OPERATOR]
+    n = len(rules_)
+    masks += [f"coalesce({O.qi(col)} = {O.s(place)}, false)", "(__mo IS NOT NULL AND __mo <> '')", "true"]
+    fills = [False] * n + [True, False, True]
+    names = [r["descricao"] for r in rules_] + [name, oc.V2_MAP_BLOCK_NAME if v2 else oc.MAP_RULE_NAME,
+                                                 oc.DEFAULT_RULE_NAME]
+    vals = [O.s(r["valor_operadora"]) for r in rules_] + [O.s(value), "__mo", O.s(oc.DEFAULT_OPERATOR)]
+    shown = [r["valor_operadora"] for r in rules_] + [value, oc.V2_MAP_OPERATOR if v2 else oc.MAP_RULE_VALUE,
+                                                      oc.DEFAULT_OPERATOR]
+    ordens = list(range(1, n + 2)) + ([n + 5, n + 10] if v2 else [n + 2, n + 3])
+    return masks, fills, names, vals, shown, ordens
+
+
+def _op_applied_sql(masks, fills):
     ob = O.blank("OPERADORA")
-    parts = []
-    for k, (m, fo) in enumerate(zip(masks_all, fills)):
-        before = " OR ".join(["false"] + masks_all[:k])
+    out = []
+    for k, (m, fo) in enumerate(zip(masks, fills)):
+        before = " OR ".join(["false"] + masks[:k])
         bb = f"({ob} AND NOT ({before}))"
-        ap = f"({m} AND {bb})" if fo else m
-        parts.append(f"""SELECT {k + 1} AS ORDEM, {O.s(names[k])} AS REGRA, {O.s(vals[k])} AS OPERADORA_APLICADA,
+        out.append((f"({m} AND {bb})" if fo else m, bb))
+    return out
+
+
+def _op_audit_sql(v2: bool = False) -> str:
+    """Operator audit oracle: per step counts via the closed form in SQL."""
+    masks, fills, names, vals, shown, ordens = _op_steps_sql(v2)
+    parts = []
+    for k, (ap, bb) in enumerate(_op_applied_sql(masks, fills)):
+        ordem = ordens[k] if v2 else k + 1
+        extra = f", {O.s('sim' if fills[k] else 'nao')} AS APLICAR_SOMENTE_VAZIOS" if v2 else ""
+        parts.append(f"""SELECT {ordem} AS ORDEM, {O.s(names[k])} AS REGRA, {O.s(shown[k])} AS OPERADORA_APLICADA{extra},
   count(*) FILTER (WHERE {ap}) AS TOTAL_ATINGIDAS, count(*) FILTER (WHERE {ap} AND {bb}) AS TOTAL_VAZIAS,
   count(*) FILTER (WHERE {ap} AND NOT {bb}) AS TOTAL_SOBRESCRITAS FROM opprep""")
     return "\nUNION ALL\n".join(parts)
 
 
-def _opprep_sql() -> str:
-    n = O.normalize
+def _op_overwrite_log_sql() -> str:
+    """v1 overwrite log oracle: applied steps as rows, previous value by lag."""
+    masks, fills, names, vals, shown, ordens = _op_steps_sql(False)
+    parts = [f"SELECT {KEYS_SQL}, \"LOCAL EDITADO\" AS le, 0 AS k, OPERADORA AS v FROM opprep WHERE NOT {O.blank('OPERADORA')}"]
+    for k, (ap, bb) in enumerate(_op_applied_sql(masks, fills)):
+        parts.append(f"SELECT {KEYS_SQL}, \"LOCAL EDITADO\", {k + 1}, {vals[k]} FROM opprep WHERE {ap}")
+    u = "\nUNION ALL\n".join(parts)
+    return f"""SELECT le AS "LOCAL EDITADO", v AS OPERADORA, p AS OPERADORA_ANTERIOR, count(*) AS QUANTIDADE FROM (
+  SELECT *, lag(v) OVER (PARTITION BY {KEYS_SQL} ORDER BY k) AS p FROM ({u}))
+WHERE p IS NOT NULL AND le IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+def _opprep_sql(v2: bool = False) -> str:
+    n = (lambda x: f"coalesce({O.normalize(x)}, '')") if v2 else O.normalize
+    mo = f"{O.s('NDI SP E RJ')}" if v2 else "arg_min(upper(" + O.normalize('OPERA') + "), _ord)"
     return f"""SELECT p.*, d.v AS __mo FROM (SELECT * REPLACE (upper({n('CLASSIFICACAO')}) AS CLASSIFICACAO,
    upper({n('UF')}) AS UF, upper({n('"LOCAL EDITADO"')}) AS "LOCAL EDITADO",
    upper({n('OPERADORA')}) AS OPERADORA) FROM (SELECT *, NULL::VARCHAR AS OPERADORA FROM edited)) p
-LEFT JOIN (SELECT upper({n('UNIDADE')}) AS k, arg_min(upper({n('OPERA')}), _ord) AS v FROM unit_sheet
+LEFT JOIN (SELECT upper({O.normalize('UNIDADE')}) AS k, {mo} AS v FROM unit_sheet
            WHERE UNIDADE IS NOT NULL GROUP BY 1) d ON p."LOCAL EDITADO" = d.k"""
 
 
@@ -965,7 +1000,7 @@ def ru16_blank_before_closing(spark, d):
     return out.agg(F.count(F.when(F.col("__snap"), 1)).alias("LINHAS_VAZIAS_ANTES_DO_FECHAMENTO"))
 
 
-@query("ru14_operator_v2_audit")
+@query("ru14_operator_v2_audit", S.with_views(_op_audit_sql(True), *STAGES, ("opprep", _opprep_sql(True))))
 def ru14_operator_v2_audit(spark, d):
     return operator_rules.operator_v2_audit(_edited(spark, d), _v2_sheet(spark, d))
 
@@ -975,7 +1010,7 @@ def ru17_operator_v2_overwrite_log(spark, d):
     return operator_rules.operator_v2_overwrite_log(_edited(spark, d), _v2_sheet(spark, d))
 
 
-@query("ru17_operator_overwrite_log")
+@query("ru17_operator_overwrite_log", S.with_views(_op_overwrite_log_sql(), *STAGES, ("opprep", _opprep_sql())))
 def ru17_operator_overwrite_log(spark, d):
     df, us = _operated_frame(spark, d)
     return operator_rules.operator_overwrite_log(df, us)
