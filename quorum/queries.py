@@ -1183,3 +1183,25 @@ def io4_pruned_csv_scan(spark, d):
     df = IO.read_csv_columns(spark, path, ["TIPO", "ESPECIALIDADE"])
     return df.groupBy("TIPO").agg(F.count(F.lit(1)).alias("QUANTIDADE"),
                                   F.count("ESPECIALIDADE").alias("COM_ESPECIALIDADE"))
+
+
+def _op_v2_overwrite_log_sql() -> str:
+    """v2 overwrite log oracle: applied steps as rows with values and rule
+    names (a map block is named after the matched unit), lag for the previous."""
+    masks, fills, names, vals, shown, ordens = _op_steps_sql(True)
+    block = len(masks) - 2
+    parts = []
+    for k, (ap, bb) in enumerate(_op_applied_sql(masks, fills)):
+        name = ("concat('LOCAL EDITADO igual a ', \"LOCAL EDITADO\")" if k == block else O.s(names[k]))
+        val = O.s("NDI SP E RJ") if k == block else vals[k]
+        parts.append(f"SELECT {KEYS_SQL}, LOCAL, \"LOCAL EDITADO\" AS le, UF, {k + 1} AS k, {val} AS v, {name} AS r "
+                     f"FROM opprep WHERE {ap}")
+    u = "\nUNION ALL\n".join(parts)
+    return f"""SELECT LOCAL, le AS "LOCAL EDITADO", UF, p AS OPERADORA_ANTERIOR, v AS OPERADORA_NOVA,
+  pr AS REGRA_ANTERIOR, r AS REGRA_NOVA, count(*) AS QUANTIDADE FROM (
+  SELECT *, lag(v) OVER w AS p, lag(r) OVER w AS pr FROM ({u}) WINDOW w AS (PARTITION BY {KEYS_SQL} ORDER BY k))
+WHERE p IS NOT NULL GROUP BY ALL"""
+
+
+ORACLES["ru17_operator_v2_overwrite_log"] = S.with_views(_op_v2_overwrite_log_sql(), *STAGES,
+                                                         ("opprep", _opprep_sql(True)))
