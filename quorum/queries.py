@@ -983,6 +983,47 @@ def dq13_side_tables_agree(spark, d):
 
 
 # ---------------------------------------------------------------- operator rules v2 (RU12-RU17)
+def _ru13_sql() -> str:
+    """Rule-sheet load + validation written in SQL over the same sheet."""
+    from quorum.config import operator as oc
+    from quorum.operators.operator_rules import v2_fixed_rows
+
+    def lit(v):
+        return "NULL::VARCHAR" if v is None else O.s(v)
+    broken = ("X", "nao", "COLUNA_INEXISTENTE", "parecido", None, None, None, None, None, None, None, "x", "sim",
+              "regra com problemas", 7)
+    vals = ", ".join("(" + ", ".join([lit(x) for x in r[:-1]] + [f"{r[-1]}::BIGINT"]) + ")"
+                     for r in v2_fixed_rows() + [broken])
+    cols = list(oc.V2_SHEET_COLUMNS) + ["_ord"]
+    n = len(oc.OPERATOR_RULES)
+    units = f"""SELECT 'NDI SP E RJ', 'nao', 'LOCAL EDITADO', 'igual', k, NULL, NULL, NULL, NULL, NULL, NULL,
+  '{n + 5}', 'sim', concat('LOCAL EDITADO igual a ', k), 1000000::BIGINT
+  FROM (SELECT DISTINCT upper({O.normalize('UNIDADE')}) AS k FROM unit_sheet WHERE UNIDADE IS NOT NULL)"""
+    sheet = f"SELECT * FROM (VALUES {vals}) AS t({', '.join(cols)}) UNION ALL {units}"
+    nz = lambda c: f"coalesce({O.normalize(c)}, '')"
+    flag = lambda c: f"coalesce(lower(trim({c})) IN ('sim', 's', 'true', '1', 'yes'), false)"
+    num = "CASE WHEN regexp_full_match(trim(ORDEM), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN CAST(trim(ORDEM) AS DOUBLE) END"
+    texts = {"descricao": "DESCRICAO", "operadora": "OPERADORA", "coluna_1": "COLUNA_FILTRO_1",
+             "comparador_1": "COMPARADOR_1", "valor_1": "VALOR_1", "coluna_2": "COLUNA_FILTRO_2",
+             "comparador_2": "COMPARADOR_2", "valor_2": "VALOR_2", "coluna_3": "COLUNA_FILTRO_3",
+             "comparador_3": "COMPARADOR_3", "valor_3": "VALOR_3"}
+    sel = ", ".join(f"{'upper(' + nz(c) + ')' if a == 'operadora' else nz(c)} AS {a}" for a, c in texts.items())
+    r = f"SELECT _ord, {num} AS ordem, {sel} FROM ({sheet}) WHERE {flag('STATUS_ATIVO')}"
+    base = [a for a, _ in S.SURVEY_EXPRS] + ["CONTRATACAO", "LOCAL EDITADO"]
+    base_sql = ", ".join(O.s(c) for c in base)
+    comps = ", ".join(O.s(c) for c in oc.V2_COMPARATORS)
+    parts = [f"SELECT _ord, 0 AS slot, 'ordem vazia ou invalida' AS problema FROM r WHERE ordem IS NULL",
+             f"SELECT _ord, 0, 'operadora vazia' FROM r WHERE operadora = ''"]
+    for k in (1, 2, 3):
+        c, o, v = f"coluna_{k}", f"comparador_{k}", f"valor_{k}"
+        msg = (f"CASE WHEN {c} = '' THEN 'coluna vazia' WHEN {c} NOT IN ({base_sql}) THEN concat('coluna inexistente ', {c}) "
+               f"WHEN {o} NOT IN ({comps}) THEN concat('comparador invalido ', {o}) "
+               f"WHEN {o} NOT IN ('vazio', 'nao_vazio') AND {v} = '' THEN 'comparador sem valor' END")
+        parts.append(f"SELECT _ord, {k}, m FROM (SELECT _ord, {msg} AS m FROM r WHERE {c} <> '' OR {o} <> '' OR {v} <> '') "
+                     f"WHERE m IS NOT NULL")
+    return S.with_views(" UNION ALL ".join(parts), ("r", r))
+
+
 def _v2_sheet(spark, d):
     return operator_rules.default_v2_rule_table(spark, S.unit_sheet(spark, d))
 
@@ -1016,7 +1057,7 @@ def ru17_operator_overwrite_log(spark, d):
     return operator_rules.operator_overwrite_log(df, us)
 
 
-@query("ru13_rule_validation")
+@query("ru13_rule_validation", _ru13_sql())
 def ru13_rule_validation(spark, d):
     """Violations of the v2 rule sheet plus one deliberately broken row
     (unknown column, bad comparator, missing value)."""
