@@ -164,7 +164,7 @@ def _step(spark, d, name, build):
     """A pipeline step output written once per session and data folder
     (see :func:`quorum.plans.avaliacoes.step_table`) and shared by the
     reports that read it."""
-    key = (id(spark._jsparkSession), d, name)
+    key = (spark.sparkContext.applicationId, d, name)
     if key not in _STEP_TABLES:
         _STEP_TABLES[key] = PL.step_table(build(), name)
     return _STEP_TABLES[key]
