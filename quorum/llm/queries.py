@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quorum.llm import chat, exact_dedup
+import public_tokenizers
+
+from quorum.llm import chat, exact_dedup, packing, sp_tokens
 from quorum.llm.common import table
 
 QUERIES: dict = {}
@@ -55,6 +57,24 @@ def op1_chat_examples(spark, sf_dir):
     return chat.digests(chat.examples(turns))
 
 
+@query()
+def op4_sentencepiece(spark, sf_dir, model=None):
+    """Every document encoded and decoded; digests of the ids and of the text."""
+    proto = sp_tokens.read_model(model or public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = sp_tokens.decode(sp_tokens.encode(docs, proto).select("doc_id", "ids"), proto)
+    return both.select(
+        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query()
+def op9_packing(spark, sf_dir, vocabulary=None):
+    """All documents packed into sequences of at most 1024 ids."""
+    spec = sp_tokens.read_model(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), spec)
+
+
 @query(r"""WITH n AS (
   SELECT doc_id, length(coalesce("text", '')) AS chars,
     regexp_replace(coalesce("text", ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents
