@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quorum.llm import chat, exact_dedup, packing, sp_tokens
-from quorum.llm.common import table
+from quorum.llm import chat, exact_dedup, langid, packing, quality, sp_tokens
+from quorum.llm.common import held_out, table
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -68,6 +68,24 @@ def op4_sentencepiece(spark, sf_dir, model=None):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query()
+def op5_quality(spark, sf_dir):
+    """Every document's probability of quality label 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, net).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op7_langid(spark, sf_dir):
+    """Every document's language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    languages, prototypes = langid.learn(docs)
+    return langid.predict(docs.select("doc_id", "text"), languages, prototypes).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op9_packing(spark, sf_dir, vocabulary=None):
     """All documents packed into sequences of at most 1024 ids."""
