@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quorum.llm import chat, exact_dedup, langid, packing, quality, sp_tokens
+from quorum.llm import chat, exact_dedup, jaccard_join, langid, packing, quality, sp_tokens
 from quorum.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -57,6 +57,12 @@ def op1_chat_examples(spark, sf_dir):
     return chat.digests(chat.examples(turns))
 
 
+@query()
+def op3_jaccard_join(spark, sf_dir):
+    """Components of documents whose sets of 3-word shingles are 90 % alike."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_sentencepiece(spark, sf_dir, model=None):
     """Every document encoded and decoded; digests of the ids and of the text."""
