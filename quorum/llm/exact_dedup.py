@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import SPACE, written
+from quorum.llm.common import SPACE, fresh, written
 
 BLOCK_CHARS = 4096
 #: A block is hot when it makes up more than 1 / HOT_SHARE of all blocks.
@@ -72,20 +72,22 @@ def _block_names(cut: DataFrame) -> DataFrame:
     salted = (
         cut.withColumn("h", F.xxhash64("block"))
         .join(F.broadcast(hot), "h", "left")
-        .withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("row"), F.col("salts"))).otherwise(F.lit(-1)).cast("int"))
+        # From the id, not the row number: both sides of the join below read the table on their own.
+        .withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("doc_id", "pos"), F.col("salts"))).otherwise(F.lit(-1)).cast("int"))
         .drop("h", "salts")
     )
+    ranked = F.coalesce("doc_id", F.lit(LAST))
     names = (
-        salted.groupBy("block", "salt").agg(F.min("row").alias("first_row"))
+        salted.groupBy("block", "salt").agg(F.min(ranked).alias("first"))
         .sortWithinPartitions("block", "salt")
-        .select("block", "salt", "first_row", F.monotonically_increasing_id().alias("name"))
+        .select("block", "salt", "first", F.monotonically_increasing_id().alias("name"))
     )
     named = written(
         salted.join(names, ["block", "salt"])
         .select("row", "doc_id", "n_chars", "n_blocks", "sha", "pos", "name",
-                F.when((F.col("salt") >= 0) & (F.col("row") == F.col("first_row")), F.col("block")).alias("hot_block")),
+                F.when((F.col("salt") >= 0) & (ranked == F.col("first")), F.col("block")).alias("hot_block")),
         "block_names")
-    # The salts of one hot block: one row each, so the smallest name of a block is found from few rows.
+    # The salts of one hot block: about one row each, so the smallest name of a block is found from few rows.
     of_hot = named.filter(F.col("hot_block").isNotNull()).select("hot_block", "name").distinct()
     one = of_hot.groupBy("hot_block").agg(F.min("name").alias("one"))
     unified = of_hot.join(one, "hot_block").select("name", "one")
@@ -142,6 +144,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns (rows without an id are kept out of no group: they stay when their group's row has no id)."""
-    kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+    """The rows of ``docs`` that stay, with their own columns (one decision for all rows of an id)."""
+    keep = fresh(docs, "keep")
+    kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias(keep)).distinct()
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(keep)), "left_semi")
