@@ -45,6 +45,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until ``df`` has no such column (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def appended(df: DataFrame, **more: str) -> tuple[list[str], str]:
+    """The columns of ``df`` that stay when columns of the given names and types are added, and the DDL of all."""
+    taken = {n.lower() for n in more}
+    stay = [f for f in df.schema.fields if f.name.lower() not in taken]
+    ddl = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in stay), *(f"{n} {t}" for n, t in more.items())])
+    return [f.name for f in stay], ddl
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold of the contracts: crc32 of the id as text is divisible by 5 (a null id is held out)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

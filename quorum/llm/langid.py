@@ -14,7 +14,7 @@ chosen by the order of a hash of their id; prediction reads whole texts.
 Defined results: ``und`` with score 0 for a null text, a text without a letter,
 or when nothing could be learned; a null language is never learned; ties go to
 the language that sorts first; an empty table gives an empty result; other
-columns are ignored.
+columns pass through, but for those named lang_pred or score, which are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorum.llm.common import held_out
+from quorum.llm.common import appended, held_out
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -129,7 +129,7 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, text_
     middle = prototypes.mean(axis=0) if len(languages) > 1 else np.zeros(DIMENSIONS)
     away = prototypes - middle
     away = (away / np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    names = docs.columns
+    names, ddl = appended(docs, lang_pred="string", score="double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -147,5 +147,4 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, text_
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(n) for n in names), pa.array(found, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(run, ddl)

@@ -17,7 +17,8 @@ texts of any length.
 Defined results: a null or empty text is scored like a text of padding alone;
 a null label is not learned, repeated labels of a document count as the
 smallest; without labels of both kinds every score is their share (0.5 without
-any); an empty table gives an empty result; other columns are ignored.
+any); an empty table gives an empty result; other columns pass through, but for
+one named score, which is replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import held_out
+from quorum.llm.common import appended, held_out
 
 WIDTH = 8
 FILTERS = 8
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
 
 def scored(docs: DataFrame, net: Network, text_col="text") -> DataFrame:
     """``docs`` with score, the probability of label 1."""
-    names = docs.columns
+    names, ddl = appended(docs, score="double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -171,5 +172,4 @@ def scored(docs: DataFrame, net: Network, text_col="text") -> DataFrame:
                 texts = [t or b"" for t in b.column(text_col).cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(net.score(texts), pa.float64())], [*names, "score"])
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{fields}, score double")
+    return docs.mapInArrow(run, ddl)

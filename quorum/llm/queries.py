@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quorum.llm import chat, exact_dedup, jaccard_join, langid, packing, quality, sp_tokens
+from quorum.llm import ann, chat, exact_dedup, jaccard_join, langid, packing, pii, quality, sp_tokens, unit_dedup
 from quorum.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -57,6 +57,12 @@ def op1_chat_examples(spark, sf_dir):
     return chat.digests(chat.examples(turns))
 
 
+@query()
+def op2_unit_dedup(spark, sf_dir):
+    """Every sentence of 8 words or more that an earlier document or place holds already."""
+    return unit_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_jaccard_join(spark, sf_dir):
     """Components of documents whose sets of 3-word shingles are 90 % alike."""
@@ -83,6 +89,12 @@ def op5_quality(spark, sf_dir):
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query()
+def op6_neighbours(spark, sf_dir):
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query()
 def op7_langid(spark, sf_dir):
     """Every document's language."""
@@ -92,6 +104,12 @@ def op7_langid(spark, sf_dir):
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op8_pii(spark, sf_dir):
+    """Every document with pseudonyms for its personal data."""
+    return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op9_packing(spark, sf_dir, vocabulary=None):
     """All documents packed into sequences of at most 1024 ids."""
