@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import codecs
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -37,8 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-#: Entries that a worker's word and part caches hold before they are emptied.
-CACHE_ENTRIES = 250_000
+#: Entries that a worker's caches of words and of their parts hold before they are emptied.
+WORD_ENTRIES, PART_ENTRIES = 350_000, 700_000
+#: Characters of the longest word that is held.
+LONG = 64
 #: Rows that go on at once.
 SLICE_ROWS = 256
 
@@ -51,16 +55,18 @@ codecs.register_error("quorum_per_byte", _one_replacement_per_byte)
 
 
 class _Cache(dict):
-    """Computes what it lacks; emptied when full."""
+    """Computes what it lacks; emptied when full; long keys are not held."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int):
         super().__init__()
-        self.make = make
+        self.make, self.entries = make, entries
 
     def __missing__(self, key):
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= LONG:
+            if len(self) >= self.entries:
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -94,8 +100,9 @@ class PieceModel:
                 self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
         self.length = [len(p) for p in self.pieces]
+        self.packed = [struct.pack("<I", i) for i in range(size)]
         self.compatible: dict[int, bool] = {}
-        self.parts, self.words = _Cache(self._encode_part), _Cache(self._encode_word)
+        self.parts, self.words = _Cache(self._encode_part, PART_ENTRIES), _Cache(self._encode_word, WORD_ENTRIES)
         self.raw = [b"" if i in self.control else " ⁇ ".encode() if i in self.unknown else self.pieces[i].replace(SPACE, " ").encode() for i in range(size)]
         for b, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([b])
@@ -137,43 +144,40 @@ class PieceModel:
     def _encode_part(self, part: str) -> bytes:
         if len(part) == 1:
             i = self.id.get(part)
-            return np.array([i] if i is not None else [self.byte_ids[b] for b in part.encode()], "<u4").tobytes()
-        size = len(self.pieces)
+            return self.packed[i] if i is not None else b"".join(self.packed[self.byte_ids[b]] for b in part.encode())
+        size, compatible, test = len(self.pieces), self.compatible, self._test
         last: list[int | None] = [None] * (len(part) + 1)
         last[0] = -1
-        compatible = self.compatible
         for end, (token, length) in self.automaton.iter(part):
-            if last[end + 1] is None:
-                before = last[end + 1 - length]
+            end += 1
+            if last[end] is None:
+                before = last[end - length]
                 if before is None:
                     continue
                 if before >= 0:
-                    key = before * size + token
-                    fits = compatible.get(key)
+                    fits = compatible.get(before * size + token)
                     if fits is None:
-                        if len(compatible) >= 4 * CACHE_ENTRIES:
+                        if len(compatible) >= PART_ENTRIES:
                             compatible.clear()
-                        fits = compatible[key] = self._test(before, token)
+                        fits = compatible[before * size + token] = test(before, token)
                     if not fits:
                         continue
-                last[end + 1] = token
-        ids, at = [], len(part)
+                last[end] = token
+        ids, at, packed, lengths = [], len(part), self.packed, self.length
         while at:
-            ids.append(last[at])
-            at -= self.length[last[at]]
-        return np.array(ids[::-1], "<u4").tobytes()
+            token = last[at]
+            ids.append(packed[token])
+            at -= lengths[token]
+        ids.reverse()
+        return b"".join(ids)
 
     def _encode_word(self, word: str) -> bytes:
-        pairs, start, out = self.pairs, 0, []
-        for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in pairs:
-                out.append(self._part(word[start:k]))
+        pairs, parts, start, out = self.pairs, self.parts, 0, []
+        for k, pair in enumerate(map(add, word, word[1:]), 1):
+            if pair not in pairs:
+                out.append(parts[word[start:k]])
                 start = k
-        out.append(self._part(word[start:]))
-        return b"".join(out)
-
-    def _part(self, part: str) -> bytes:
-        return self.parts[part] if len(part) <= 64 else self._encode_part(part)
+        return b"".join([*out, parts[word[start:]]]) if out else parts[word]
 
     def encode(self, text: str | None) -> bytes:
         """The ids with begin and end, as little-endian unsigned 32-bit integers."""
@@ -181,11 +185,7 @@ class PieceModel:
         if not text:
             return ends
         words = re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))
-        if max(map(len, words)) <= 256:
-            ids = map(self.words.__getitem__, words)
-        else:
-            ids = (self.words[w] if len(w) <= 256 else self._encode_word(w) for w in words)
-        return ends[:4] + b"".join(ids) + ends[4:]
+        return ends[:4] + b"".join(map(self.words.__getitem__, words)) + ends[4:]
 
     def decode(self, ids: bytes) -> str:
         """The library's decode(ids): byte pieces joined, one replacement character per bad byte, the first space dropped."""
