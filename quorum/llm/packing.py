@@ -85,8 +85,11 @@ def byte_bpe(spec: bytes) -> ByteBpe:
 PIECES = "task int, k long, doc_id long, start long, length int, doc_tokens long, ids_crc32 long, ids binary"
 
 
-def pieces(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
-    """Pieces of at most ``window`` ids, each with its running number ``k`` in its task among pieces of its length."""
+def pieces(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END, with_ids: bool = True) -> DataFrame:
+    """Pieces of at most ``window`` ids, each with its running number ``k`` in its task among pieces of its length.
+
+    Without ``with_ids`` only shorter pieces, which may be cut again, have their ids.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, task, seen = byte_bpe(spec), TaskContext.get().partitionId(), [0] * (window + 1)
         for whole in batches:
@@ -100,7 +103,7 @@ def pieces(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str =
                     for start in range(0, n, window):
                         part = data[4 * start : 4 * (start + window)]
                         length = len(part) // 4
-                        rows.append((task, seen[length], doc, start, length, n, zlib.crc32(part), part))
+                        rows.append((task, seen[length], doc, start, length, n, zlib.crc32(part), part if with_ids or length < window else None))
                         seen[length] += 1
                 columns = list(zip(*rows)) or [()] * 8
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -168,11 +171,13 @@ def _cut(x: Column, length: Column, whole: int, last: list[int], window: int) ->
     return F.array_sort(F.array_distinct(F.concat(F.array(x), inner, F.array(x + length))))
 
 
-def pack(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids."""
+def pack(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end: int = END, with_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; ids if asked for.
+
+    Ids are little-endian unsigned 32-bit integers; :func:`sequences` joins them.
+    """
     spark = docs.sparkSession
-    made = pieces(docs, spec, id_col, text_col, window, end)
-    made = written(made, "pieces")
+    made = written(pieces(docs, spec, id_col, text_col, window, end, with_ids), "pieces")
     counts = written(made.groupBy("length", "task").agg(F.count("*").alias("n")), "piece_counts")
     # At most one number per length.
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -213,9 +218,20 @@ def pack(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "
         "task", "k", F.when(F.size("ends") > 2, F.col("length")).otherwise(-1).alias("cut"),
         (F.col("x") - F.get("ends", F.lit(0))).cast("int").alias("from"))
     rows = fitted.select(*keep, F.lit(0).alias("from")).unionByName(laid)
-    ids = made.select("task", "k", F.col("length").alias("cut"), "ids")
-    # Only cut pieces need a new checksum.
-    recut = (rows.filter("cut >= 0").join(ids, ["task", "k", "cut"])
-             .withColumn("ids_crc32", F.crc32(F.substring(F.col("ids"), F.col("from") * 4 + 1, F.col("length") * 4))))
     out = ["doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    own = F.substring(F.col("ids"), F.col("from") * 4 + 1, F.col("length") * 4)
+    if with_ids:
+        ids = made.select("task", "k", F.col("length").alias("of"), "ids")
+        every = rows.withColumn("of", F.when(F.col("cut") >= 0, F.col("cut")).otherwise(F.col("length"))).join(ids, ["task", "k", "of"])
+        return every.withColumn("ids", own).withColumn("ids_crc32", F.crc32("ids")).select(*out, "ids")
+    # Only cut pieces need a new checksum, and whole windows are never cut.
+    ids = made.filter(F.col("length") < window).select("task", "k", F.col("length").alias("cut"), "ids")
+    recut = rows.filter("cut >= 0").join(ids, ["task", "k", "cut"]).withColumn("ids_crc32", F.crc32(own))
     return rows.filter("cut < 0").select(*out).unionByName(recut.select(*out))
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, ids): every sequence's ids; a sequence has at most a window of pieces."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return packed.groupBy("sequence_id").agg(parts.alias("p")).select(
+        "sequence_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
