@@ -22,10 +22,6 @@ def is_blank(c) -> Column:
     return F.coalesce(_c(c), F.lit("")) == ""
 
 
-def not_blank(c) -> Column:
-    return ~is_blank(c)
-
-
 def as_list(v):
     """Scalar promoted to list, None kept (rule fields)."""
     if v is None:
@@ -63,39 +59,29 @@ def regex_not_contains(c, pattern: str) -> Column:
     return ~regex_contains(c, pattern)
 
 
-def literal_contains(c, value: str) -> Column:
-    """FI6: case-insensitive literal containment, null -> false."""
-    return F.coalesce(F.upper(_c(c)).contains(value.upper()), F.lit(False))
-
-
 def all_of(conds) -> Column:
     """FI12/FI13: conjunction; no condition = every row."""
     conds = list(conds)
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def any_of(conds) -> Column:
-    conds = list(conds)
-    return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+#: FI8: what the positive comparators test; "diferente", "nao_*" are their negations.
+POSITIVE = {
+    "igual": lambda text, value: text == F.lit(value),
+    "contem": lambda text, value: F.upper(text).contains((value or "").upper()),
+    "vazio": lambda text, value: text == "",
+}
+NEGATED = {"diferente": "igual"} | {f"nao_{p}": p for p in ("contem", "vazio")}
 
 
 def comparator(c, op: str, value: str | None) -> Column:
     """FI8: six comparators over a column normalised with null -> ''."""
     from quorum.functions.text import normalize_or_empty
-    s = normalize_or_empty(c)
-    if op == "igual":
-        return s == F.lit(value)
-    if op == "contem":
-        return F.upper(s).contains((value or "").upper())
-    if op == "diferente":
-        return s != F.lit(value)
-    if op == "nao_contem":
-        return ~F.upper(s).contains((value or "").upper())
-    if op == "vazio":
-        return s == ""
-    if op == "nao_vazio":
-        return s != ""
-    raise ValueError(f"unsupported comparator: {op}")
+    test = POSITIVE.get(NEGATED.get(op, op))
+    if test is None:
+        raise ValueError(f"unsupported comparator: {op}")
+    hit = test(normalize_or_empty(c), value)
+    return ~hit if op in NEGATED else hit
 
 
 def between(c, lo, hi) -> Column:

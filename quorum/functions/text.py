@@ -51,32 +51,51 @@ def normalize_or_empty(c) -> Column:
     return F.coalesce(normalize(c), F.lit(""))
 
 
+def _hangul(cp: int) -> bool:
+    return 0xAC00 <= cp < 0xD7A4
+
+
+def _folded(ch: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
+
+
 @lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Build the one-to-one accent folding table from ``unicodedata``.
+def _accent_table() -> tuple[str, str, dict[str, str]]:
+    """Accent folding over the whole Basic Multilingual Plane, generated by rule from ``unicodedata``.
 
-    For every BMP character whose NFKD form, without combining marks, is a
-    single different character we map it; characters that are combining
-    marks themselves are deleted.  Generated by rule at import, not stored.
+    Two strings for ``translate`` (characters that fold to one character, then those that fold to
+    none, such as combining marks) and a map of those that fold to several (ligatures, fractions).
+    Left as they are: Hangul syllables, whose parts would be several letters each, and what lies
+    beyond the plane.
     """
-    src, dst, dele = [], [], []
-    for cp in range(0xA0, 0x3000):
+    one, none, several = {}, [], {}
+    for cp in range(0x80, 0x10000):
         ch = chr(cp)
-        if unicodedata.combining(ch):
-            dele.append(ch)
+        if 0xD800 <= cp < 0xE000 or _hangul(cp):
+            continue
+        new = _folded(ch)
+        if new == ch:
             continue
-        folded = "".join(x for x in unicodedata.normalize("NFKD", ch)
-                         if not unicodedata.combining(x))
-        if len(folded) == 1 and folded != ch:
-            src.append(ch)
-            dst.append(folded)
-    return "".join(src) + "".join(dele), "".join(dst)
+        if not new:
+            none.append(ch)
+        elif len(new) == 1:
+            one[ch] = new
+        else:
+            several[ch] = new
+    return "".join(one) + "".join(none), "".join(one.values()), several
 
 
 def remove_accents(c) -> Column:
-    """SC7: NFKD-style accent folding via one ``translate`` (null kept)."""
-    matching, replace = _accent_table()
-    return F.translate(_c(c), matching, replace)
+    """SC7: NFKD folding without combining marks (null kept).
+
+    One ``translate``; only texts with a character that folds to several go through a map.
+    """
+    matching, replace, several = _accent_table()
+    text = F.translate(_c(c), matching, replace)
+    # One literal, folded to a map once; no folded form holds the separators.
+    table = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
+    wide = "[" + "".join("\\x{%04X}" % ord(k) for k in several) + "]"
+    return F.when(text.rlike(wide), F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(table, x), x)), "")).otherwise(text)
 
 
 def fold_key(c) -> Column:
@@ -162,15 +181,10 @@ def key_to_name_default(c) -> Column:
     return F.replace(_c(c), F.lit("_"), F.lit(" "))
 
 
-def rule_value_text(c) -> Column:
-    """SC18 for array/scalar rule fields: ' | ' join, blank -> 'sem filtro'."""
-    col = _c(c)
-    return F.coalesce(F.nullif(strip(col), F.lit("")), F.lit("sem filtro"))
-
-
 def slug(c) -> Column:
-    """SC19: accent-free, non-alphanumeric runs -> '_', trimmed '_', lower."""
-    s = F.regexp_replace(remove_accents(_c(c)), r"[^a-zA-Z0-9]+", "_")
+    """SC19: accents folded, other characters outside ASCII dropped, non-alphanumeric runs -> '_', trimmed '_', lower."""
+    s = F.regexp_replace(remove_accents(_c(c)), r"[^\x00-\x7F]+", "")
+    s = F.regexp_replace(s, r"[^a-zA-Z0-9]+", "_")
     s = F.lower(F.regexp_replace(s, r"^_+|_+$", ""))
     return F.coalesce(F.nullif(s, F.lit("")), F.lit("sem_nome"))
 

@@ -3,9 +3,9 @@
 All lookups are left equi-joins of the (large) survey table against a
 deduplicated dimension.  The dimension is deduplicated keep-first by an
 explicit order column with ``min_by`` (partial aggregation, so a hot key in
-the sheet costs nothing extra) and broadcast only after its row count is
-checked against a bound; beyond the bound the join stays a shuffle join,
-where AQE's skew-join splitting takes care of hot fact keys.
+the sheet costs nothing extra).  No join is hinted: the planner broadcasts a
+sheet whose measured bytes are under its threshold, and otherwise joins by a
+shuffle whose skewed fact partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -14,27 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.functions import text as tx
-from quorum.functions.predicates import is_blank
-
-# Rows a dimension may have to be broadcast.  Each row of a lookup sheet is
-# a few short strings, so 2M rows stay well under a 1 GB broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      bound: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``dim`` only if it provably has at most ``max_rows`` rows.
-
-    ``bound`` is a table with at least as many rows as ``dim`` (e.g. the raw
-    sheet before deduplication), cheaper to count; by default ``dim`` itself.
-    A dimension past the bound is joined with a shuffle join instead (and
-    AQE may still broadcast it if its measured size turns out small).
-    """
-    if max_rows < 0:  # no check possible (streaming): leave the choice to the planner
-        return dim
-    n = (dim if bound is None else bound).limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def keep_first(df: DataFrame, keys, values, order: str) -> DataFrame:
     """AG16/AN2: one row per key, the values of the row with the lowest ``order``.
@@ -50,8 +29,7 @@ def keep_first(df: DataFrame, keys, values, order: str) -> DataFrame:
 
 
 def _join_dim(fact: DataFrame, dim: DataFrame, fact_key: Column, dim_key: str,
-              null_safe: bool, max_rows: int, bound: DataFrame | None = None) -> DataFrame:
-    dim = bounded_broadcast(dim, max_rows, bound)
+              null_safe: bool) -> DataFrame:
     fk = "__fk"
     f = fact.withColumn(fk, fact_key)
     cond = f[fk].eqNullSafe(dim[dim_key]) if null_safe else (f[fk] == dim[dim_key])
@@ -60,8 +38,7 @@ def _join_dim(fact: DataFrame, dim: DataFrame, fact_key: Column, dim_key: str,
 
 def contract(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
              out: str = "CONTRATACAO", sheet_local: str = "Local",
-             sheet_value: str = "contratacao", order: str = "_ord",
-             max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+             sheet_value: str = "contratacao", order: str = "_ord") -> DataFrame:
     """JN1: LOCAL -> CONTRATACAO.
 
     LOCAL is trimmed in place; key = lower(LOCAL) on both sides; the sheet is
@@ -74,15 +51,14 @@ def contract(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
                         F.col(order).alias("__o")))
     dim = keep_first(dim, "__dk", ["__dv"], "__o")
     fact = fact.withColumn(local, tx.strip(F.col(f"`{local}`")))
-    out_df = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", True, max_rows, sheet)
+    out_df = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", True)
     return out_df.withColumn(out, F.col("__dv")).drop("__dv")
 
 
 def edited_place(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
                  out: str = "LOCAL EDITADO", sheet_local: str = "Local",
                  sheet_value: str = "local_editado", order: str = "_ord",
-                 action: str | None = "ACAO_LOCAL_EDITADO",
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 action: str | None = "ACAO_LOCAL_EDITADO") -> DataFrame:
     """JN3: LOCAL -> LOCAL EDITADO, updating only when found, non-blank and different.
 
     ``action`` (if given) labels each row ``atualizado`` / ``nao_alterado`` /
@@ -97,7 +73,7 @@ def edited_place(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
         fact = fact.withColumn(out, F.lit(None).cast("string"))
     fact = fact.withColumns({local: tx.strip(F.col(f"`{local}`")),
                              out: tx.strip(F.col(f"`{out}`"))})
-    j = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", False, max_rows, sheet)
+    j = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", False)
     new = F.col("__dv")
     found = new.isNotNull() & (new != "")
     same = found & (F.coalesce(F.col(f"`{out}`"), F.lit("")) == F.coalesce(new, F.lit("")))
@@ -111,8 +87,7 @@ def edited_place(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
 
 def target(fact: DataFrame, sheet: DataFrame, cls: str = "CLASSIFICACAO",
            out: str = "META", found_col: str = "GRUPO_ENCONTRADO",
-           sheet_group: str = "grupo", sheet_value: str = "meta", order: str = "_ord",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           sheet_group: str = "grupo", sheet_value: str = "meta", order: str = "_ord") -> DataFrame:
     """JN4: CLASSIFICACAO -> META (+ the sheet's original group name).
 
     Key on both sides: nbsp/space collapse, trim, accent removal, upper;
@@ -125,7 +100,7 @@ def target(fact: DataFrame, sheet: DataFrame, cls: str = "CLASSIFICACAO",
            .where(F.col("__dk") != ""))
     dim = keep_first(dim, "__dk", ["__dv", "__dg"], "__o")
     fact = fact.withColumn(cls, tx.strip(F.col(f"`{cls}`"))).drop(out, found_col)
-    j = _join_dim(fact, dim, tx.meta_key(F.col(f"`{cls}`")), "__dk", False, max_rows, sheet)
+    j = _join_dim(fact, dim, tx.meta_key(F.col(f"`{cls}`")), "__dk", False)
     return j.withColumnsRenamed({"__dv": out, "__dg": found_col})
 
 
@@ -188,12 +163,3 @@ def assign_group(df: DataFrame, col: str = "CLASSIFICACAO", groups: dict | None
 def unmatched(fact: DataFrame, found: Column) -> DataFrame:
     """JN11: rows whose lookup found nothing (filter on the same left join)."""
     return fact.where(~found)
-
-
-def name_or_default(key: Column, names: dict) -> Column:
-    """JN10: key -> name, default key with '_' -> ' '."""
-    return F.coalesce(F.element_at(literal_map(names), key), tx.key_to_name_default(key))
-
-
-def blank(c) -> Column:
-    return is_blank(c)

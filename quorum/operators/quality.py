@@ -20,18 +20,21 @@ def q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def score_violations(df: DataFrame, scores, keys) -> DataFrame:
-    """DQ3: per row and score column, why the value is invalid
-    (not numeric, not an integer, outside 1..5).  Unpivoted with ``stack``."""
+def score_violations(df: DataFrame, scores, keys, low=1, high=5) -> DataFrame:
+    """DQ3: one row per row, score column and reason that the value is invalid.
+
+    Blank values are skipped; a value can be both no integer and out of range.
+    """
     n = len(scores)
     pairs = ", ".join(f"'{s}', cast(`{s}` as string)" for s in scores)
     long = df.select(*[q(k) for k in keys], F.expr(f"stack({n}, {pairs}) as (COLUNA, VALOR)"))
-    v = tx.to_number(F.col("VALOR"))
-    reason = (F.when(F.col("VALOR").isNull(), F.lit(None))
-              .when(v.isNull(), F.lit("nao numerico"))
-              .when(v != F.floor(v), F.lit("nao inteiro"))
-              .when((v < 1) | (v > 5), F.lit("fora de 1 a 5")))
-    return long.withColumn("MOTIVO", reason).where(F.col("MOTIVO").isNotNull())
+    long = long.withColumn("VALOR", tx.strip(q("VALOR"))).where(~is_blank(q("VALOR")))
+    v = tx.to_number(q("VALOR"))
+    reasons = F.array_compact(F.array(
+        F.when(v.isNull(), F.lit("valor nao numerico")),
+        F.when(v != F.floor(v), F.lit("valor numerico nao inteiro")),
+        F.when((v < low) | (v > high), F.lit(f"valor fora do intervalo {low} a {high}"))))
+    return long.withColumn("MOTIVO", F.explode(reasons))
 
 
 def not_in_allowed(df: DataFrame, col: str, allowed) -> DataFrame:
@@ -51,13 +54,12 @@ def lookup_validity(sheet: DataFrame, key: Column, value: Column, allowed) -> Da
 
 
 def output_vs_lookup(out: DataFrame, dim: DataFrame, key: Column, col: str, dim_key: str, dim_val: str) -> DataFrame:
-    """DQ7: output column against the (deduplicated) lookup: unmatched rows
-    and divergent values, one row.  The dimension is small and broadcast."""
-    from quorum.operators.lookup import bounded_broadcast
-    d = bounded_broadcast(dim)
-    j = out.select(key.alias("__k"), q(col).alias("__o")).join(d, F.col("__k").eqNullSafe(d[dim_key]), "left")
-    return j.agg(F.count(F.when(F.col(dim_val).isNull() & F.col("__o").isNotNull(), 1)).alias("SEM_CORRESPONDENCIA"),
-                 F.count(F.when(~F.col("__o").eqNullSafe(F.col(dim_val)), 1)).alias("DIVERGENTES"))
+    """DQ7: output column against the (deduplicated) lookup, one row: rows for
+    whose key the lookup expects nothing, and rows that differ from what it expects."""
+    j = out.select(key.alias("__k"), q(col).alias("__o")).join(dim, F.col("__k").eqNullSafe(dim[dim_key]), "left")
+    expected = F.col(dim_val)
+    return j.agg(F.count(F.when(expected.isNull(), 1)).alias("SEM_CORRESPONDENCIA"),
+                 F.count(F.when(expected.isNotNull() & ~F.col("__o").eqNullSafe(expected), 1)).alias("DIVERGENTES"))
 
 
 def measures(one_row: DataFrame) -> DataFrame:

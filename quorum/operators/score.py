@@ -69,10 +69,6 @@ def normalize_unit_keys(df: DataFrame, keys=UNIT_KEYS, uf: str = "UF",
     return df
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys) -> Column:
-    return reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
-
-
 def unit_result(df: DataFrame, keys=UNIT_KEYS, score: str = "NOTA GERAL",
                 out: str = "RESULTADO DA UNIDADE", normalize_keys: bool = True) -> DataFrame:
     """AN1: per-unit mean of ``score`` on every row; null keys form units."""

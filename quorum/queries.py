@@ -359,7 +359,7 @@ def _audit_sql(src: str, rules=None) -> str:
         parts.append(f"""SELECT {k} AS ORDEM_REGRA, {O.s(r['grupo_classificacao'])} AS CHAVE_GRUPO,
   {O.s(O.class_name(r['grupo_classificacao']))} AS CLASSIFICACAO, {O.s(r['nome_lista'])} AS NOME_LISTA,
   {O.s(r['palavra_filtro']) if r.get('palavra_filtro') else 'NULL::VARCHAR'} AS PALAVRA_FILTRO,
-  {O.s(rules_mod_describe(r))} AS REGRA,
+  {_rule_text_sql(r)} AS REGRA,
   count(*) FILTER (WHERE __m{k}) AS TOTAL_ATINGIDAS,
   count(*) FILTER (WHERE __m{k} AND {bb}) AS TOTAL_CLASSIFICADAS_VAZIAS,
   count(*) FILTER (WHERE __m{k} AND NOT {bb}) AS TOTAL_JA_CLASSIFICADAS,
@@ -367,8 +367,21 @@ def _audit_sql(src: str, rules=None) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def rules_mod_describe(r):
-    return rules.describe_rule(r)
+def _rule_text_sql(r) -> str:
+    """The rule's description, put together by the oracle from its own labels."""
+    labels = [("TIPO igual a", "tipo_igual"), ("TIPO diferente de", "tipo_diferente"), ("CONTRATACAO igual a", "contratacao_igual"),
+              ("CONTRATACAO diferente de", "contratacao_diferente"), ("LOCAL contem", "filtro_local"),
+              ("LOCAL diferente de", "filtro_local_diferente"), ("ESPECIALIDADE contem", "filtro_especialidade"),
+              ("ESPECIALIDADE diferente de", "filtro_especialidade_diferente")]
+    said = [f"'{text} ' || {O.s(r[field])}" for text, field in labels if r.get(field)]
+    said += ["'CLASSIFICACAO vazia'"] if r.get("aplicar_somente_vazios") else []
+    return f"concat_ws(' | ', {', '.join(said)})" if said else "'sem filtros'"
+
+
+def _filter_text_sql(v) -> str:
+    if isinstance(v, list) and v:
+        return f"array_to_string([{', '.join(map(str, v))}], ' | ')"
+    return f"coalesce(nullif(trim({O.s('' if v is None or v == [] else v)}), ''), 'sem filtro')"
 
 
 @query("ru4_class_rule_audit", sqlx(_audit_sql(f"({O.class_prep('contracted')})")))
@@ -425,7 +438,7 @@ def _ru8_sql() -> str:
     texts = []
     for alias, field in rules.INCREMENTAL_RULE_TEXT:
         texts.append("CASE e.k " + " ".join(
-            f"WHEN {k} THEN {O.s(rules.rule_value_text(r.get(field)))}" for k, r in enumerate(CR, 1)) + f" END AS {alias}")
+            f"WHEN {k} THEN {_filter_text_sql(r.get(field))}" for k, r in enumerate(CR, 1)) + f" END AS {alias}")
     extra = (", coalesce(e.LOCAL, 'VAZIO') AS LOCAL_LINHA_SOBRESCRITA,"
              " coalesce(e.ESPECIALIDADE, 'VAZIO') AS ESPECIALIDADE_LINHA_SOBRESCRITA,"
              " coalesce(e.CONTRATACAO, 'VAZIO') AS CONTRATACAO_LINHA_SOBRESCRITA,"
@@ -885,23 +898,27 @@ def io5_raw_text_ids(spark, d):
 # ---------------------------------------------------------------- data quality (DQ3-DQ13)
 from quorum.operators import quality as DQ  # noqa: E402
 
+_DIRTY_SCORE = ("case l_linenumber when 1 then ' 3 ' when 2 then 'abc' when 3 then '  ' when 4 then '' "
+                "when 5 then '7' else cast(NOTA1 as string) end")
 _SCORES = ["NOTA1", "NOTA2", "NOTA3", "NOTA4", "NOTA5"]
 
 
-@query("dq3_score_violations", sqlx(f"""SELECT {KEYS_SQL}, COLUNA, VALOR, MOTIVO FROM (
-  SELECT {KEYS_SQL}, COLUNA, VALOR, CASE WHEN VALOR IS NULL THEN NULL
-    WHEN TRY_CAST(VALOR AS DOUBLE) IS NULL THEN 'nao numerico'
-    WHEN TRY_CAST(VALOR AS DOUBLE) <> floor(TRY_CAST(VALOR AS DOUBLE)) THEN 'nao inteiro'
-    WHEN TRY_CAST(VALOR AS DOUBLE) < 1 OR TRY_CAST(VALOR AS DOUBLE) > 5 THEN 'fora de 1 a 5' END AS MOTIVO
-  FROM (UNPIVOT (SELECT {KEYS_SQL}, CAST(NOTA1 AS VARCHAR) AS NOTA1, CAST(NOTA2 AS VARCHAR) AS NOTA2,
-        CAST(NOTA3 AS VARCHAR) AS NOTA3, CAST(NOTA4 AS VARCHAR) AS NOTA4,
+_DQ3_SQL = f"""SELECT {KEYS_SQL}, COLUNA, VALOR, MOTIVO FROM (
+  SELECT *, TRY_CAST(VALOR AS DOUBLE) AS x FROM (
+    SELECT {KEYS_SQL}, COLUNA, trim(VALOR) AS VALOR FROM (UNPIVOT (SELECT {KEYS_SQL}, {_DIRTY_SCORE} AS NOTA1,
+        CAST(NOTA2 AS VARCHAR) AS NOTA2, CAST(NOTA3 AS VARCHAR) AS NOTA3, CAST(NOTA4 AS VARCHAR) AS NOTA4,
         CAST((NOTA5 + l_linenumber / 10.0)::DOUBLE AS VARCHAR) AS NOTA5 FROM survey)
-    ON NOTA1, NOTA2, NOTA3, NOTA4, NOTA5 INTO NAME COLUNA VALUE VALOR))
-WHERE MOTIVO IS NOT NULL"""))
+      ON NOTA1, NOTA2, NOTA3, NOTA4, NOTA5 INTO NAME COLUNA VALUE VALOR)) WHERE VALOR <> '') v,
+  LATERAL (SELECT unnest(list_filter([CASE WHEN v.x IS NULL THEN 'valor nao numerico' END,
+    CASE WHEN v.x <> floor(v.x) THEN 'valor numerico nao inteiro' END,
+    CASE WHEN v.x < 1 OR v.x > 5 THEN 'valor fora do intervalo 1 a 5' END], lambda m: m IS NOT NULL)) AS MOTIVO)"""
+
+
+@query("dq3_score_violations", sqlx(_DQ3_SQL))
 def dq3_score_violations(spark, d):
-    # NOTA5 is shifted by l_linenumber/10 so that non-integer and out-of-range
-    # values occur; the other scores are clean
-    sv = S.survey(spark, d).withColumn("NOTA5", (q("NOTA5") + q("l_linenumber") / 10.0).cast("double"))
+    # NOTA5 is shifted by l_linenumber/10 so that non-integer and out-of-range values occur, also both
+    # at once; NOTA1 holds text and blanks
+    sv = S.survey(spark, d).withColumns({"NOTA5": (q("NOTA5") + q("l_linenumber") / 10.0).cast("double"), "NOTA1": F.expr(_DIRTY_SCORE)})
     return DQ.score_violations(sv, _SCORES, KEYS)
 
 
@@ -925,13 +942,15 @@ def dq6_lookup_validity(spark, d):
 
 
 @query("dq7_contract_vs_lookup", sqlx(f"""SELECT
-  count(*) FILTER (WHERE d.v IS NULL AND p.CONTRATACAO IS NOT NULL) AS SEM_CORRESPONDENCIA,
-  count(*) FILTER (WHERE p.CONTRATACAO IS DISTINCT FROM d.v) AS DIVERGENTES
-FROM pl1 p LEFT JOIN (SELECT lower({O.strip('Local')}) AS k, arg_min(lower({O.strip('contratacao')}), _ord) AS v
+  count(*) FILTER (WHERE d.v IS NULL) AS SEM_CORRESPONDENCIA,
+  count(*) FILTER (WHERE d.v IS NOT NULL AND p.c IS DISTINCT FROM d.v) AS DIVERGENTES
+FROM (SELECT LOCAL, CASE WHEN l_linenumber = 3 THEN 'outra' WHEN l_linenumber = 4 THEN NULL ELSE CONTRATACAO END AS c FROM pl1) p LEFT JOIN (SELECT lower({O.strip('Local')}) AS k, arg_min(lower({O.strip('contratacao')}), _ord) AS v
   FROM contract_sheet GROUP BY 1) d ON lower(p.LOCAL) IS NOT DISTINCT FROM d.k"""))
 def dq7_contract_vs_lookup(spark, d):
+    # Some outputs are made wrong or empty, so that there is something to find.
     dim = ag16_contract_dimension(spark, d)
-    return DQ.output_vs_lookup(_pl1_full(spark, d), dim, F.lower(q("LOCAL")), "CONTRATACAO",
+    wrong = F.when(q("l_linenumber") == 3, "outra").when(q("l_linenumber") != 4, q("CONTRATACAO"))
+    return DQ.output_vs_lookup(_pl1_full(spark, d).withColumn("CONTRATACAO", wrong), dim, F.lower(q("LOCAL")), "CONTRATACAO",
                                "LOCAL_COMPARACAO", "contratacao")
 
 
@@ -945,11 +964,23 @@ def dq8_row_counts(spark, d):
                           "negativas_saida": _pl2_full(spark, d)})
 
 
-@query("dq9_score_recheck", sqlx("""SELECT count(*) AS LINHAS, 0::BIGINT AS CONTAGEM_DIVERGENTE,
-  0::BIGINT AS MEDIA_DIVERGENTE,
-  count(*) FILTER (WHERE "NOTA GERAL" < 1 OR "NOTA GERAL" > 5) AS MEDIA_FORA_1_A_5 FROM pl1"""))
+_FAULTY_COUNT = 'CASE WHEN l_linenumber = 2 THEN 9 ELSE "Quantidade notas validas" END'
+_FAULTY_MEAN = 'CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 4 THEN 5.5 ELSE "NOTA GERAL" END'
+
+
+@query("dq9_score_recheck", sqlx(f"""SELECT count(*) AS LINHAS,
+  count(*) FILTER (WHERE n IS DISTINCT FROM len(s)) AS CONTAGEM_DIVERGENTE,
+  count(*) FILTER (WHERE m IS DISTINCT FROM {O.round2('list_avg(s)')}) AS MEDIA_DIVERGENTE,
+  count(*) FILTER (WHERE m < 1 OR m > 5) AS MEDIA_FORA_1_A_5
+FROM (SELECT list_filter([CAST(NOTA1 AS DOUBLE), CAST(NOTA2 AS DOUBLE), CAST(NOTA3 AS DOUBLE), CAST(NOTA4 AS DOUBLE), NOTA5],
+    lambda x: x IS NOT NULL) AS s, {_FAULTY_COUNT} AS n, CAST({_FAULTY_MEAN} AS DOUBLE) AS m FROM pl1)"""))
 def dq9_score_recheck(spark, d):
-    return DQ.score_recheck(_pl1_full(spark, d), _SCORES, score.VALID, "NOTA GERAL")
+    # Stored counts and means with faults, so that the check has something to find.
+    line = q("l_linenumber")
+    df = _pl1_full(spark, d).withColumns({
+        score.VALID: F.when(line == 2, F.lit(9)).otherwise(q(score.VALID)).cast("long"),
+        "NOTA GERAL": F.when(line == 4, F.lit(5.5)).when(line != 3, q("NOTA GERAL"))})
+    return DQ.score_recheck(df, _SCORES, score.VALID, "NOTA GERAL")
 
 
 @query("dq10_summary_totals", sqlx("""SELECT * FROM (VALUES ('total_linhas_entrada', (SELECT count(*) FROM contracted)),
@@ -968,7 +999,7 @@ def dq10_summary_totals(spark, d):
   0::BIGINT AS CHAVES_OU_NOMES_DIFERENTES FROM (SELECT 1) WHERE (SELECT count(*) FROM survey) > 0"""))
 def dq12_rule_audit_complete(spark, d):
     audit = rules.class_rule_audit(_contracted(spark, d))
-    return DQ.audit_completeness(audit, rules._rules_table(spark, rules.class_steps()))
+    return DQ.audit_completeness(audit, rules.rule_table(spark))
 
 
 @query("dq13_side_tables_agree", sqlx("""SELECT * FROM (VALUES
@@ -1016,11 +1047,12 @@ def _ru13_sql() -> str:
              f"SELECT _ord, 0, 'operadora vazia' FROM r WHERE operadora = ''"]
     for k in (1, 2, 3):
         c, o, v = f"coluna_{k}", f"comparador_{k}", f"valor_{k}"
-        msg = (f"CASE WHEN {c} = '' THEN 'coluna vazia' WHEN {c} NOT IN ({base_sql}) THEN concat('coluna inexistente ', {c}) "
-               f"WHEN {o} NOT IN ({comps}) THEN concat('comparador invalido ', {o}) "
-               f"WHEN {o} NOT IN ('vazio', 'nao_vazio') AND {v} = '' THEN 'comparador sem valor' END")
-        parts.append(f"SELECT _ord, {k}, m FROM (SELECT _ord, {msg} AS m FROM r WHERE {c} <> '' OR {o} <> '' OR {v} <> '') "
-                     f"WHERE m IS NOT NULL")
+        used = f"({c} <> '' OR {o} <> '' OR {v} <> '')"
+        parts += [f"SELECT _ord, {k}, {m} FROM r WHERE {used} AND {w}" for m, w in (
+            ("'coluna vazia'", f"{c} = ''"),
+            (f"concat('coluna inexistente ', {c})", f"{c} <> '' AND {c} NOT IN ({base_sql})"),
+            (f"concat('comparador invalido ', {o})", f"{c} <> '' AND {o} NOT IN ({comps})"),
+            ("'comparador sem valor'", f"{c} <> '' AND {o} NOT IN ('vazio', 'nao_vazio') AND {v} = ''"))]
     return S.with_views(" UNION ALL ".join(parts), ("r", r))
 
 
@@ -1094,17 +1126,12 @@ def so6_top_overwrites(spark, d):
         "ORDEM_REGRA_ANTERIOR", "ORDEM_REGRA_NOVA", "QUANTIDADE")
 
 
-@query("so7_first_violations", sqlx(f"""SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS CHAVE, COLUNA, MOTIVO FROM (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'NOTA5' AS COLUNA,
-    CASE WHEN x <> floor(x) THEN 'nao inteiro' WHEN x < 1 OR x > 5 THEN 'fora de 1 a 5' END AS MOTIVO
-  FROM (SELECT *, (NOTA5 + l_linenumber / 10.0)::DOUBLE AS x FROM survey) WHERE NOTA5 IS NOT NULL)
-WHERE MOTIVO IS NOT NULL ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20)
-UNION ALL SELECT 'RESTANTES', NULL, CAST(greatest(count(*) - 20, 0) AS VARCHAR) FROM (
-  SELECT (NOTA5 + l_linenumber / 10.0)::DOUBLE AS x FROM survey WHERE NOTA5 IS NOT NULL)
-WHERE x <> floor(x) OR x < 1 OR x > 5"""))
+@query("so7_first_violations", sqlx(f"""SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS CHAVE, COLUNA, MOTIVO
+FROM ({_DQ3_SQL}) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, COLUNA, MOTIVO LIMIT 20)
+UNION ALL SELECT 'RESTANTES', NULL, CAST(greatest(count(*) - 20, 0) AS VARCHAR) FROM ({_DQ3_SQL})"""))
 def so7_first_violations(spark, d):
     v = dq3_score_violations(spark, d)
-    head, rest = SM.first_with_remainder(v, 20, [F.col(c) for c in S.ORDER_COLUMNS])
+    head, rest = SM.first_with_remainder(v, 20, [F.col(c) for c in (*S.ORDER_COLUMNS, "COLUNA", "MOTIVO")])
     head = head.select(F.col("l_orderkey").cast("string").alias("CHAVE"), "COLUNA", "MOTIVO")
     rest = rest.select(F.lit("RESTANTES").alias("CHAVE"), F.lit(None).cast("string").alias("COLUNA"),
                        F.col("RESTANTES").cast("string").alias("MOTIVO"))
@@ -1220,7 +1247,7 @@ def io4_pruned_csv_scan(spark, d):
     """IO3/IO4: a plain CSV scan pruned to the columns a report needs."""
     from quorum.sources import io as IO
     path = IO.scratch_path(spark, "survey-csv-pruned")
-    IO.write_survey_csv(S.survey(spark, d), path)
+    IO.write_survey_csv(S.survey(spark, d), path, strict_ints=False)  # scores may be missing
     df = IO.read_csv_columns(spark, path, ["TIPO", "ESPECIALIDADE"])
     return df.groupBy("TIPO").agg(F.count(F.lit(1)).alias("QUANTIDADE"),
                                   F.count("ESPECIALIDADE").alias("COM_ESPECIALIDADE"))

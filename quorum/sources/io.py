@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from quorum.functions.schema import overlay
 
 # --- fixed values: CSV tokens read as null (pandas defaults the process relies on)
-NULL_TOKENS = ("NA", "null", "None", "NULL", "n/a", "#N/A", "nan", "")
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 ID_READ_AS_TEXT = ("NUM_BENEFICIARIO", "TELEFONE")
 
 
@@ -29,17 +31,21 @@ def _header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     return [c.lstrip("﻿") if c else c for c in first[0]]
 
 
-def _csv(spark, path, names, sep=","):
+def _csv(spark, path, names, sep=",", multi_line=False):
+    """All columns as text.  Every file's header is checked against ``names``, so a file with its
+    columns in another order stops the read.  Files are split over tasks unless fields hold line
+    feeds (``multi_line``)."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
             .option("escape", '"').option("sep", sep)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .csv(path))
 
 
-def read_survey_csv(spark: SparkSession, path: str, strict_ints: bool = True, sep: str = ",") -> DataFrame:
+def read_survey_csv(spark: SparkSession, path: str, strict_ints: bool = True, sep: str = ",",
+                    multi_line: bool = False) -> DataFrame:
     """IO1: typed survey CSV scan (all text, null tokens, schema overlay)."""
-    df = _csv(spark, path, _header(spark, path, sep), sep)
+    df = _csv(spark, path, _header(spark, path, sep), sep, multi_line)
     df = df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`"))
                          for c in df.columns})
     return overlay(df, strict_ints=strict_ints)
@@ -57,9 +63,9 @@ def read_raw_text(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns})
 
 
-def write_survey_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """IO2: header CSV, overlay applied first; whitespace kept as is."""
-    (overlay(df, strict_ints=False).write.mode(mode).option("header", True).option("escape", '"')
+def write_survey_csv(df: DataFrame, path: str, mode: str = "overwrite", strict_ints: bool = True) -> None:
+    """IO2: header CSV, overlay applied first (integer columns checked); whitespace kept as is."""
+    (overlay(df, strict_ints=strict_ints).write.mode(mode).option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -74,8 +80,10 @@ def read_optional(spark: SparkSession, path: str | None, fmt: str = "parquet") -
         return None
     try:
         return spark.read.format(fmt).load(path)
-    except Exception:  # missing path -> the step runs without the lookup
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # the step runs without the lookup
+            return None
+        raise
 
 
 def union_sheets(sheets: dict, tag: str = "__origem_aba") -> DataFrame:

@@ -7,16 +7,13 @@ queries and oracles start from identical inputs; everything downstream
 (the operators under test) is written independently on each side.
 
 Base: lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ part.  At scale the first two
-joins are sort-merge joins on their keys, nation is broadcast (fixed 25-row
-dimension, size checked), part/customer are left to AQE.
+joins are sort-merge joins on their keys; the planner broadcasts what is small.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quorum.operators.lookup import bounded_broadcast
-
 # Row identity and order: (l_orderkey, l_linenumber, l_partkey, l_suppkey).
 KEY_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 ORDER_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -64,11 +61,10 @@ EDITED_EXPRS = [
     ("_ord", "p_partkey"),
 ]
 UNIT_SHEET_EXPRS = [
-    ("UNIDADE", "concat(upper(p_name), ' - ', p_brand)"),
+    ("UNIDADE", "case when p_partkey % 3 = 1 then concat(upper(p_name), ' - ', p_brand) end"),
     ("OPERA", "case when p_size % 2 = 0 then 'ndi sp' else 'NDI  RJ' end"),
     ("_ord", "p_partkey"),
 ]
-UNIT_SHEET_FILTER = "p_partkey % 3 = 1"
 
 
 def meta_rows():
@@ -101,16 +97,15 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         li.join(o, li.l_orderkey == o.o_orderkey)
         .join(c, o.o_custkey == c.c_custkey)
-        .join(bounded_broadcast(n, max_rows=10_000), c.c_nationkey == n.n_nationkey)
+        .join(n, c.c_nationkey == n.n_nationkey)
         .join(p, li.l_partkey == p.p_partkey)
     )
     return base.selectExpr(*[f"{e} AS `{a}`" for a, e in SURVEY_EXPRS])
 
 
 def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The negative-answer table (negativas): returned lines, no scores."""
-    df = survey(spark, sf_dir).where("l_returnflag = 'R'")
-    return df.drop(*SCORE_COLUMNS)
+    """The negative-answer table (negativas): every line, no scores."""
+    return survey(spark, sf_dir).drop(*SCORE_COLUMNS)
 
 
 def contract_sheet(spark, sf_dir) -> DataFrame:
@@ -122,8 +117,7 @@ def edited_sheet(spark, sf_dir) -> DataFrame:
 
 
 def unit_sheet(spark, sf_dir) -> DataFrame:
-    return (_read(spark, sf_dir, "part").where(UNIT_SHEET_FILTER)
-            .selectExpr(*[f"{e} AS `{a}`" for a, e in UNIT_SHEET_EXPRS]))
+    return _read(spark, sf_dir, "part").selectExpr(*[f"{e} AS `{a}`" for a, e in UNIT_SHEET_EXPRS])
 
 
 def meta_sheet(spark, sf_dir=None) -> DataFrame:
@@ -143,11 +137,11 @@ SURVEY_SQL = (
     "JOIN part ON l_partkey = p_partkey"
 )
 NEGATIVES_SQL = (
-    "SELECT * EXCLUDE (NOTA1, NOTA2, NOTA3, NOTA4, NOTA5) FROM survey WHERE l_returnflag = 'R'"
+    "SELECT * EXCLUDE (NOTA1, NOTA2, NOTA3, NOTA4, NOTA5) FROM survey"
 )
 CONTRACT_SQL = f"SELECT {_sel(CONTRACT_EXPRS)} FROM part"
 EDITED_SQL = f"SELECT {_sel(EDITED_EXPRS)} FROM part"
-UNIT_SHEET_SQL = f"SELECT {_sel(UNIT_SHEET_EXPRS)} FROM part WHERE {UNIT_SHEET_FILTER}"
+UNIT_SHEET_SQL = f"SELECT {_sel(UNIT_SHEET_EXPRS)} FROM part"
 
 
 def _sql_str(s: str) -> str:
