@@ -87,6 +87,16 @@ def score_recheck(df: DataFrame, scores, count_col: str, mean_col: str) -> DataF
                   F.count(F.when((q(mean_col) < 1) | (q(mean_col) > 5), 1)).alias("MEDIA_FORA_1_A_5"))
 
 
+def summary_divergences(summary: DataFrame, totals: DataFrame) -> DataFrame:
+    """DQ10: fields of a written one-row summary that differ from the totals of the data (absent: null)."""
+    fields = totals.columns
+    absent = [F.lit(None).cast("long").alias(c) for c in fields if c not in summary.columns]
+    found = measures(summary.select(*[q(c) for c in fields if c in summary.columns], *absent))
+    both = measures(totals).select(F.col("MEDIDA").alias("CAMPO"), F.col("VALOR").alias("ESPERADO")).join(
+        found.select(F.col("MEDIDA").alias("CAMPO"), F.col("VALOR").alias("ENCONTRADO")), "CAMPO", "left")
+    return both.where(~F.col("ESPERADO").eqNullSafe(F.col("ENCONTRADO")))
+
+
 def audit_completeness(audit: DataFrame, rules_table: DataFrame) -> DataFrame:
     """DQ12: full outer join audit <-> rules on the rule order: missing,
     extra, and rows whose key or name differ."""
@@ -98,5 +108,5 @@ def audit_completeness(audit: DataFrame, rules_table: DataFrame) -> DataFrame:
     return j.agg(F.count(F.when(F.col("o").isNull(), 1)).alias("REGRAS_SEM_AUDITORIA"),
                  F.count(F.when(F.col("o2").isNull(), 1)).alias("AUDITORIAS_SEM_REGRA"),
                  F.count(F.when(F.col("o").isNotNull() & F.col("o2").isNotNull()
-                                & ((F.col("ka") != F.col("kr")) | (F.col("na") != F.col("nr"))), 1))
+                                & ~(F.col("ka").eqNullSafe(F.col("kr")) & F.col("na").eqNullSafe(F.col("nr"))), 1))
                  .alias("CHAVES_OU_NOMES_DIFERENTES"))

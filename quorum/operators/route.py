@@ -134,3 +134,26 @@ def in_group(df: DataFrame, group: str, cls: str = "CLASSIFICACAO", groups: dict
     groups = DELIVERY_GROUPS if groups is None else groups
     keys = sorted({tx.fold_key_py(c) for c in groups[group]})
     return df.where(tx.fold_key(q(cls)).isin(*keys))
+
+
+# --- fixed values: the older class lists of the one-group form (the other groups are as in DELIVERY_GROUPS)
+ONE_GROUP_CLASSES = DELIVERY_GROUPS | {
+    "med prev e programas especiais": [
+        "CASE", "GESTAR BEM", "INTERNACAO PGC", "MED PREV", "NASCER BEM",
+        "PRODUTO COORDENADO", "TEA", "TRANSPLANTE RENAL",
+    ],
+    "teleconsulta": [
+        "HAPCLINICA DIGITAL TELEMEDICINA", "TELECONSULTA - DIGITAL", "TELEMEDICINA FERNANDES LIMA",
+        "TELEMEDICINA LOBO FILHO", "TELEMEDICINE RODOLFO FERNANDES",
+    ],
+}
+
+
+def deliver_groups(sources: dict, path: str, groups: dict | None = None, only: str | None = None,
+                   cls: str = "CLASSIFICACAO", origin: str = "ORIGEM") -> None:
+    """IO15/PL4: the rows of every group (or of one) as datasets per group and source, in one write."""
+    groups = ONE_GROUP_CLASSES if groups is None else groups
+    if only is not None and only not in groups:
+        raise ValueError(f"unknown group: {only}")
+    rows = assign_group(union_sources(sources, origin), cls, groups if only is None else {only: groups[only]}, GROUP, None)
+    rows.where(q(GROUP).isNotNull()).write.mode("overwrite").partitionBy(GROUP, origin).parquet(path)

@@ -2,9 +2,9 @@
 
 ``read -> clean -> contract -> score -> classify -> edited place ->
 operator -> target -> unit result -> status``.  All steps are projections,
-filters and broadcast lookups except the unit result (one partial
-aggregate + join back).  Nothing is materialised between steps; callers
-that reuse the result several times write it once (see ``persist_table``).
+filters and lookups except the unit result (one partial aggregate + join
+back), which needs its input twice: the stage before it is written once to
+shared storage, so the source is read and joined once.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def scored_pipeline(df: DataFrame, contract_sheet: DataFrame, edited_sheet: Data
     df = lookup.edited_place(df, edited_sheet, action=None)
     df = operator_rules.assign_operator(df, unit_sheet)
     df = lookup.target(df, meta_sheet).drop("GRUPO_ENCONTRADO")
-    df = score.unit_result(df)
+    df = score.unit_result(step_table(df, "before_unit"))
     return score.status(df)
 
 

@@ -14,7 +14,6 @@ from quorum import oracles as O
 from quorum import survey as S
 from quorum.operators import clean, lookup, operator_rules, rules, score
 from quorum.plans import avaliacoes as PL
-from quorum.session import configure
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -25,11 +24,7 @@ KEYS_SQL = ", ".join(KEYS)
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        def run(spark, sf_dir):
-            configure(spark)
-            return fn(spark, sf_dir)
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -119,7 +114,7 @@ _SQL_SCORED_CLASSIFIED_EDITED = f"({O.edited(f'({O.classified(f'({O.scored(SQL_C
 @query("an1_unit_result", sql(f"""SELECT {KEYS_SQL}, CLASSIFICACAO, "LOCAL EDITADO", UF, "RESULTADO DA UNIDADE"
 FROM ({O.unit_results(_SQL_SCORED_CLASSIFIED_EDITED)})"""))
 def an1_unit_result(spark, d):
-    df = _edited(spark, d, rules.classify(score.row_score(_contracted(spark, d))))
+    df = PL.step_table(_edited(spark, d, rules.classify(score.row_score(_contracted(spark, d)))), "before_unit")
     return score.unit_result(df).select(*KEYS, "CLASSIFICACAO", q("LOCAL EDITADO"), "UF",
                                         q("RESULTADO DA UNIDADE"))
 
@@ -181,6 +176,10 @@ def _pl2_full(spark, d):
         S.negatives(spark, d), S.contract_sheet(spark, d), S.edited_sheet(spark, d)))
 
 
+#: Step tables that several queries read.
+STEPS = {"avaliacoes": _pl1_full, "negativas": _pl2_full}
+
+
 def _routed(spark, d):
     return R.route({"avaliacoes": _pl1_full(spark, d), "negativas": _pl2_full(spark, d)})
 
@@ -800,6 +799,23 @@ def io13_split_three_ranges(spark, d):
                                      F.count(F.when(F.col("NUM_BENEFICIARIO").endswith(".0"), 1)).alias("IDS_COM_DECIMAL"))
 
 
+# ---------------------------------------------------------------- one-group form (PL4, IO15)
+_ONE_GROUP_KEYS = {g: sorted({O.fold_key_py(c) for c in cs}) for g, cs in R.ONE_GROUP_CLASSES.items()}
+
+
+@query("pl4_one_group_deliveries", sqlx("\nUNION ALL\n".join(
+    f"""SELECT {O.s(g)} AS GRUPO, ORIGEM, count(*) AS QUANTIDADE, CAST(count(LOCAL) AS BIGINT) AS COM_LOCAL FROM routed
+WHERE {O.fold_key('CLASSIFICACAO')} IN ({', '.join(O.s(k) for k in ks)}) GROUP BY ORIGEM""" for g, ks in _ONE_GROUP_KEYS.items())))
+def pl4_one_group_deliveries(spark, d):
+    """The older form: every group delivered on its own, one dataset per source, by its own class lists."""
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "one-group")
+    sources = {"avaliacoes": _pl1_full(spark, d), "negativas": _pl2_full(spark, d)}
+    R.deliver_groups(sources, path, R.ONE_GROUP_CLASSES)
+    return spark.read.parquet(path).groupBy("GRUPO", "ORIGEM").agg(
+        F.count(F.lit(1)).alias("QUANTIDADE"), F.count("LOCAL").alias("COM_LOCAL"))
+
+
 # ---------------------------------------------------------------- text functions
 from quorum.functions import text as TX  # noqa: E402
 
@@ -983,34 +999,52 @@ def dq9_score_recheck(spark, d):
     return DQ.score_recheck(df, _SCORES, score.VALID, "NOTA GERAL")
 
 
-@query("dq10_summary_totals", sqlx("""SELECT * FROM (VALUES ('total_linhas_entrada', (SELECT count(*) FROM contracted)),
-  ('soma_resumo', (SELECT count(*) FILTER (WHERE CONTRATACAO = 'rede propria')
-    + count(*) FILTER (WHERE CONTRATACAO = 'rede credenciada') + count(*) FILTER (WHERE CONTRATACAO IS NULL)
-    FROM contracted))) AS t(MEDIDA, VALOR)"""))
+@query("dq10_summary_totals", sqlx("""SELECT 'total_rede_propria' AS CAMPO, n AS ESPERADO, n + 1 AS ENCONTRADO
+FROM (SELECT count(*) AS n FROM contracted WHERE CONTRATACAO = 'rede propria')
+UNION ALL SELECT 'total_sem_contratacao', n, NULL FROM (SELECT count(*) AS n FROM contracted WHERE CONTRATACAO IS NULL)"""))
 def dq10_summary_totals(spark, d):
-    tot = ag6_contract_totals(spark, d)
-    n = _contracted(spark, d).agg(F.count(F.lit(1)).alias("total_linhas_entrada"))
-    s_ = tot.select((F.col("total_rede_propria") + F.col("total_rede_credenciada")
-                     + F.col("total_sem_contratacao")).alias("soma_resumo"))
-    return DQ.measures(n).unionByName(DQ.measures(s_))
+    """A written summary with two faults, read back and held against the data."""
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "resumo-conferido")
+    one = F.lit(1).cast("long")
+    IO.write_summary_json(ag6_contract_totals(spark, d).select(
+        (F.col("total_rede_propria") + one).alias("total_rede_propria"), "total_rede_credenciada"), path)
+    return DQ.summary_divergences(spark.read.json(path), ag6_contract_totals(spark, d))
 
 
-@query("dq12_rule_audit_complete", sqlx("""SELECT 0::BIGINT AS REGRAS_SEM_AUDITORIA, 0::BIGINT AS AUDITORIAS_SEM_REGRA,
-  0::BIGINT AS CHAVES_OU_NOMES_DIFERENTES FROM (SELECT 1) WHERE (SELECT count(*) FROM survey) > 0"""))
+@query("dq12_rule_audit_complete", sqlx("""SELECT CAST(count(*) FILTER (WHERE k = 2) AS BIGINT) AS REGRAS_SEM_AUDITORIA,
+  CAST(count(*) FILTER (WHERE k = 9) AS BIGINT) AS AUDITORIAS_SEM_REGRA,
+  CAST(count(*) FILTER (WHERE k IN (4, 6)) AS BIGINT) AS CHAVES_OU_NOMES_DIFERENTES FROM """ + O.rule_meta_values()))
 def dq12_rule_audit_complete(spark, d):
-    audit = rules.class_rule_audit(_contracted(spark, d))
-    return DQ.audit_completeness(audit, rules.rule_table(spark))
+    """A written audit with a missing rule, an unknown one, a wrong key and a lost name, against the rule list."""
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "auditoria-conferida")
+    k = F.col("ORDEM_REGRA")
+    audit = rules.class_rule_audit(_contracted(spark, d)).where(k != 2)
+    extra = audit.where(k == 9).withColumn("ORDEM_REGRA", F.lit(99))
+    faulty = audit.unionByName(extra).withColumns({
+        "CHAVE_GRUPO": F.when(k == 4, F.lit("OUTRA")).otherwise(F.col("CHAVE_GRUPO")),
+        "CLASSIFICACAO": F.when(k != 6, F.col("CLASSIFICACAO"))})
+    IO.write_partitioned(faulty, path, [])
+    return DQ.audit_completeness(spark.read.parquet(path), rules.rule_table(spark))
 
 
 @query("dq13_side_tables_agree", sqlx("""SELECT * FROM (VALUES
   ('TOTAL_NAO_CLASSIFICADAS', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = '')),
-  ('LINHAS_DETALHE', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = '')),
+  ('LINHAS_DETALHE', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = '' AND l_linenumber <> 5)),
   ('SOMA_POR_LOCAL', (SELECT count(*) FROM classified WHERE coalesce(CLASSIFICACAO, '') = ''))) AS t(MEDIDA, VALOR)"""))
 def dq13_side_tables_agree(spark, d):
-    tot = dq11_all_classified(spark, d).select("TOTAL_NAO_CLASSIFICADAS")
-    det = ru7_unclassified_detail(spark, d).agg(F.count(F.lit(1)).alias("LINHAS_DETALHE"))
-    by_local = ru7_unclassified_by_local(spark, d).agg(F.sum("QUANTIDADE").cast("long").alias("SOMA_POR_LOCAL"))
-    return DQ.measures(tot).unionByName(DQ.measures(det)).unionByName(DQ.measures(by_local))
+    """The total from the data against the written side tables, of which the detail lost rows."""
+    from quorum.sources import io as IO
+    classified = PL.step_table(_classified(spark, d), "classified")
+    path = IO.scratch_path(spark, "nao-classificados")
+    detail = rules.unclassified(classified)
+    IO.write_partitioned(detail.where(q("l_linenumber") != 5), f"{path}/detalhe", [])
+    IO.write_partitioned(SM.frequency(detail, "LOCAL"), f"{path}/por_local", [])
+    total = classified.agg(F.count(F.when(is_blank(q("CLASSIFICACAO")), 1)).alias("TOTAL_NAO_CLASSIFICADAS"))
+    lines = spark.read.parquet(f"{path}/detalhe").agg(F.count(F.lit(1)).alias("LINHAS_DETALHE"))
+    by_place = spark.read.parquet(f"{path}/por_local").agg(F.sum("QUANTIDADE").cast("long").alias("SOMA_POR_LOCAL"))
+    return DQ.measures(total).unionByName(DQ.measures(lines)).unionByName(DQ.measures(by_place))
 
 
 # ---------------------------------------------------------------- operator rules v2 (RU12-RU17)

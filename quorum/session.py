@@ -33,23 +33,10 @@ def build_session(master: str | None = None, app: str = "quorum",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Runtime SQL settings the rule operators rely on.
-
-    The rule folds produce wide projections (one flag per rule, then the
-    fold); Catalyst's constraint propagation grows combinatorially over such
-    projections once a filter or join sits above them, so it is turned off
-    (it only derives extra IsNotNull/equality filters).
-    """
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-    return spark
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
