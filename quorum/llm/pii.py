@@ -53,6 +53,13 @@ HEX = ("0123456789abcdef", "0123456789ABCDEF")
 #: Days of 400 years of the calendar, as the product of the halves that are permuted.
 DAY_HALVES = (27, 5411)
 FIRST_DAY = "1800-01-01"
+#: Tried in this order.
+DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy")
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is evaluated once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _chars(s: Column) -> Column:
@@ -83,7 +90,7 @@ def feistel(chars: Column, key: str, kind: str, alphabets: tuple[str, ...]) -> C
 
     def turn(acc, i):
         stream = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), F.size(chars).cast("string"), F.array_join(acc["b"], "")), 512)
-        return F.struct(acc["b"].alias("a"), _shifted(acc["a"], stream, alphabets).alias("b"))
+        return F.struct(acc["b"].alias("a"), _let(stream, lambda bits: _shifted(acc["a"], bits, alphabets)).alias("b"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda acc: F.concat(acc["a"], acc["b"]))
 
@@ -91,8 +98,9 @@ def feistel(chars: Column, key: str, kind: str, alphabets: tuple[str, ...]) -> C
 def _feistel_number(u: Column, v: Column, m: int, n: int, key: str, kind: str) -> Column:
     """A keyed permutation of pairs below (m, n)."""
     def turn(acc, i):
-        new = F.pmod(acc["u"] + _number(F.lit(key), F.lit(kind), i.cast("string"), acc["v"].cast("string")), F.lit(m))
-        return F.struct(new.alias("u"), F.pmod(acc["v"] + _number(F.lit(key), F.lit(kind + "'"), i.cast("string"), new.cast("string")), F.lit(n)).alias("v"))
+        u = F.pmod(acc["u"] + _number(F.lit(key), F.lit(kind), i.cast("string"), acc["v"].cast("string")), F.lit(m))
+        return _let(u, lambda new: F.struct(new.alias("u"), F.pmod(
+            acc["v"] + _number(F.lit(key), F.lit(kind + "'"), i.cast("string"), new.cast("string")), F.lit(n)).alias("v")))
 
     start = F.struct(u.cast("long").alias("u"), v.cast("long").alias("v"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), start, turn)
@@ -100,9 +108,12 @@ def _feistel_number(u: Column, v: Column, m: int, n: int, key: str, kind: str) -
 
 def _refilled(layout: Column, chars: Column, slot: str) -> Column:
     """The layout with its slots (characters that match) taken from ``chars`` in turn."""
-    whole = _chars(layout)
-    return F.array_join(F.transform(whole, lambda c, i: F.when(
-        c.rlike(slot), F.get(chars, F.size(F.filter(F.slice(whole, F.lit(1), i + 1), lambda x: x.rlike(slot))) - 1)).otherwise(c)), "")
+    def fill(both):
+        whole, new = both["whole"], both["new"]
+        return F.array_join(F.transform(whole, lambda c, i: F.when(
+            c.rlike(slot), F.get(new, F.size(F.filter(F.slice(whole, F.lit(1), i + 1), lambda x: x.rlike(slot))) - 1)).otherwise(c)), "")
+
+    return _let(F.struct(_chars(layout).alias("whole"), chars.alias("new")), fill)
 
 
 def _luhn_sum(digits: Column, odd_from_right: int) -> Column:
@@ -123,41 +134,52 @@ def _mod97(text: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    body = feistel(F.slice(digits, F.lit(1), F.size(digits) - 1), key, "card", (DIGITS,))
-    check = F.pmod(-_luhn_sum(body, 0), F.lit(10)).cast("string")
-    return F.when(F.size(digits).between(13, 19) & (_luhn_sum(digits, 1) % 10 == 0), _refilled(m, F.concat(body, F.array(check)), "[0-9]"))
+    def made(digits):
+        body = feistel(F.slice(digits, F.lit(1), F.size(digits) - 1), key, "card", (DIGITS,))
+        whole = _let(body, lambda x: F.concat(x, F.array(F.pmod(-_luhn_sum(x, 0), F.lit(10)).cast("string"))))
+        return F.when(F.size(digits).between(13, 19) & (_luhn_sum(digits, 1) % 10 == 0), _refilled(m, whole, "[0-9]"))
+
+    return _let(_digits(m), made)
 
 
 def _account(m: Column, key: str) -> Column:
-    flat = F.replace(m, F.lit(" "), F.lit(""))
-    country, rest = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat))
-    body = feistel(_chars(rest), key, "account", (DIGITS, UPPER))
-    check = F.lpad((98 - _mod97(F.concat(F.array_join(body, ""), country, F.lit("00")))).cast("string"), 2, "0")
-    valid = F.length(flat).between(15, 34) & (_mod97(F.concat(rest, F.substring(flat, 1, 4))) == 1)
-    return F.when(valid, _refilled(m, F.concat(_chars(country), _chars(check), body), "[A-Z0-9]"))
+    def made(flat):
+        country, rest = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat))
+        body = feistel(_chars(rest), key, "account", (DIGITS, UPPER))
+        whole = _let(body, lambda x: F.concat(_chars(country), _chars(F.lpad(
+            (98 - _mod97(F.concat(F.array_join(x, ""), country, F.lit("00")))).cast("string"), 2, "0")), x))
+        valid = F.length(flat).between(15, 34) & (_mod97(F.concat(rest, F.substring(flat, 1, 4))) == 1)
+        return F.when(valid, _refilled(m, whole, "[A-Z0-9]"))
+
+    return _let(F.replace(m, F.lit(" "), F.lit("")), made)
 
 
 def _ip(m: Column, key: str) -> Column:
-    part = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
-    new = _feistel_number(F.get(part, F.lit(0)) * 256 + F.get(part, F.lit(1)), F.get(part, F.lit(2)) * 256 + F.get(part, F.lit(3)), 65536, 65536, key, "ip")
-    made = F.transform(F.array(new), lambda p: F.concat_ws(".", *(x.cast("string") for x in (
-        F.floor(p["u"] / 256), p["u"] % 256, F.floor(p["v"] / 256), p["v"] % 256))))
-    return F.when(F.forall(part, lambda x: x <= 255), F.get(made, F.lit(0)))
+    def made(part):
+        new = _feistel_number(part[0] * 256 + part[1], part[2] * 256 + part[3], 65536, 65536, key, "ip")
+        text = _let(new, lambda p: F.concat_ws(".", *(x.cast("string") for x in (F.floor(p["u"] / 256), p["u"] % 256, F.floor(p["v"] / 256), p["v"] % 256))))
+        return F.when(F.forall(part, lambda x: x <= 255), text)
+
+    return _let(F.transform(F.split(m, r"\."), lambda x: x.cast("int")), made)
 
 
 def _date(m: Column, key: str) -> Column:
-    iso, slash = m.rlike("^[0-9]{4}-"), m.contains("/")
-    day = F.coalesce(F.when(iso, F.try_to_timestamp(m, F.lit("yyyy-MM-dd"))).when(slash, F.coalesce(
-        F.try_to_timestamp(m, F.lit("dd/MM/yyyy")), F.try_to_timestamp(m, F.lit("MM/dd/yyyy")))).otherwise(F.try_to_timestamp(m, F.lit("dd.MM.yyyy")))).cast("date")
     size = DAY_HALVES[0] * DAY_HALVES[1]
-    n = F.date_diff(day, F.lit(FIRST_DAY).cast("date"))
-    new = F.transform(F.array(_feistel_number(F.floor(n / DAY_HALVES[1]), n % DAY_HALVES[1], *DAY_HALVES, key, "date")),
-                      lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["u"] * DAY_HALVES[1] + p["v"]).cast("int")))
-    made = F.get(new, F.lit(0))
-    month_first = slash & F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNull()
-    return F.when((n >= 0) & (n < size), F.when(iso, F.date_format(made, "yyyy-MM-dd")).when(month_first, F.date_format(made, "MM/dd/yyyy"))
-                  .when(slash, F.date_format(made, "dd/MM/yyyy")).otherwise(F.date_format(made, "dd.MM.yyyy")))
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def made(read):
+        """read: the format that the date has, and the day."""
+        n = F.date_diff(read["day"], first)
+        new = _let(_feistel_number(F.floor(n / DAY_HALVES[1]), n % DAY_HALVES[1], *DAY_HALVES, key, "date"),
+                   lambda p: F.date_add(first, (p["u"] * DAY_HALVES[1] + p["v"]).cast("int")))
+        shown = _let(new, lambda d: F.coalesce(*(F.when(read["f"] == f, F.date_format(d, f)) for f in DATE_FORMATS)))
+        return F.when((n >= 0) & (n < size), shown)
+
+    def day(f):
+        return F.try_to_timestamp(m, F.lit(f)).cast("date")
+
+    reads = F.array(*(F.struct(F.lit(f).alias("f"), day(f).alias("day")) for f in DATE_FORMATS))
+    return _let(F.get(F.filter(reads, lambda r: r["day"].isNotNull()), F.lit(0)), lambda r: F.when(r.isNotNull(), made(r)))
 
 
 def _social(m: Column, key: str) -> Column:
@@ -167,9 +189,11 @@ def _social(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    code = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    return F.concat(code, _refilled(rest, feistel(_digits(rest), key, "phone", (DIGITS,)), "[0-9]"))
+    def made(code):
+        rest = F.substring(m, F.length(code) + 1, F.length(m))
+        return F.concat(code, _refilled(rest, feistel(_digits(rest), key, "phone", (DIGITS,)), "[0-9]"))
+
+    return _let(F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0), made)
 
 
 def _email(m: Column, key: str) -> Column:
@@ -186,11 +210,14 @@ def _secret(m: Column, key: str) -> Column:
 MAKERS = {"email": _email, "secret": _secret, "account": _account, "date": _date, "ip": _ip, "social": _social, "card": _card, "phone": _phone}
 
 
+def _named(kind: str, made: Column) -> Column:
+    return _let(made, lambda new: F.when(new.isNotNull(), F.struct(F.lit(kind).alias("kind"), new.alias("new"))))
+
+
 def pseudonym(m: Column, key: str = KEY) -> Column:
     """(kind, new): the first kind whose format the match has and whose test it passes; null if none."""
-    tries = [F.when(m.rlike(f"^(?:{p})$"), MAKERS[kind](m, key)) for kind, p in KINDS]
-    made = F.coalesce(*(F.when(t.isNotNull(), F.struct(F.lit(kind).alias("kind"), t.alias("new"))) for (kind, _), t in zip(KINDS, tries)))
-    return made
+    return F.coalesce(*(
+        _named(kind, F.when(m.rlike(f"^(?:{p})$"), MAKERS[kind](m, key))) for kind, p in KINDS))
 
 
 def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = KEY, found_col: str = "n_replaced") -> DataFrame:
