@@ -35,7 +35,7 @@ from quorum.llm.common import runs, written
 
 NEIGHBOURS = 24
 #: Vectors per pivot, pivots at most, and pivots that a vector is assigned to.
-BLOCK, MAX_PIVOTS, ASSIGNED = 256, 4096, 5
+BLOCK, MAX_PIVOTS, ASSIGNED = 256, 4096, 8
 #: Rows of a block before it is split.
 BLOCK_ROWS = 4096
 ROUNDS = 2
@@ -116,7 +116,8 @@ def _start(nodes: DataFrame, k: int) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in runs(batches, "block"):
             ids, x = t.column("node").to_numpy(), _matrix(t.column("w"))
-            best = min(k, len(ids) - 1)
+            # Half of a node's neighbours from each of its blocks is enough to start from.
+            best = min(max(k // 2, 1), len(ids) - 1)
             for at in range(0, len(ids) if best > 0 else 0, 512):
                 d = _distances(x, at, at + 512)
                 top = np.argpartition(d, best - 1, axis=1)[:, :best]
@@ -153,22 +154,25 @@ def graph_of(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> Dat
     return graph
 
 
-def _measured(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(q, node, dist): exact distances of pairs (q, node)."""
-    with_both = (pairs.join(nodes.select("node", "v"), "node")
-                 .join(nodes.select(F.col("node").alias("q"), F.col("v").alias("qv")), "q"))
+def _measured(pairs: DataFrame, nodes: DataFrame, column: str, kind: str) -> DataFrame:
+    """(q, node, dist): distances of pairs (q, node) by the nodes' vectors in ``column``."""
+    with_both = (pairs.join(nodes.select("node", F.col(column).alias("nv")), "node")
+                 .join(nodes.select(F.col("node").alias("q"), F.col(column).alias("qv")), "q"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                d = _matrix(b.column("v"), "<f8") - _matrix(b.column("qv"), "<f8")
+                d = _matrix(b.column("nv"), kind).astype(np.float64) - _matrix(b.column("qv"), kind)
                 yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), pa.array(np.sqrt((d * d).sum(axis=1)))], ["q", "node", "dist"])
 
-    return with_both.select("q", "node", "v", "qv").mapInArrow(measure, "q long, node long, dist double")
+    return with_both.select("q", "node", "nv", "qv").mapInArrow(measure, "q long, node long, dist double")
 
 
 def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
-    """(q, node, dist): the nearest ``beam`` nodes that a greedy walk from each node q finds, q included."""
+    """(q, node, dist): the nearest ``beam`` nodes that a greedy walk from each node q finds, q included.
+
+    The walk goes by the stored half-precision components; the distances are exact.
+    """
     links = written(graph.select("node", "near").unionByName(graph.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct(), "walk_links")
     state = written(queries.select(F.col("node").alias("q"), "node", F.lit(0.0).alias("dist"), F.lit(False).alias("done"), F.lit(1).alias("r")), "walk")
     nearest = Window.partitionBy("q").orderBy("dist", "node")
@@ -177,9 +181,9 @@ def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int =
         met = (ahead.join(links, "node").select("q", F.col("near").alias("node")).distinct()
                .join(state.select("q", "node"), ["q", "node"], "left_anti"))
         known = state.select("q", "node", "dist", (F.col("done") | (F.col("r") <= beam)).alias("done"))
-        every = known.unionByName(_measured(met, nodes).withColumn("done", F.lit(False)))
+        every = known.unionByName(_measured(met, nodes, "w", STORED).withColumn("done", F.lit(False)))
         state = written(every.withColumn("r", F.row_number().over(nearest)), "walk")
-    return state.filter(F.col("r") <= beam).select("q", "node", "dist")
+    return _measured(state.filter(F.col("r") <= beam).select("q", "node"), nodes, "v", "<f8")
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -201,6 +205,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
             w = [(np.frombuffer(x, "<f8") / scale).astype(STORED).tobytes() for x in b.column("v").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("v"), pa.array(w, pa.binary())], ["node", "v", "w"])
 
+    nodes = written(classes.select("node", "v").mapInArrow(single, "node long, v binary, w binary"), "nodes_single")
     members = written(rows.join(classes, "v").select("node", "vec_id"), "members")
     asked = members.filter(is_query)
     found = searched(asked.select("node").distinct(), nodes, graph_of(nodes), max(BEAM, k + 1))
