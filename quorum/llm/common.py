@@ -8,10 +8,13 @@ plain local mode alone, where driver and executors are one process.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +36,27 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable where Python functions run, once per application.
+
+    Nothing to do where it is installed for the executors already: named in PYTHONPATH, or
+    submitted with the job.  Otherwise its sources go out as Spark's own job files do.
+    """
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or spark.conf.get("spark.submit.pyFiles", ""):
+        return
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        with zipfile.ZipFile(Path(tempfile.mkdtemp(prefix="quorum-src-")) / "quorum_src.zip", "w") as z:
+            for f in sorted((root / "quorum").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        context.addPyFile(z.filename)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back (cuts the lineage)."""
     spark = df.sparkSession
@@ -42,6 +66,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, with the package ready for what is done to it."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
