@@ -38,14 +38,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import runs, written
+from quorum.llm.common import fresh, runs, written
 
 WORDS = 3
 PERCENT = 90
@@ -56,22 +57,35 @@ SKETCH_GROUP = 64
 #: N-grams in a block of candidates.
 BLOCK_GRAMS = 1 << 18
 #: Rounds of joining with leaders before all candidate pairs across components are joined.
-ROUNDS = 3
-CACHE_WORDS = 300_000
+ROUNDS = 2
+#: Bits of the map of wanted ids; when it fills up, more sets than needed are made.
+MAP_BITS = 1 << 25
+#: 64-bit words of a set's parity map.
+PARITY_WORDS = 16
 SLICE_ROWS = 256
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
+#: A random number for every byte value, and an odd base whose powers place the bytes of a word.
+_BYTE = np.frombuffer(hashlib.shake_128(b"bytes").digest(8 * 256), "<u8")
+_BASE = 0xD6E8FEB86659FD93
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
-_WORDS = _WordHashes()
+@lru_cache(maxsize=4)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.ones(size, np.uint64)
+        done = 1
+        while done < size:
+            m = min(done, size - done)
+            p[done : done + m] = p[:m] * np.uint64(pow(base, done, 1 << 64))
+            done += m
+        out.append(p)
+    return out[0], out[1]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -82,12 +96,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def gram_set(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word n-grams of the text, A-Z lower-cased."""
-    said = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not said:
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8) if text else np.zeros(0, np.uint8)
+    gap = np.concatenate(([True], _SPACE[data], [True]))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    start, end = edges[::2], edges[1::2]
+    if not len(start):
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, said), np.uint64, len(said))
-    n = min(words, len(said))
-    grams = np.full(len(said) - n + 1, n, np.uint64)
+    up, down = _powers(1 << (len(data)).bit_length())
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    hashes = _mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    n = min(words, len(hashes))
+    grams = np.full(len(hashes) - n + 1, n, np.uint64)
     for place in range(n):
         grams = _mixed(grams * _MIX[0] + hashes[place : place + len(grams)])
     return np.unique(grams)
@@ -102,6 +122,17 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def required(a: Column, b: Column, percent: int = PERCENT) -> Column:
+    """The fewest n-grams that the prefixes of linked sets of sizes a and b share.
+
+    The c-th common n-gram comes after at most a - overlap others of the one set (b - overlap of the
+    other), so it lies in both prefixes as long as these have room.
+    """
+    overlap = F.ceil((a + b) * percent / F.lit(100 + percent))
+    room = [n - F.ceil(n * percent / F.lit(100)) + 1 - (n - overlap) for n in (a, b)]
+    return F.greatest(F.least(*room), F.lit(1))
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, SLICE_ROWS):
@@ -158,17 +189,23 @@ def _ordered(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.sort(ranks[(s % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8))
 
 
+def parity(s: np.ndarray) -> bytes:
+    """A bit map in which every n-gram flips one bit: two maps differ in at most as many bits as their sets do in n-grams."""
+    bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 def _texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(class_id, text, set_key) of the classes' own documents."""
     return docs.join(classes.select("class_id", "set_key").hint("shuffle_hash"), F.col("doc_id") == F.col("class_id")).select("class_id", "text", "set_key")
 
 
 def _prefixes(texts: DataFrame, shipped, words: int, percent: int) -> DataFrame:
-    """(gram, class_id, n, pos): the first n-grams of each class's ordered set."""
+    """(gram, class_id, n, pos, parity): the first n-grams of each class's ordered set; the parity map at pos 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shipped.value
         for b in _slices(batches):
-            grams, ids, sizes, places = [], [], [], []
+            grams, ids, sizes, places, maps = [], [], [], [], []
             for c, t, k in zip(*(b.column(i).to_pylist() for i in range(3))):
                 s = gram_set(t, words)
                 if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != k:
@@ -178,27 +215,45 @@ def _prefixes(texts: DataFrame, shipped, words: int, percent: int) -> DataFrame:
                 ids.append(np.full(p, c, np.int64))
                 sizes.append(np.full(p, len(s), np.int32))
                 places.append(np.arange(p, dtype=np.int32))
+                maps += [parity(s), *[None] * (p - 1)]
             if grams:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in ([g.view(np.int64) for g in grams], ids, sizes, places)], ["gram", "class_id", "n", "pos"])
+                    [*(pa.array(np.concatenate(x)) for x in ([g.view(np.int64) for g in grams], ids, sizes, places)), pa.array(maps, pa.binary())],
+                    ["gram", "class_id", "n", "pos", "parity"])
+
+    return texts.mapInArrow(run, "gram long, class_id long, n int, pos int, parity binary")
 
-    return texts.mapInArrow(run, "gram long, class_id long, n int, pos int")
 
+def _sequences(docs: DataFrame, classes: DataFrame, shipped, words: int) -> DataFrame:
+    """(class_id, set_key, grams): the whole ordered sets of the given classes, and of a few other rows.
+
+    The texts stay where they are: a bit map of the wanted ids, of fixed size, goes to them, and only
+    the sets of ids in the map are made.  Joins by both columns find the right ones.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
+    bits = (classes.select(place("class_id").alias("p"))
+            .groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
+    # Buckets count from 1 and hold 32768 bits each; at most MAP_BITS / 32768 + 1 rows.
+    wanted = docs.sparkSession.sparkContext.broadcast({r.bucket: bytes(r.bits) for r in bits})
+    schema = "class_id long, set_key binary, grams binary"
 
-def _sequences(texts: DataFrame, shipped, words: int) -> DataFrame:
-    """(class_id, n, grams): the whole ordered sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shipped.value
-        for b in _slices(batches):
-            rows = {}
-            for c, t, k in zip(*(b.column(i).to_pylist() for i in range(3))):
-                s = gram_set(t, words)
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == k:
-                    rows[c] = (len(s), _ordered(s, ranks).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rows), pa.int64()), pa.array([n for n, _ in rows.values()], pa.int32()), pa.array([g for _, g in rows.values()], pa.binary())], ["class_id", "n", "grams"])
+        ranks, held = shipped.value, wanted.value
+        for b in batches:
+            position = b.column("position").to_numpy()
+            bucket, bit = b.column("bucket").to_numpy(), position
+            keep = [i for i, (u, v) in enumerate(zip(bucket.tolist(), bit.tolist())) if (m := held.get(u)) is not None and m[v >> 3] >> (v & 7) & 1]
+            for at in range(0, len(keep), SLICE_ROWS):
+                part = b.take(pa.array(keep[at : at + SLICE_ROWS], pa.int64()))
+                sets = [gram_set(t, words) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                     pa.array([_ordered(s, ranks).tobytes() for s in sets], pa.binary())],
+                    ["class_id", "set_key", "grams"])
 
-    return texts.mapInArrow(run, "class_id long, n int, grams binary").dropDuplicates(["class_id"])
+    p = place("doc_id")
+    mapped = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", F.bitmap_bucket_number(p).alias("bucket"), F.bitmap_bit_position(p).alias("position")).mapInArrow(run, schema)
+    return mapped
 
 
 class PrefixTree:
@@ -241,14 +296,15 @@ class PrefixTree:
         return found
 
 
-def _joined(pairs: DataFrame, sequences: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those that link."""
-    sized = pairs.join(sequences.select(F.col("class_id").alias("b"), "n"), "b")
+def _joined(pairs: DataFrame, classes: DataFrame, sequences: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those that link.  A repeated row only repeats a set, which changes no link."""
+    sized = pairs.join(classes.select(F.col("class_id").alias("b"), "set_key", "n"), "b")
     salts = sized.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("salts"))
-    members = (sized.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.col("b").alias("class_id")))
-    heads = members.select("a", "salt").distinct().select("a", "salt", F.col("a").alias("class_id"), F.lit(0).alias("order"))
+    members = sized.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.col("b").alias("class_id"), "set_key", F.lit(1).alias("order"))
+    heads = (members.select("a", "salt").distinct().join(classes.select(F.col("class_id").alias("a"), "set_key"), "a")
+             .select("a", "salt", F.col("a").alias("class_id"), "set_key", F.lit(0).alias("order")))
     blocks = (
-        heads.unionByName(members.withColumn("order", F.lit(1))).join(sequences.select("class_id", "grams"), "class_id")
+        heads.unionByName(members).join(sequences, ["class_id", "set_key"])
         .withColumn("block", F.concat_ws("/", "a", "salt"))
         .repartition("block").sortWithinPartitions("block", "order").select("block", "class_id", "grams")
     )
@@ -263,6 +319,13 @@ def _joined(pairs: DataFrame, sequences: DataFrame, percent: int) -> DataFrame:
     return blocks.mapInArrow(run, "a long, b long")
 
 
+def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shipped, words: int, percent: int) -> DataFrame:
+    pairs = written(pairs, "pairs")
+    wanted = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct(), "class_id", "left_semi")
+    wanted = written(wanted, "wanted")
+    return written(_joined(pairs, wanted, _sequences(docs, wanted, shipped, words), percent), "found")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(class_id, component): the smallest id that links reach, for all ids in ``links`` (a, b)."""
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -280,7 +343,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components among rows (gram, class_id, n, pos, component)."""
+    """Candidate pairs (a, b) of different components among rows (gram, class_id, n, pos, component, parity).
+
+    At the first n-gram that two linked sets share, their positions add up to no more than the
+    n-grams in which they may differ, and their parity maps never differ in more bits than that.
+    """
     def pairs(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         size = len(x["gram"])
         i, d = np.arange(size), 1
@@ -288,17 +355,23 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             i = i[x["gram"][i] == x["gram"][i + d]]
             a, b = i, i + d
             na, nb = x["n"][a].astype(np.int64), x["n"][b].astype(np.int64)
-            fits = (x["component"][a] != x["component"][b]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            fits &= x["pos"][a] + x["pos"][b] <= na + nb - 2 * needed(na, nb, percent)
-            if fits.any():
-                u, v = x["class_id"][a[fits]], x["class_id"][b[fits]]
+            most = na + nb - 2 * needed(na, nb, percent)
+            fits = (x["component"][a] != x["component"][b]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["pos"][a] + x["pos"][b] <= most)
+            a, b, most = a[fits], b[fits], most[fits]
+            near = np.bitwise_count(x["parity"][a] ^ x["parity"][b]).sum(axis=1) <= most
+            if near.any():
+                u, v = x["class_id"][a[near]], x["class_id"][b[near]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
             d += 1
 
+    def column(b: pa.RecordBatch, name: str) -> np.ndarray:
+        c = b.column(name)
+        return np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), PARITY_WORDS) if name == "parity" else c.to_numpy()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for b in batches:
-            new = {n: b.column(n).to_numpy() for n in b.schema.names}
+            new = {n: column(b, n) for n in b.schema.names}
             held = new if held is None else {n: np.concatenate((held[n], new[n])) for n in new}
             cut = int(np.searchsorted(held["gram"], held["gram"][-1])) if len(held["gram"]) else 0
             yield from pairs({n: v[:cut] for n, v in held.items()})
@@ -316,14 +389,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     made = written(_sets(docs, words), "sets")
     rows = made.filter("part is null").select("doc_id", "n", "set_key")
     shipped = spark.sparkContext.broadcast(_ranks(made))  # one byte per counter
-    classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "classes")
+    classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.min("n").alias("n")), "classes")
     texts = _texts_of(docs, classes)
     prefixes = written(_prefixes(texts, shipped, words, percent), "prefixes")
     shared = prefixes.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1").select("gram")
-    light = written(prefixes.join(shared, "gram"), "shared")
-    wanted = classes.join(light.select("class_id").distinct(), "class_id")
-    sequences = written(_sequences(_texts_of(docs, wanted), shipped, words), "sequences")
-
+    light = written(prefixes.drop("parity").join(shared, "gram"), "shared")
+    # A repeated row of a class's document has the same map.
+    parities = prefixes.filter("pos = 0").groupBy("class_id").agg(F.first("parity").alias("parity"))
     links = light.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).filter("false")
     current = light.withColumn("component", F.col("class_id"))
     for step in range(ROUNDS):
@@ -333,16 +405,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         led = current.join(leaders, "gram").filter(order == F.col("first")).select("gram", F.col("class_id").alias("a"), F.col("component").alias("of"), F.col("n").alias("m")).distinct()
         fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
         votes = (current.join(led, "gram").filter((F.col("component") != F.col("of")) & fits)
-                 .groupBy("class_id", "a").agg(F.count("*").alias("votes")))
+                 .groupBy("class_id", "a", "n", "m").agg(F.count("*").alias("votes")).filter(F.col("votes") >= required(F.col("n"), F.col("m"), percent)))
         pairs = votes.groupBy("class_id").agg(F.max(F.struct("votes", "a")).alias("best")).select(F.col("best.a").alias("a"), F.col("class_id").alias("b"))
-        found = written(_joined(written(pairs, "pairs"), sequences, percent), "found")
+        found = _linked(docs, classes, pairs, shipped, words, percent)
         links = written(links.unionByName(found), "all_links")
         current = _labelled(light, components(links))
-    pairs = written(_across(current, percent), "pairs")
-    links = links.unionByName(_joined(pairs, sequences, percent))
+    links = links.unionByName(_linked(docs, classes, _across(current.join(parities, "class_id"), percent), shipped, words, percent))
     final = components(links).withColumnRenamed("component", "found")
     return (
-        rows.join(classes, "set_key", "left").join(final, "class_id", "left")
+        rows.join(classes.drop("n"), "set_key", "left").join(final, "class_id", "left")
         .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("found", "class_id", "doc_id").alias("c"))
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("c")).alias("component_id"))
     )
@@ -353,3 +424,10 @@ def _labelled(light: DataFrame, labels: DataFrame) -> DataFrame:
     rows = light.join(labels, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
     open_ = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
     return written(rows.join(open_, "gram"), "open")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's smallest, and those without an id."""
+    keep = fresh(docs, "keep")
+    first = near_duplicates(docs, id_col, text_col, words, percent).filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
+    return docs.join(first.select(F.col("doc_id").alias(keep)).distinct(), F.col(id_col).cast("long").eqNullSafe(F.col(keep)), "left_semi")
