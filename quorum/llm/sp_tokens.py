@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Entries that a worker's caches of words and of their parts hold before they are emptied.
-WORD_ENTRIES, PART_ENTRIES = 350_000, 700_000
+WORD_ENTRIES, PART_ENTRIES = 200_000, 350_000
 #: Characters of the longest word that is held.
 LONG = 64
 #: Rows that go on at once.
