@@ -342,28 +342,51 @@ def components(links: DataFrame) -> DataFrame:
         state = state.select("class_id", "component")
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
+def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
     """Candidate pairs (a, b) of different components among rows (gram, class_id, n, pos, component, parity).
 
     At the first n-gram that two linked sets share, their positions add up to no more than the
     n-grams in which they may differ, and their parity maps never differ in more bits than that.
+
+    With ``forest`` a task leaves out pairs whose components it has connected already, and pairs whose
+    maps are not well inside the bound: few pairs that nearly always link, for a round before all are joined.
     """
     def pairs(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         size = len(x["gram"])
         i, d = np.arange(size), 1
+        label = np.unique(x["component"], return_inverse=True)[1]
+        root = np.arange(label.max() + 1 if size else 0)
         while len(i := i[i + d < size]):
             i = i[x["gram"][i] == x["gram"][i + d]]
             a, b = i, i + d
             na, nb = x["n"][a].astype(np.int64), x["n"][b].astype(np.int64)
             most = na + nb - 2 * needed(na, nb, percent)
-            fits = (x["component"][a] != x["component"][b]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["pos"][a] + x["pos"][b] <= most)
+            fits = (root[label[a]] != root[label[b]]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["pos"][a] + x["pos"][b] <= most)
             a, b, most = a[fits], b[fits], most[fits]
-            near = np.bitwise_count(x["parity"][a] ^ x["parity"][b]).sum(axis=1) <= most
+            near = np.bitwise_count(x["parity"][a] ^ x["parity"][b]).sum(axis=1) <= (most * 3 // 4 if forest else most)
+            if forest and near.any():
+                near = connecting(root, label[a], label[b], near)
             if near.any():
                 u, v = x["class_id"][a[near]], x["class_id"][b[near]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
             d += 1
 
+    def connecting(root: np.ndarray, a: np.ndarray, b: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Of the near pairs those that connect two roots; ``root`` is brought up to date."""
+        kept = np.zeros(len(near), bool)
+        for k in np.flatnonzero(near).tolist():
+            u, v = int(a[k]), int(b[k])
+            while root[u] != u:
+                u = int(root[u])
+            while root[v] != v:
+                v = int(root[v])
+            if u != v:
+                root[max(u, v)] = min(u, v)
+                kept[k] = True
+        while (root[root] != root).any():
+            root[:] = root[root]
+        return kept
+
     def column(b: pa.RecordBatch, name: str) -> np.ndarray:
         c = b.column(name)
         return np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), PARITY_WORDS) if name == "parity" else c.to_numpy()
@@ -382,8 +405,12 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("gram").sortWithinPartitions("gram", "n", "class_id").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, forest: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    ``forest`` adds a round that connects components by few pairs, for thresholds at which large
+    groups link densely; the result is the same.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     made = written(_sets(docs, words), "sets")
@@ -410,6 +437,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = _linked(docs, classes, pairs, shipped, words, percent)
         links = written(links.unionByName(found), "all_links")
         current = _labelled(light, components(links))
+    if forest:
+        found = _linked(docs, classes, _across(current.join(parities, "class_id"), percent, forest=True), shipped, words, percent)
+        links = written(links.unionByName(found), "all_links")
+        current = _labelled(light, components(links))
     links = links.unionByName(_linked(docs, classes, _across(current.join(parities, "class_id"), percent), shipped, words, percent))
     final = components(links).withColumnRenamed("component", "found")
     return (
@@ -426,8 +457,8 @@ def _labelled(light: DataFrame, labels: DataFrame) -> DataFrame:
     return written(rows.join(open_, "gram"), "open")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, forest: bool = True) -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest, and those without an id."""
     keep = fresh(docs, "keep")
-    first = near_duplicates(docs, id_col, text_col, words, percent).filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
+    first = near_duplicates(docs, id_col, text_col, words, percent, forest).filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
     return docs.join(first.select(F.col("doc_id").alias(keep)).distinct(), F.col(id_col).cast("long").eqNullSafe(F.col(keep)), "left_semi")

@@ -68,6 +68,8 @@ def test_against_all_pairs(spark, seed, words, percent):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(df, words=words, percent=percent) == brute(rows, words, percent)
+    if percent == 80:
+        assert got(df, words=words, percent=percent, forest=True) == brute(rows, words, percent)
 
 
 def test_odd_rows(odd, empty):
