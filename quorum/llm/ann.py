@@ -12,8 +12,9 @@ Equal vectors are one node of the graph, so a very common vector is compared
 once.  Nodes that many others link to are salted over blocks; large random
 blocks are split too.  No neighbour is left out by that.
 
-Distances in the graph are those of half-precision components; those that
-queries return are double precision on the original components.
+The graph and the walk measure the original components in double precision.
+Blocks are measured by the expanded square around their median; pairs that it
+leaves with too few sound bits, as inside a tight cluster, by their difference.
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite
 components, or have another length than most vectors take no part, neither as
@@ -42,12 +43,18 @@ ROUNDS = 2
 #: Neighbours, of both directions, that are compared in one block.
 JOIN_BLOCK = 64
 BEAM = 96
-#: How the graph stores components (of vectors scaled by the largest one).
-STORED = "<f2"
+#: Relative error of a squared distance above which the difference itself is measured, and pairs measured at a time.
+SOUND, PAIRS = 1e-6, 65536
+
+
+def stored(vectors: DataFrame, vector_col: str) -> str:
+    """How components are stored without loss: as floats where they are floats, else as doubles."""
+    return "<f4" if vectors.select(vector_col).schema[0].dataType.simpleString() == "array<float>" else "<f8"
 
 
 def packed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v): the usable vectors as little-endian doubles."""
+    """(vec_id, v): the usable vectors as little-endian numbers of the ``stored`` kind."""
+    kind = stored(vectors, vector_col)
     v = F.col(vector_col).cast("array<double>")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & sound)
@@ -56,30 +63,43 @@ def packed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data = [(np.array(x) + 0.0).astype("<f8").tobytes() for x in b.column(1).to_pylist()]
+            data = [(np.array(x) + 0.0).astype(kind).tobytes() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], ["vec_id", "v"])
 
     return one.mapInArrow(run, "vec_id long, v binary")
 
 
-def _matrix(column, kind=STORED) -> np.ndarray:
+def _matrix(column, kind: str) -> np.ndarray:
     rows = column.to_pylist()
-    x = np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
-    return x.astype(np.float32) if kind == STORED else x
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64)
 
 
 def _edges(node: np.ndarray, near: np.ndarray, dist: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(near, pa.int64()), pa.array(dist, pa.float32())], ["node", "near", "dist"])
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(near, pa.int64()), pa.array(dist, pa.float64())], ["node", "near", "dist"])
 
 
-EDGES = "node long, near long, dist float"
+EDGES = "node long, near long, dist double"
 
 
-def _distances(x: np.ndarray, start: int = 0, end: int | None = None) -> np.ndarray:
-    """Squared distances of some rows of a block to all its rows; the own one is infinite."""
-    part, sq = x[start:end], (x * x).sum(axis=1)
-    d = np.maximum(sq[start:end, None] + sq - 2 * (part @ x.T), 0)
-    d[np.arange(len(part)), np.arange(len(part)) + start] = np.inf
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of ``a`` to all rows of ``b``."""
+    centre = np.median(b[:: max(1, len(b) // 256)], axis=0)
+    x, y = a - centre, b - centre
+    with np.errstate(over="ignore", invalid="ignore"):
+        norms = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)
+        d = norms - 2 * (x @ y.T)
+        # What rounding can have changed at most is a share of the norms, not of the distance.
+        i, j = np.nonzero(~(d * SOUND >= norms * (4 * (a.shape[1] + 4) * np.finfo(np.float64).eps)))
+        for at in range(0, len(i), PAIRS):
+            p, q = i[at : at + PAIRS], j[at : at + PAIRS]
+            difference = a[p] - b[q]
+            d[p, q] = (difference * difference).sum(axis=1)
+    return d
+
+
+def _own(d: np.ndarray, start: int = 0) -> np.ndarray:
+    """``d`` with the distances of rows to themselves (row i is column start + i) infinite."""
+    d[np.arange(len(d)), np.arange(len(d)) + start] = np.inf
     return d
 
 
@@ -89,56 +109,56 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
             .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).drop("r"))
 
 
-def _start(nodes: DataFrame, k: int) -> DataFrame:
+def _start(nodes: DataFrame, k: int, kind: str) -> DataFrame:
     """Neighbours inside blocks of vectors that are near the same pivot."""
     count = nodes.count()
     wanted = min(MAX_PIVOTS, -(-count // BLOCK))
     # A sample of documented size, chosen by a hash of the id.
-    sample = nodes.select("node", "w").orderBy(F.xxhash64("node"), "node").limit(wanted).collect()
+    sample = nodes.select("node", "v").orderBy(F.xxhash64("node"), "node").limit(wanted).collect()
     if not sample:
         return nodes.sparkSession.createDataFrame([], EDGES)
-    pivots = np.frombuffer(b"".join(r.w for r in sample), STORED).reshape(len(sample), -1).astype(np.float32)
+    pivots = np.frombuffer(b"".join(r.v for r in sample), kind).reshape(len(sample), -1).astype(np.float64)
     assigned = min(ASSIGNED, len(pivots))
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = (pivots * pivots).sum(axis=1) / 2
-        for b in batches:
-            if not b.num_rows:
-                continue
-            near = np.argpartition(half - _matrix(b.column("w")) @ pivots.T, assigned - 1, axis=1)[:, :assigned]
-            for j in range(assigned):
-                yield pa.RecordBatch.from_arrays([pa.array(near[:, j]), b.column("node"), b.column("w")], ["code", "node", "w"])
-
-    coded = nodes.select("node", "w").mapInArrow(codes, "code long, node long, w binary")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                near = np.argpartition(_distances(_matrix(b.column("v"), kind), pivots), assigned - 1, axis=1)[:, :assigned]
+                for j in range(assigned):
+                    yield pa.RecordBatch.from_arrays([pa.array(near[:, j]), b.column("node"), b.column("v")], ["code", "node", "v"])
+
+    coded = nodes.select("node", "v").mapInArrow(codes, "code long, node long, v binary")
     salts = coded.groupBy("code").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("salts"))
     blocks = coded.join(salts, "code").withColumn("block", F.concat_ws("/", "code", F.pmod(F.xxhash64("node", "code"), "salts")))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in runs(batches, "block"):
-            ids, x = t.column("node").to_numpy(), _matrix(t.column("w"))
+            ids, x = t.column("node").to_numpy(), _matrix(t.column("v"), kind)
             # Half of a node's neighbours from each of its blocks is enough to start from.
             best = min(max(k // 2, 1), len(ids) - 1)
             for at in range(0, len(ids) if best > 0 else 0, 512):
-                d = _distances(x, at, at + 512)
+                d = _own(_distances(x[at : at + 512], x), at)
                 top = np.argpartition(d, best - 1, axis=1)[:, :best]
                 yield _edges(np.repeat(ids[at : at + 512], best), ids[top].ravel(), np.take_along_axis(d, top, axis=1).ravel())
 
-    return blocks.select("block", "node", "w").repartition("block").sortWithinPartitions("block").mapInArrow(near, EDGES)
+    return blocks.select("block", "node", "v").repartition("block").sortWithinPartitions("block").mapInArrow(near, EDGES)
 
 
-def _improved(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
+def _improved(nodes: DataFrame, graph: DataFrame, k: int, kind: str) -> DataFrame:
     """Edges between neighbours of one node that beat what their ends know."""
     both = graph.select("node", "near").unionByName(graph.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct()
     salts = both.groupBy("node").agg(F.ceil(F.count("*") / JOIN_BLOCK).alias("salts"))
     worst = graph.groupBy("node").agg(F.max("dist").alias("worst"), F.count("*").alias("known"))
-    carried = (nodes.select("node", "w").join(worst, "node", "left")
-               .select(F.col("node").alias("near"), "w", F.when(F.col("known") >= k, F.col("worst")).otherwise(float("inf")).cast("float").alias("worst")))
+    carried = (nodes.select("node", "v").join(worst, "node", "left")
+               .select(F.col("node").alias("near"), "v", F.when(F.col("known") >= k, F.col("worst")).otherwise(float("inf")).alias("worst")))
     blocks = (both.join(salts, "node").withColumn("block", F.concat_ws("/", "node", F.pmod(F.xxhash64("near"), "salts")))
-              .join(carried, "near").select("block", "near", "w", "worst"))
+              .join(carried, "near").select("block", "near", "v", "worst"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in runs(batches, "block"):
-            ids, worst, d = t.column("near").to_numpy(), t.column("worst").to_numpy(), _distances(_matrix(t.column("w")))
+            ids, worst, x = t.column("near").to_numpy(), t.column("worst").to_numpy(), _matrix(t.column("v"), kind)
+            d = _own(_distances(x, x))
             a, b = np.nonzero(d < worst[:, None])
             if len(a):
                 yield _edges(ids[a], ids[b], d[a, b])
@@ -146,33 +166,30 @@ def _improved(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
     return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(compare, EDGES)
 
 
-def graph_of(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+def graph_of(nodes: DataFrame, kind: str, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """(node, near, dist): every node's nearest known neighbours, squared distances."""
-    graph = written(_nearest(_start(nodes, k), k), "graph")
+    graph = written(_nearest(_start(nodes, k, kind), k), "graph")
     for _ in range(rounds):
-        graph = written(_nearest(graph.unionByName(_improved(nodes, graph, k)), k), "graph")
+        graph = written(_nearest(graph.unionByName(_improved(nodes, graph, k, kind)), k), "graph")
     return graph
 
 
-def _measured(pairs: DataFrame, nodes: DataFrame, column: str, kind: str) -> DataFrame:
-    """(q, node, dist): distances of pairs (q, node) by the nodes' vectors in ``column``."""
-    with_both = (pairs.join(nodes.select("node", F.col(column).alias("nv")), "node")
-                 .join(nodes.select(F.col("node").alias("q"), F.col(column).alias("qv")), "q"))
+def _measured(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """(q, node, dist): distances of pairs (q, node)."""
+    with_both = (pairs.join(nodes.select("node", F.col("v").alias("nv")), "node")
+                 .join(nodes.select(F.col("node").alias("q"), F.col("v").alias("qv")), "q"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                d = _matrix(b.column("nv"), kind).astype(np.float64) - _matrix(b.column("qv"), kind)
+                d = _matrix(b.column("nv"), kind) - _matrix(b.column("qv"), kind)
                 yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), pa.array(np.sqrt((d * d).sum(axis=1)))], ["q", "node", "dist"])
 
     return with_both.select("q", "node", "nv", "qv").mapInArrow(measure, "q long, node long, dist double")
 
 
-def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
-    """(q, node, dist): the nearest ``beam`` nodes that a greedy walk from each node q finds, q included.
-
-    The walk goes by the stored half-precision components; the distances are exact.
-    """
+def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, kind: str, beam: int = BEAM) -> DataFrame:
+    """(q, node, dist): the nearest ``beam`` nodes that a greedy walk from each node q finds, q included."""
     links = written(graph.select("node", "near").unionByName(graph.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct(), "walk_links")
     state = written(queries.select(F.col("node").alias("q"), "node", F.lit(0.0).alias("dist"), F.lit(False).alias("done"), F.lit(1).alias("r")), "walk")
     nearest = Window.partitionBy("q").orderBy("dist", "node")
@@ -181,9 +198,9 @@ def searched(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int =
         met = (ahead.join(links, "node").select("q", F.col("near").alias("node")).distinct()
                .join(state.select("q", "node"), ["q", "node"], "left_anti"))
         known = state.select("q", "node", "dist", (F.col("done") | (F.col("r") <= beam)).alias("done"))
-        every = known.unionByName(_measured(met, nodes, "w", STORED).withColumn("done", F.lit(False)))
+        every = known.unionByName(_measured(met, nodes, kind).withColumn("done", F.lit(False)))
         state = written(every.withColumn("r", F.row_number().over(nearest)), "walk")
-    return _measured(state.filter(F.col("r") <= beam).select("q", "node"), nodes, "v", "<f8")
+    return state.filter(F.col("r") <= beam).select("q", "node", "dist")
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -191,24 +208,12 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col
 
     ``is_query`` is a condition on ``vec_id``.
     """
+    kind = stored(vectors, vector_col)
     rows = written(packed(vectors, id_col, vector_col), "vectors")
-    classes = written(rows.groupBy("v").agg(F.min("vec_id").alias("node")), "nodes")
-
-    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = max((float(np.abs(np.frombuffer(x, "<f8")).max()) for b in batches for x in b.column("v").to_pylist()), default=0.0)
-        yield pa.RecordBatch.from_arrays([pa.array([top])], ["top"])
-
-    scale = (classes.select("v").mapInArrow(largest, "top double").agg(F.max("top")).first()[0] or 1.0)
-
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            w = [(np.frombuffer(x, "<f8") / scale).astype(STORED).tobytes() for x in b.column("v").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("v"), pa.array(w, pa.binary())], ["node", "v", "w"])
-
-    nodes = written(classes.select("node", "v").mapInArrow(single, "node long, v binary, w binary"), "nodes_single")
-    members = written(rows.join(classes, "v").select("node", "vec_id"), "members")
+    nodes = written(rows.groupBy("v").agg(F.min("vec_id").alias("node")), "nodes")
+    members = written(rows.join(nodes, "v").select("node", "vec_id"), "members")
     asked = members.filter(is_query)
-    found = searched(asked.select("node").distinct(), nodes, graph_of(nodes), max(BEAM, k + 1))
+    found = searched(asked.select("node").distinct(), nodes, graph_of(nodes, kind), kind, max(BEAM, k + 1))
     # Only a node's k + 1 smallest ids can be among the k nearest of a query.
     smallest = Window.partitionBy("node").orderBy("vec_id")
     first = members.withColumn("n", F.row_number().over(smallest)).filter(F.col("n") <= k + 1).select("node", "vec_id")

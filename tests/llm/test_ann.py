@@ -60,3 +60,27 @@ def test_few_vectors_and_none(spark, schema):
     assert found(df, 10, 1) == brute({0: [1.0, 0.0], 1: [0.0, 1.0], 2: [1.0, 1.0]}, 10, 1)
     assert found(df.filter("vec_id = 0"), 10, 1) == {}
     assert found(df.filter("false"), 10, 1) == {}
+
+
+def recall(df, rows, k=10, every=100):
+    want, got = brute(rows, k, every), found(df, k, every)
+    assert set(want) == set(got)
+    return sum(len({v for _, v in want[q]} & {v for _, v in got[q]}) for q in want) / sum(map(len, want.values()))
+
+
+def test_tight_clusters_and_one_huge_component(spark, schema):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(2, 24))
+    x = (centres[np.arange(3000) % 2] + rng.normal(size=(3000, 24)) * 1e-5).astype(np.float32)
+    x[1501, 3] = 1e8
+    rows = dict(enumerate(x))
+    df = spark.createDataFrame([(i, v.tolist(), None, "n") for i, v in rows.items()], schema).repartition(4)
+    assert recall(df, rows) >= 0.9
+
+
+def test_block_distances_keep_their_bits():
+    rng = np.random.default_rng(5)
+    x = 1 + rng.normal(size=(300, 16)) * 1e-9
+    x[7, 2] = 1e12
+    want = ((x[:, None] - x) ** 2).sum(axis=2)
+    assert np.allclose(ann._distances(x[:50], x), want[:50], rtol=1e-5, atol=0)
