@@ -3,14 +3,17 @@
 A graph links every vector with its nearest known neighbours.  It starts from
 blocks of vectors that have a pivot (of a bounded sample) among their nearest
 ones in common, and is improved by rounds of a Spark join: each vector's neighbours, in both directions, are brought
-together with it and compared with each other (neighbours of neighbours), and
-every vector keeps the nearest it has met.  Queries walk the finished graph
+together with it and compared with each other (neighbours of neighbours) where
+one of them is new to it, and every vector keeps the nearest it has met, until
+a round changes few edges.  Queries walk the finished graph
 greedily: expand the nearest candidates not expanded yet, until none of the
 nearest ``BEAM`` is left.
 
 Equal vectors are one node of the graph, so a very common vector is compared
-once.  Nodes that many others link to are salted over blocks; large random
-blocks are split too.  No neighbour is left out by that.
+once.  Nodes that many others link to are salted over blocks, dealt anew in
+every round, so that a pair parted in one round meets in another.  Pivots are of
+a bounded number; blocks that have grown too large for it are split by pivots of
+their own, level by level, so that near vectors stay together at any size.
 
 The graph and the walk measure the original components in double precision.
 Blocks are measured by the expanded square around their median; pairs that it
@@ -37,9 +40,11 @@ from quorum.llm.common import runs, written
 NEIGHBOURS = 24
 #: Vectors per pivot, pivots at most, and pivots that a vector is assigned to.
 BLOCK, MAX_PIVOTS, ASSIGNED = 256, 4096, 8
-#: Rows of a block before it is split.
-BLOCK_ROWS = 4096
-ROUNDS = 2
+#: Rows of a block before it is split, pivots that split it, and levels before what is left is dealt by hash
+#: (no random pivots of different vectors get there).
+BLOCK_ROWS, SPLIT, LEVELS = 4096, 8, 40
+#: Rounds go on until one changes no more than this share of the edges.
+CHANGED = 0.001
 #: Neighbours, of both directions, that are compared in one block.
 JOIN_BLOCK = 64
 BEAM = 96
@@ -104,11 +109,47 @@ def _own(d: np.ndarray, start: int = 0) -> np.ndarray:
 
 
 def _nearest(edges: DataFrame, k: int) -> DataFrame:
+    """The nearest ``k`` of every node, ``new`` where no edge among those given is known already."""
     best = Window.partitionBy("node").orderBy("dist", "near")
-    return (edges.groupBy("node", "near").agg(F.min("dist").alias("dist"))
+    return (edges.groupBy("node", "near").agg(F.min("dist").alias("dist"), F.min("new").alias("new"))
             .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).drop("r"))
 
 
+def _split(blocks: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """(block, node) with blocks of ``BLOCK_ROWS`` at most: larger ones are split by the nearest of their own pivots."""
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                x = _matrix(b.column("v"), kind)
+                own = [(p + p[:1] * (SPLIT - len(p))) for p in b.column("pivots").to_pylist()]
+                difference = np.frombuffer(b"".join(v for p in own for v in p), kind).reshape(len(x), SPLIT, -1) - x[:, None]
+                part = (difference * difference).sum(axis=2).argmin(axis=1)
+                names = [f"{k}/{i}" for k, i in zip(b.column("block").to_pylist(), part.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), b.column("node")], ["block", "node"])
+
+    done = blocks.filter("false")
+    for level in range(LEVELS + 1):
+        sizes = written(blocks.groupBy("block").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_ROWS), "large")
+        if not sizes.limit(1).count():
+            break
+        done = done.unionByName(blocks.join(sizes, "block", "left_anti"))
+        large = blocks.join(sizes, "block")
+        order = F.xxhash64("node", "block", F.lit(level))
+        if level == LEVELS:
+            blocks = large.select(F.concat_ws("/", "block", F.pmod(order, F.ceil(F.col("n") / BLOCK_ROWS))).alias("block"), "node")
+            break
+        # About 4 * SPLIT rows of a block, of which SPLIT are its pivots.
+        some = large.filter(F.pmod(order, "n") < 4 * SPLIT).withColumn("r", F.row_number().over(Window.partitionBy("block").orderBy(order)))
+        pivots = (some.filter(F.col("r") <= SPLIT).select("block", "node").join(nodes, "node")
+                  .groupBy("block").agg(F.collect_list("v").alias("pivots")))
+        # A block without a sampled row, if there ever is one, waits for the next level.
+        waits = large.join(pivots, "block", "left_anti").select("block", "node")
+        split = large.join(nodes, "node").join(pivots, "block").select("block", "node", "v", "pivots").mapInArrow(chosen, "block string, node long")
+        blocks = written(split.unionByName(waits), "blocks")
+    return done.unionByName(blocks)
+
+
 def _start(nodes: DataFrame, k: int, kind: str) -> DataFrame:
     """Neighbours inside blocks of vectors that are near the same pivot."""
     count = nodes.count()
@@ -126,11 +167,9 @@ def _start(nodes: DataFrame, k: int, kind: str) -> DataFrame:
                 b = whole.slice(at, 512)
                 near = np.argpartition(_distances(_matrix(b.column("v"), kind), pivots), assigned - 1, axis=1)[:, :assigned]
                 for j in range(assigned):
-                    yield pa.RecordBatch.from_arrays([pa.array(near[:, j]), b.column("node"), b.column("v")], ["code", "node", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(near[:, j]).cast(pa.string()), b.column("node")], ["block", "node"])
 
-    coded = nodes.select("node", "v").mapInArrow(codes, "code long, node long, v binary")
-    salts = coded.groupBy("code").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("salts"))
-    blocks = coded.join(salts, "code").withColumn("block", F.concat_ws("/", "code", F.pmod(F.xxhash64("node", "code"), "salts")))
+    blocks = _split(written(nodes.select("node", "v").mapInArrow(codes, "block string, node long"), "blocks"), nodes, kind).join(nodes, "node")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in runs(batches, "block"):
@@ -145,33 +184,49 @@ def _start(nodes: DataFrame, k: int, kind: str) -> DataFrame:
     return blocks.select("block", "node", "v").repartition("block").sortWithinPartitions("block").mapInArrow(near, EDGES)
 
 
-def _improved(nodes: DataFrame, graph: DataFrame, k: int, kind: str) -> DataFrame:
+def _both_ways(graph: DataFrame) -> DataFrame:
+    turned = {"node": "near", "near": "node"}
+    return graph.unionByName(graph.select(*(F.col(turned.get(c, c)).alias(c) for c in graph.columns)))
+
+
+def _improved(nodes: DataFrame, graph: DataFrame, k: int, kind: str, step: int) -> DataFrame:
     """Edges between neighbours of one node that beat what their ends know."""
-    both = graph.select("node", "near").unionByName(graph.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct()
-    salts = both.groupBy("node").agg(F.ceil(F.count("*") / JOIN_BLOCK).alias("salts"))
+    both = _both_ways(graph.select("node", "near", "new")).groupBy("node", "near").agg(F.max("new").alias("new"))
+    # Two neighbours that the node knew before met in an earlier round, unless salts parted them.
+    salts = (both.groupBy("node").agg(F.ceil(F.count("*") / JOIN_BLOCK).alias("salts"), F.max("new").alias("any"))
+             .filter(F.col("any") | (F.col("salts") > 1)).drop("any"))
     worst = graph.groupBy("node").agg(F.max("dist").alias("worst"), F.count("*").alias("known"))
     carried = (nodes.select("node", "v").join(worst, "node", "left")
                .select(F.col("node").alias("near"), "v", F.when(F.col("known") >= k, F.col("worst")).otherwise(float("inf")).alias("worst")))
-    blocks = (both.join(salts, "node").withColumn("block", F.concat_ws("/", "node", F.pmod(F.xxhash64("near"), "salts")))
-              .join(carried, "near").select("block", "near", "v", "worst"))
+    blocks = (both.join(salts, "node")
+              .select(F.concat_ws("/", "node", F.pmod(F.xxhash64("near", "node", F.lit(step)), "salts")).alias("block"),
+                      "near", (F.col("new") | (F.col("salts") > 1)).alias("new"))
+              .join(carried, "near").select("block", "near", "v", "worst", "new"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in runs(batches, "block"):
+            new = np.array(t.column("new").to_pylist(), bool)
             ids, worst, x = t.column("near").to_numpy(), t.column("worst").to_numpy(), _matrix(t.column("v"), kind)
             d = _own(_distances(x, x))
-            a, b = np.nonzero(d < worst[:, None])
+            a, b = np.nonzero((d < worst[:, None]) & (new[:, None] | new))
             if len(a):
                 yield _edges(ids[a], ids[b], d[a, b])
 
     return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(compare, EDGES)
 
 
-def graph_of(nodes: DataFrame, kind: str, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
-    """(node, near, dist): every node's nearest known neighbours, squared distances."""
-    graph = written(_nearest(_start(nodes, k, kind), k), "graph")
-    for _ in range(rounds):
-        graph = written(_nearest(graph.unionByName(_improved(nodes, graph, k, kind)), k), "graph")
-    return graph
+def graph_of(nodes: DataFrame, kind: str, k: int = NEIGHBOURS) -> DataFrame:
+    """(node, near, dist, new): every node's nearest known neighbours, squared distances."""
+    first = _both_ways(_start(nodes, k, kind)).withColumn("new", F.lit(True))
+    graph, step = written(_nearest(first, k), "graph"), 0
+    while True:
+        known = _both_ways(graph.select("node", "near", "dist")).withColumn("new", F.lit(True))
+        met = known.unionByName(_improved(nodes, graph, k, kind, step).withColumn("new", F.lit(True)))
+        graph = written(_nearest(met.unionByName(graph.withColumn("new", F.lit(False))), k), "graph")
+        edges, changed = graph.agg(F.count("*"), F.count(F.when(F.col("new"), 1))).first()
+        step += 1
+        if changed <= CHANGED * edges:
+            return graph
 
 
 def _measured(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:

@@ -84,3 +84,27 @@ def test_block_distances_keep_their_bits():
     x[7, 2] = 1e12
     want = ((x[:, None] - x) ** 2).sum(axis=2)
     assert np.allclose(ann._distances(x[:50], x), want[:50], rtol=1e-5, atol=0)
+
+
+def test_rounds_go_on_until_few_edges_change(spark, schema, monkeypatch):
+    """From a poor start, a ring in the order of the ids, with hubs and a beam that are small."""
+    x = np.random.default_rng(6).normal(size=(2000, 12)).astype(np.float32)
+    ring = [(i, j % 2000, float(((x[i].astype(float) - x[j % 2000]) ** 2).sum())) for i in range(2000) for j in (i + 1, i + 2)]
+    monkeypatch.setattr(ann, "_start", lambda nodes, *_: spark.createDataFrame(ring, ann.EDGES))
+    monkeypatch.setattr(ann, "JOIN_BLOCK", 16)
+    monkeypatch.setattr(ann, "BEAM", 12)
+    rows = dict(enumerate(x))
+    assert recall(spark.createDataFrame([(i, v.tolist(), None, "n") for i, v in rows.items()], schema).repartition(4), rows) >= 0.9
+
+
+def test_large_blocks_are_split_by_nearness(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
+    x = np.repeat(np.arange(20.0), 30)[:, None] * 1000 + np.random.default_rng(7).normal(size=(600, 3))
+    nodes = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "node long, v binary")
+    blocks = nodes.select(F.lit("0").alias("block"), "node")
+    got = {}
+    for r in ann._split(blocks, nodes, "<f8").collect():
+        got.setdefault(r.block, []).append(r.node)
+    assert sorted(n for b in got.values() for n in b) == list(range(600))
+    assert all(len(b) <= 40 for b in got.values())
+    assert all(max(b) // 30 - min(b) // 30 <= 1 for b in got.values())
