@@ -3,7 +3,7 @@
 Validated values inside texts are replaced by other values of the same format.
 Each kind has its own test (Luhn for card numbers, modulo 97 for account
 numbers, ranges for addresses and social numbers, the calendar for dates); what
-fails it stays.  A value's free characters go through a keyed Feistel network
+fails it stays.  An account number ends where its country's length says.  A value's free characters go through a keyed Feistel network
 (a permutation of its format's values), so equal values have equal pseudonyms
 in every document and different values never share one; check digits are
 computed anew.
@@ -39,7 +39,14 @@ ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
-ACCOUNT = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
+#: Characters of an account number by country, so that a word or year after it is not read as its last group.
+ACCOUNT_CHARS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+    27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+_OF_LENGTH = "|".join(
+    f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, countries in ACCOUNT_CHARS.items())
+ACCOUNT = rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{_OF_LENGTH})(?![0-9A-Za-z])|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![0-9A-Za-z]))"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -143,15 +150,26 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _account(m: Column, key: str) -> Column:
-    def made(flat):
+    def flat_of(x):
+        return F.replace(x, F.lit(" "), F.lit(""))
+
+    def valid(flat):
+        return F.length(flat).between(15, 34) & (_mod97(F.concat(F.substring(flat, F.lit(5), F.length(flat)), F.substring(flat, 1, 4))) == 1)
+
+    def made(number):
+        flat = flat_of(number)
         country, rest = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat))
         body = feistel(_chars(rest), key, "account", (DIGITS, UPPER))
         whole = _let(body, lambda x: F.concat(_chars(country), _chars(F.lpad(
             (98 - _mod97(F.concat(F.array_join(x, ""), country, F.lit("00")))).cast("string"), 2, "0")), x))
-        valid = F.length(flat).between(15, 34) & (_mod97(F.concat(rest, F.substring(flat, 1, 4))) == 1)
-        return F.when(valid, _refilled(m, whole, "[A-Z0-9]"))
-
-    return _let(F.replace(m, F.lit(" "), F.lit("")), made)
+        return F.when(number.isNotNull(), F.concat(_refilled(number, whole, "[A-Z0-9]"), F.substring(m, F.length(number) + 1, F.length(m))))
+
+    # Where the country does not tell the length: the longest run of groups that is valid.
+    listed = F.substring(m, 1, 2).rlike(f"^(?:{'|'.join(ACCOUNT_CHARS.values())})$")
+    ends = _let(F.split(m, " "), lambda words: F.transform(
+        F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")))
+    numbers = F.when(listed, F.array(m)).otherwise(ends)
+    return _let(F.get(F.filter(numbers, lambda x: valid(flat_of(x))), F.lit(0)), made)
 
 
 def _ip(m: Column, key: str) -> Column:

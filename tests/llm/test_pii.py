@@ -124,3 +124,22 @@ def test_odd_rows(odd, empty):
 def test_long_runs_are_read_in_time(spark, text):
     df = spark.createDataFrame([(1, text + " jo@x.org")], "doc_id long, text string")
     assert "jo@x.org" not in pii.pseudonymised(df).first().text
+
+
+@pytest.mark.parametrize("number,after", [
+    ("BE68 5390 0754 7034", " EUR"), ("BE68539007547034", " EUR"), ("ES91 2100 0418 4502 0005 1332", " EUR"), ("AT61 1904 3002 3457 3201", " 2024"),
+    ("DE89 3704 0044 0532 0130 00", " EUR"), ("BE68 5390 0754 7034", " A1"), ("ZZ10 5390 0754 7034", " EUR")])
+def test_accounts_before_capital_words_and_years(spark, number, after):
+    """Also for a country that has no length here."""
+    flat = number.replace(" ", "")
+    check = 98 - int("".join(str(int(c, 36)) for c in flat[4:] + flat[:2] + "00")) % 97
+    number = f"{number[:2]}{check:02d}{number[4:]}"
+    df = spark.createDataFrame([(1, f"pay {number}{after} now")], "doc_id long, text string")
+    got, alone = pii.pseudonymised(df).first(), one(spark, [number])[number]
+    assert alone[0] == "account" and alone[1] != number
+    assert got.text == f"pay {alone[1]}{after} now" and got.n_replaced == 1
+
+
+def test_account_after_account(spark):
+    df = spark.createDataFrame([(1, "BE68 5390 0754 7034 GB82 WEST 1234 5698 7654 32 4111 1111 1111 1111")], "doc_id long, text string")
+    assert pii.pseudonymised(df).first().n_replaced == 3
