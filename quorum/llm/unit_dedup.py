@@ -12,12 +12,16 @@ the corpus only has to find the smallest doc_id of a digest: a count and a
 minimum, aggregated in every task before the shuffle.  The repeated digests
 are written and joined as plain tables, so a very common unit can be split.
 
-Units of fewer than ``MIN_WORDS`` words are left alone: short phrases repeat
-by chance.
+Units of fewer than ``MIN_WORDS`` words repeat by chance, so a short unit goes only
+inside a repeated run: for each short unit the shortest runs of units that begin
+and that end with it and have ``MIN_WORDS`` words are hashed too, and the short units
+of a run follow its digest.  So a run of whole units with that many words goes
+whole, whatever its units are.  Runs that overlap the first of their kind in
+the document are part of it.
 
 Defined results: null and empty texts have no unit; a null doc_id ranks last;
 rows that repeat a doc_id have equal rank, so what they hold twice stays in
-each; an empty table gives an empty result; other columns are ignored.
+each, and their short units are listed once; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,11 +46,28 @@ TILES = {
 SLICE_ROWS = 256
 LAST = 2**63 - 1
 
-UNITS = "h1 long, h2 long, doc_id long, unit int, start long, length long, first boolean"
+UNITS = "h1 long, h2 long, doc_id long, first boolean, short boolean, members array<struct<unit: int, start: long, length: long>>"
+
+
+def _runs(words: list[list[str]], min_words: int) -> list[tuple[int, int]]:
+    """(begin, end) of the shortest runs of ``min_words`` words or more that begin or end with a short unit."""
+    out = set()
+    for i, own in enumerate(words):
+        if len(own) >= min_words:
+            continue
+        for way in (1, -1):
+            n, j = 0, i
+            while 0 <= j < len(words):
+                n += len(words[j])
+                if n >= min_words:
+                    out.add((min(i, j), max(i, j)))
+                    break
+                j += way
+    return sorted(out)
 
 
 def units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS, id_col="doc_id", text_col="text") -> DataFrame:
-    """Every unit with its digest, its place, and whether it is the first of its kind in its document."""
+    """Every unit and every run around a short one: digest, whether it is the first of its kind in its document, units that go with it."""
     tile = TILES[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,19 +77,26 @@ def units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS, i
                 b = whole.slice(at, SLICE_ROWS)
                 rows = []
                 for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    seen = set()
+                    found, seen = [], {}
                     for i, m in enumerate(tiles.finditer(text or "")):
                         words = m.group().lower().split()
-                        if len(words) < min_words or not words:
+                        if words:
+                            found.append((words, {"unit": i, "start": m.start(), "length": len(m.group().rstrip(" \t\n\x0b\x0c\r"))}))
+                    long = [(i, i) for i, (words, _) in enumerate(found) if len(words) >= min_words]
+                    for begin, end in [*long, *_runs([words for words, _ in found], min_words)]:
+                        named = "\n".join(" ".join(words) for words, _ in found[begin : end + 1])
+                        d = hashlib.blake2b(named.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                        first = d not in seen
+                        if not first and begin <= seen[d]:
                             continue
-                        d = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                        body = m.group().rstrip(" \t\n\x0b\x0c\r")
-                        rows.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True),
-                                     doc, i, m.start(), len(body), d not in seen))
-                        seen.add(d)
-                columns = list(zip(*rows)) or [()] * 7
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in UNITS.split(", ")])
+                        seen.setdefault(d, end)
+                        short = begin < end
+                        rows.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), doc, first, short,
+                                     [place for words, place in found[begin : end + 1] if not short or len(words) < min_words]))
+                columns = list(zip(*rows)) or [()] * 6
+                place = pa.list_(pa.struct([("unit", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), place)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["h1", "h2", "doc_id", "first", "short", "members"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, UNITS)
 
@@ -78,10 +106,15 @@ def removed(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS,
     found = written(units(docs, unit, min_words, id_col, text_col), "units")
     rank = F.coalesce("doc_id", F.lit(LAST))
     repeated = written(found.groupBy("h1", "h2").agg(F.min(rank).alias("keep"), F.count("*").alias("copies")).filter("copies > 1"), "repeated")
-    return (
+    gone = (
         found.join(repeated, ["h1", "h2"]).filter((rank > F.col("keep")) | ~F.col("first"))
-        .select("doc_id", "unit", "start", "length", F.when(F.col("keep") < LAST, F.col("keep")).alias("keep_doc_id"), "copies")
+        .select("doc_id", "short", F.when(F.col("keep") < LAST, F.col("keep")).alias("keep_doc_id"), "copies", F.inline("members"))
     )
+    # A short unit can lie in several repeated runs: the one that is kept earliest counts.
+    of_runs = (gone.filter("short").groupBy("doc_id", "unit", "start", "length")
+               .agg(F.min(F.struct(F.coalesce("keep_doc_id", F.lit(LAST)).alias("k"), "keep_doc_id", "copies")).alias("best"))
+               .select("doc_id", "unit", "start", "length", "best.keep_doc_id", "best.copies"))
+    return gone.filter("not short").select(*of_runs.columns).unionByName(of_runs)
 
 
 def cleaned(docs: DataFrame, spans: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:

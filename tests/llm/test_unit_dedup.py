@@ -56,3 +56,16 @@ def test_cleaned_texts(docs):
 def test_odd_rows(odd, empty):
     assert {r.doc_id for r in unit_dedup.removed(odd).collect()} == {2}
     assert unit_dedup.removed(empty).count() == 0
+
+
+def test_short_units_inside_a_repeated_run_go_too(spark):
+    run = "Yes. He went home early. It rained all that day and the roads were under water. Nobody spoke. Then it was over."
+    rows = [(1, "First document.\n" + run + "\nIts own end."), (2, "Another start here.\n" + run + "\nYes. Another end altogether."),
+            (3, "One. Two. Three. Yes. Nobody spoke."), (4, "Go on. " * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = unit_dedup.removed(df)
+    texts = {r.doc_id: " ".join(r.text.split()) for r in unit_dedup.cleaned(df, spans).collect()}
+    assert texts[1] == " ".join(rows[0][1].split()) and texts[3] == rows[2][1]
+    assert texts[2] == "Another start here. Yes. Another end altogether."
+    assert texts[4] == "Go on. Go on. Go on. Go on."
+    assert {(r.doc_id, r.keep_doc_id) for r in spans.collect()} == {(2, 1), (4, 4)}
