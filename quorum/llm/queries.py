@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quorum.llm import ann, chat, exact_dedup, jaccard_join, langid, packing, pii, quality, sp_tokens, unit_dedup
+from quorum.llm import (
+    ann, chat, exact_dedup, jaccard_join, langid, packing, periodic_runs, pii, quality, sp_tokens, spelling, token_files,
+    unit_dedup,
+)
 from quorum.llm.common import held_out, table
 
 QUERIES: dict = {}
@@ -128,3 +131,44 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC,
 def op10_exact_duplicates(spark, sf_dir):
     """Exact duplicates of all documents by block names."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_token_files(spark, sf_dir, vocabulary=None):
+    """All documents' ids written as token files and read back."""
+    spec = sp_tokens.read_model(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.round_trip(table(spark, sf_dir, "documents"), spec)
+
+
+def with_periodic_tails(docs):
+    """The contract's texts: where crc32(doc_id) ends in 0, the words from one on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, w = F.size("words"), F.col("words")
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    again = F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), " ")
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"))
+    return chosen.select("doc_id", F.when(n > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    """Every document's periodic runs of words, the longest one, and the text without repeats."""
+    found = periodic_runs.find_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    said = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    length = -best["minus"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), length.alias("length"), best["period"].alias("period"),
+        F.floor(length * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(said.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query()
+def op13_spelling_variants(spark, sf_dir):
+    """Every word's near words, form and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
