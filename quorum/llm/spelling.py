@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,21 +41,19 @@ LEAST_LENGTH, LEAST_COUNT = 5, 3
 #: One run in this many (by hash) loses a letter.
 FAULT_EVERY = 97
 WORD = re.compile("[A-Za-zÀ-ÿ]+")
-LETTERS = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)], np.uint32)
-
 #: Words counted in a task before their counts go on.
-HELD_WORDS = 200_000
+HELD_WORDS = 400_000
 #: A filter's bits for a word, bits set by it, and the bytes that all filters of a pass may have.
 BITS_PER_WORD, PROBES, FILTER_BYTES = 24, 8, 1 << 26
 BLOCK_BITS = 512
 SHARDS = 64
 #: Words whose edits one task generates.
 TASK_WORDS = 20_000
-#: Edits generated, and bytes of positives held, before they go on.
-CHUNK_EDITS, CHUNK_BYTES = 1 << 21, 1 << 24
+#: Letters of words whose edits are generated together, and bytes of positives held before they go on.
+CHUNK_LETTERS, CHUNK_BYTES = 1 << 16, 1 << 24
 
 BASE = 0x9E3779B97F4A7C15 | 1
-WRAP = (1 << 64) - 1
+INVERSE = np.uint64(pow(BASE, -1, 1 << 64))
 
 
 def lower_ascii(text: str) -> str:
@@ -63,27 +61,33 @@ def lower_ascii(text: str) -> str:
     return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
-def faulty(doc_id: object, word: str) -> str:
-    """The word, without one letter where the hash of document and word says so."""
-    h = zlib.crc32(f"{doc_id}:{word}".encode())
-    if h % FAULT_EVERY:
-        return word
-    at = h % len(word)
-    return word[:at] + word[at + 1 :]
+def faulty(doc_id: object) -> Callable[[str], str]:
+    """What a document's words become: one letter is lost where the hash of document and word says so."""
+    seed = zlib.crc32(f"{doc_id}:".encode())
+
+    def change(word: str) -> str:
+        h = zlib.crc32(word.encode(), seed)
+        if h % FAULT_EVERY:
+            return word
+        at = h % len(word)
+        return word[:at] + word[at + 1 :]
+
+    return change
 
 
 def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", change=faulty) -> DataFrame:
     """(word, n) of the words with ``LEAST_LENGTH`` letters and ``LEAST_COUNT`` occurrences over all documents.
 
-    ``change(doc_id, word)`` gives the word that a document's word counts as (None: the word itself).
+    ``change(doc_id)`` gives the function from a document's word to what it counts as (None: the word itself).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         said = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                new = change(doc) if change else str
                 for word, n in Counter(WORD.findall(lower_ascii(text.as_py() or ""))).items():
-                    word = change(doc, word) if change else word
+                    word = new(word)
                     if len(word) >= LEAST_LENGTH:
                         counts[word] += n
                 if len(counts) >= HELD_WORDS:
@@ -116,45 +120,60 @@ def _finished(h: np.ndarray) -> np.ndarray:
 
 
 class Edits:
-    """Hashes of a word and of its edits: sum of code(letter k) * BASE ** k."""
-
-    def __init__(self, word: str):
-        self.word = word
-        self.letters = np.frombuffer(word.encode("utf-32-le"), "<u4")
-        n = len(self.letters)
-        self.power = _powers(n + 1)
-        terms = _code(self.letters) * self.power[:n]
-        self.before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-
-    def own(self) -> np.uint64:
-        return _finished(self.before[-1:])[0]
-
-    def deleted(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places whose letter is deleted (of equal neighbours the first), and the edits' hashes."""
-        at = np.flatnonzero(np.concatenate([[True], self.letters[1:] != self.letters[:-1]]))
-        inverse = np.uint64(pow(BASE, -1, 1 << 64))
-        return at, _finished(self.before[at] + (self.before[-1] - self.before[at + 1]) * inverse)
-
-    def replaced(self, first: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places from ``first`` to ``end``, larger letters put there, and the edits' hashes."""
-        own = self.letters[first:end]
-        at, k = np.nonzero(LETTERS[None, :] > own[:, None])
-        letter = LETTERS[k]
-        change = (_code(letter) - _code(own[at])) * self.power[first + at]
-        return first + at, letter, _finished(self.before[-1] + change)
+    """Hashes of words of one length and of their edits: sum of code(letter k) * BASE ** k."""
+
+    def __init__(self, words: list[str]):
+        self.letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
+        n = self.letters.shape[1]
+        self.codes, self.power = _code(self.letters), _powers(n + 1)
+        self.before = np.zeros((len(words), n + 1), np.uint64)
+        np.cumsum(self.codes * self.power[:n], axis=1, dtype=np.uint64, out=self.before[:, 1:])
+
+    def own(self) -> np.ndarray:
+        return _finished(self.before[:, -1])
+
+    def deleted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words, places whose letter is deleted (of equal neighbours the first), and the edits' hashes."""
+        first = np.ones(self.letters.shape, bool)
+        first[:, 1:] = self.letters[:, 1:] != self.letters[:, :-1]
+        rest = (self.before[:, -1:] - self.before[:, 1:]) * INVERSE
+        word, at = np.nonzero(first)
+        return word, at, _finished((self.before[:, :-1] + rest)[word, at])
+
+    def replaced(self, letter: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words, places of smaller letters, and the hashes of the edits with ``letter`` there."""
+        word, at = np.nonzero(self.letters < letter)
+        change = (_code(np.array([letter])) - self.codes[word, at]) * self.power[at]
+        return word, at, _finished(self.before[word, -1] + change)
+
+
+def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, Edits]]:
+    """Numbers of words of one length, some ``CHUNK_LETTERS`` letters at once, and their edits."""
+    sizes = np.array([len(w) for w in words])
+    for n in np.unique(sizes).tolist():
+        of, step = np.flatnonzero(sizes == n), max(CHUNK_LETTERS // n, 1)
+        for i in range(0, len(of), step):
+            yield of[i : i + step], Edits([words[k] for k in of[i : i + step]])
 
 
 def shard(length: int) -> int:
     return min(length, SHARDS - 1)
 
 
-def _places(h: np.ndarray, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Block of every hash, and the bits in it."""
-    bits, h2 = [], h * np.uint64(0x9FB21C651E98DF25)
-    h2 ^= h2 >> np.uint64(28)
-    for k in range(PROBES):
-        bits.append((h2 >> np.uint64(7 * k)) & np.uint64(BLOCK_BITS - 1))
-    return (h >> np.uint64(32)) % np.uint64(blocks), bits
+def _block(h: np.ndarray, blocks: int) -> np.ndarray:
+    return (h >> np.uint64(32)) % np.uint64(blocks)
+
+
+def _bits(h: np.ndarray) -> np.ndarray:
+    """A number whose stretches of nine bits, seven apart, name a hash's bits in its block."""
+    h2 = h * np.uint64(0x9FB21C651E98DF25)
+    return h2 ^ (h2 >> np.uint64(28))
+
+
+def _bit(of: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit lane and bit in it of the ``k``-th probe."""
+    place = (of >> np.uint64(7 * k)) & np.uint64(BLOCK_BITS - 1)
+    return place >> np.uint64(6), place & np.uint64(63)
 
 
 def known(filters: dict[int, np.ndarray], of: int, h: np.ndarray) -> np.ndarray:
@@ -162,57 +181,56 @@ def known(filters: dict[int, np.ndarray], of: int, h: np.ndarray) -> np.ndarray:
     rows = filters.get(of)
     if rows is None:
         return np.zeros(len(h), bool)
-    block, bits = _places(h, len(rows))
-    alive = np.arange(len(h))
-    for b in bits:  # most leave at the first bits
-        b = b[alive]
-        alive = alive[(rows[block[alive], b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) == 1]
+    alive, block, bits = np.arange(len(h)), _block(h, len(rows)), _bits(h)
+    for k in range(PROBES):  # most leave at the first bits
+        lane, bit = _bit(bits, k)
+        ok = (rows[block, lane] >> bit) & np.uint64(1) == 1
+        alive, block, bits = alive[ok], block[ok], bits[ok]
     out = np.zeros(len(h), bool)
     out[alive] = True
     return out
 
 
+LANES = [f"l{k}" for k in range(BLOCK_BITS // 64)]
+
+
 def filter_blocks(vocabulary: DataFrame, blocks: dict[int, int], passes: int) -> DataFrame:
-    """(turn, shard, block, lane, bits) of the filters, or-ed over all words."""
+    """(turn, shard, block, lanes) of the filters, or-ed over all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for word in b.column(0).to_pylist():
-                h = Edits(word).own()
-                of = shard(len(word))
-                block, bits = _places(np.array([h]), blocks[of])
-                lanes: dict[int, int] = {}
-                for x in bits:
-                    lanes[int(x[0]) >> 6] = lanes.get(int(x[0]) >> 6, 0) | 1 << (int(x[0]) & 63)
-                rows += [(int(h) % passes, of, int(block[0]), lane, np.uint64(v).astype(np.int64).item()) for lane, v in lanes.items()]
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)], ["turn", "shard", "block", "lane", "bits"])
-
-    made = vocabulary.select("word").mapInArrow(run, "turn int, shard int, block long, lane int, bits long")
-    return made.groupBy("turn", "shard", "block", "lane").agg(F.bit_or("bits").alias("bits"))
-
-
-def positives(vocabulary: DataFrame, filters) -> DataFrame:
-    """(edit, word, n) of the edits that the broadcast filters know."""
+            words = b.column(0).to_pylist()
+            for of, edits in _by_length(words):
+                h, which = edits.own(), shard(edits.letters.shape[1])
+                lanes, bits, row = np.zeros((len(h), len(LANES)), np.uint64), _bits(h), np.arange(len(h))
+                for k in range(PROBES):
+                    lane, bit = _bit(bits, k)
+                    lanes[row, lane] |= np.uint64(1) << bit
+                yield pa.RecordBatch.from_arrays([
+                    pa.array((h % np.uint64(passes)).astype(np.int32)), pa.array(np.full(len(h), which, np.int32)), pa.array(_block(h, blocks[which]).astype(np.int64)),
+                    *(pa.array(np.ascontiguousarray(lanes[:, k]).view(np.int64)) for k in range(len(LANES)))], ["turn", "shard", "block", *LANES])
+
+    made = vocabulary.select("word").mapInArrow(run, ", ".join(["turn int, shard int, block long", *(f"{c} long" for c in LANES)]))
+    return made.groupBy("turn", "shard", "block").agg(*(F.bit_or(c).alias(c) for c in LANES))
+
+
+def positives(vocabulary: DataFrame, filters, letters: list[int]) -> DataFrame:
+    """(edit, word, n) of the edits, to one of ``letters`` where one is replaced, that the broadcast filters know."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, held = filters.value, 0, []
         said = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*held)) or [()] * 3, (pa.string(), pa.string(), pa.int64()))], ["edit", "word", "n"])
-        step = max(CHUNK_EDITS // len(LETTERS), 1)
         for b in batches:
-            for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                edits = Edits(word)
-                at, h = edits.deleted()
-                hits = at[known(rows, shard(len(word) - 1), h)].tolist()
-                new = [word[:i] + word[i + 1 :] for i in hits]
-                for first in range(0, len(word), step):
-                    at, letter, h = edits.replaced(first, min(first + step, len(word)))
-                    ok = known(rows, shard(len(word)), h)
-                    new += [word[:i] + chr(c) + word[i + 1 :] for i, c in zip(at[ok].tolist(), letter[ok].tolist())]
-                held += [(e, word, n) for e in new]
-                size += len(new) * len(word)
-                if size >= CHUNK_BYTES:
-                    yield said()
-                    size, held = 0, []
+            words, counts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for of, edits in _by_length(words):
+                length = edits.letters.shape[1]
+                for letter in ["", *letters]:
+                    word, at, h = edits.replaced(letter) if letter else edits.deleted()
+                    ok, put = known(rows, shard(length if letter else length - 1), h), chr(letter) if letter else ""
+                    for k, i in zip(of[word[ok]].tolist(), at[ok].tolist()):
+                        held.append((words[k][:i] + put + words[k][i + 1 :], words[k], counts[k]))
+                        size += length
+                    if size >= CHUNK_BYTES:
+                        yield said()
+                        size, held = 0, []
         yield said()
 
     return vocabulary.select("word", "n").mapInArrow(run, "edit string, word string, n long")
@@ -226,6 +244,8 @@ def neighbours(vocabulary: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataF
     passes = max(1, -(-sum(sizes.values()) * BITS_PER_WORD // (8 * filter_bytes)))
     blocks = {of: max(1, -(-n * BITS_PER_WORD // (BLOCK_BITS * passes))) for of, n in sizes.items()}
     bits = written(filter_blocks(vocabulary, blocks, passes), "spelling_filters") if passes > 1 else filter_blocks(vocabulary, blocks, passes)
+    # At most 90 letters.
+    letters = sorted(ord(r["letter"]) for r in vocabulary.select(F.explode(F.split("word", "")).alias("letter")).distinct().collect() if r["letter"])
     dealt = vocabulary.repartition(max(1, -(-sum(sizes.values()) // TASK_WORDS)), "word")
     found = None
     for turn in range(passes):
@@ -233,9 +253,9 @@ def neighbours(vocabulary: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataF
         # At most filter_bytes and one block a shard, whatever the vocabulary.
         part = bits.filter(F.col("turn") == turn).toPandas()
         for of, lanes in part.groupby("shard"):
-            rows[of][lanes["block"], lanes["lane"]] = lanes["bits"].to_numpy(np.int64).view(np.uint64)
+            rows[of][lanes["block"]] = lanes[LANES].to_numpy(np.int64).view(np.uint64)
         shared = spark.sparkContext.broadcast(rows)
-        exact = positives(dealt, shared).join(vocabulary.select(F.col("word").alias("edit"), F.col("n").alias("edit_n")), "edit")
+        exact = positives(dealt, shared, letters).join(vocabulary.select(F.col("word").alias("edit"), F.col("n").alias("edit_n")), "edit")
         pairs = written(exact.select("word", "n", F.col("edit").alias("near"), F.col("edit_n").alias("near_n")), "spelling_pairs")
         shared.destroy()
         found = pairs if found is None else found.unionByName(pairs)

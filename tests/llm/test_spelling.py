@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,11 @@ def brute(rows):
     counts = Counter()
     for doc, text in rows:
         for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
-            counts[spelling.faulty(doc, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run))] += 1
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc}:{word}".encode())
+            if h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
     words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
     holes = {}
     for w in words:  # words that differ by one replaced letter share a pattern with a hole
@@ -74,21 +79,22 @@ def test_several_passes_give_the_same(words):
 
 
 def test_edit_hashes_follow_from_prefix_sums():
-    word = "straße"
-    edits = spelling.Edits(word)
-    at, h = edits.deleted()
-    assert [spelling.Edits(word[:i] + word[i + 1 :]).own() for i in at] == h.tolist()
-    at, letter, h = edits.replaced(2, 5)
-    assert [spelling.Edits(word[:i] + chr(c) + word[i + 1 :]).own() for i, c in zip(at, letter)] == h.tolist()
-    assert set(at) <= {2, 3, 4} and all(c > ord(word[i]) for i, c in zip(at, letter))
+    words = ["straße", "aabbcc"]
+    edits, own = spelling.Edits(words), lambda w: spelling.Edits([w]).own()[0]
+    k, at, h = edits.deleted()
+    assert [own(words[w][:i] + words[w][i + 1 :]) for w, i in zip(k, at)] == h.tolist()
+    assert sorted(zip(k.tolist(), at.tolist())) == [*((0, i) for i in range(6)), (1, 0), (1, 2), (1, 4)]
+    k, at, h = edits.replaced(ord("c"))
+    assert [own(words[w][:i] + "c" + words[w][i + 1 :]) for w, i in zip(k, at)] == h.tolist()
+    assert sorted(zip(k.tolist(), at.tolist())) == [(0, 3), (1, 0), (1, 1), (1, 2), (1, 3)]
 
 
 def test_filters_have_no_false_negatives():
     h = np.random.default_rng(1).integers(0, 2**64, 500, dtype=np.uint64)
-    rows = np.zeros((7, 8), np.uint64)
-    block, bits = spelling._places(h, 7)
-    for b in bits:
-        np.bitwise_or.at(rows, (block, b >> np.uint64(6)), np.uint64(1) << (b & np.uint64(63)))
+    rows, block, bits = np.zeros((7, 8), np.uint64), spelling._block(h, 7), spelling._bits(h)
+    for k in range(spelling.PROBES):
+        lane, bit = spelling._bit(bits, k)
+        np.bitwise_or.at(rows, (block, lane), np.uint64(1) << bit)
     assert spelling.known({5: rows}, 5, h).all() and not spelling.known({5: rows}, 6, h).any()
 
 
