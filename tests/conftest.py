@@ -14,4 +14,7 @@ def spark():
     s.stop()
 
 
-SF = "/root/testdata/sf0.001"
+@pytest.fixture(scope="session")
+def sf():
+    """The smallest folder of the given tables."""
+    return "/root/testdata/sf0.001"

@@ -6,15 +6,13 @@ from quorum import survey as S
 from quorum.streaming import monthly_files as MF
 from quorum.operators import clean, lookup, rules, score
 
-from conftest import SF
 
-
-def test_stream_equals_batch(spark, tmp_path):
-    sv = S.survey(spark, SF).drop("l_returnflag")
+def test_stream_equals_batch(spark, sf, tmp_path):
+    sv = S.survey(spark, sf).drop("l_returnflag")
     src = str(tmp_path / "in")
     sv.where("l_orderkey % 2 = 0").write.parquet(os.path.join(src, "m1"))
     sv.where("l_orderkey % 2 = 1").write.parquet(os.path.join(src, "m2"))
-    cs, es = S.contract_sheet(spark, SF), S.edited_sheet(spark, SF)
+    cs, es = S.contract_sheet(spark, sf), S.edited_sheet(spark, sf)
     q = MF.start(spark, src + "/*", sv.schema, cs, es, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
