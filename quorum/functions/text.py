@@ -18,8 +18,6 @@ NBSP = " "
 # The whitespace set of Python's str.isspace() (what str.strip()/split() use),
 # generated by rule: nbsp, the Unicode spaces and the ASCII controls 9-13, 28-31.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-_WS_CLASS = "[" + "".join("\\x{%04X}" % ord(ch) for ch in WHITESPACE) + "]"
-_RUN_WS = _WS_CLASS + "+"
 
 
 def _c(c) -> Column:
@@ -32,8 +30,9 @@ def strip(c) -> Column:
 
 
 def collapse_spaces(c) -> Column:
-    """SC4: every whitespace run becomes one space."""
-    return F.regexp_replace(_c(c), _RUN_WS, " ")
+    """SC4: every whitespace run becomes one space; the pattern only sees texts with two in a row."""
+    plain = F.translate(_c(c), WHITESPACE, " " * len(WHITESPACE))
+    return F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " +", " ")).otherwise(plain)
 
 
 def nbsp_to_space(c) -> Column:
@@ -85,23 +84,33 @@ def _accent_table() -> tuple[str, str, dict[str, str]]:
     return "".join(one) + "".join(none), "".join(one.values()), several
 
 
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def remove_accents(c) -> Column:
     """SC7: NFKD folding without combining marks (null kept).
 
-    One ``translate``; only texts with a character that folds to several go through a map.
+    ASCII texts are left as they are, others go through one ``translate``; only what then still holds
+    a character that folds to several (found by a second ``translate`` that takes them out, no
+    pattern) goes through a map, character by character.
     """
+    c = _c(c)
     matching, replace, several = _accent_table()
-    text = F.translate(_c(c), matching, replace)
+    text = F.translate(c, matching, replace)
     # One literal, folded to a map once; no folded form holds the separators.
     table = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in several.items())), F.lit("\x01"), F.lit("\x02"))
-    wide = "[" + "".join("\\x{%04X}" % ord(k) for k in several) + "]"
-    return F.when(text.rlike(wide), F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(table, x), x)), "")).otherwise(text)
+    wide = ~_is_ascii(text) & (F.translate(text, "".join(several), "") != text)
+    each = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(table, x), x)), "")
+    return F.when(_is_ascii(c), c).when(wide, each).otherwise(text)
 
 
 def fold_key(c) -> Column:
-    """SC8: strip, upper, remove accents, collapse whitespace; null -> ''."""
-    up = F.upper(strip(c))
-    return F.coalesce(strip(collapse_spaces(remove_accents(up))), F.lit(""))
+    """SC8: strip, upper, remove accents, collapse whitespace; null -> ''.
+
+    Stripped once, at the end, when every whitespace is a space.
+    """
+    return F.coalesce(F.trim(collapse_spaces(remove_accents(F.upper(_c(c))))), F.lit(""))
 
 
 def meta_key(c) -> Column:
@@ -141,14 +150,20 @@ def drop_decimal_zero_trimmed(c) -> Column:
 _NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+_NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def to_number(c) -> Column:
     """SC11: numeric coercion, anything unparsable -> null.
 
     The regex guard keeps Spark from accepting forms such as '1d' or 'NaN'.
-    Numeric inputs are passed through as double.
+    Numeric inputs are cast directly (not a number -> null): their type is known to the optimiser, which drops the test.
     """
-    s = strip(_c(c).cast("string"))
-    return F.when(s.rlike(_NUMERIC), s.cast("double"))
+    c = _c(c)
+    s = strip(c.cast("string"))
+    text = F.when(s.rlike(_NUMERIC), s.cast("double"))
+    return F.when(F.typeof(c).isin(*_NUMBER_TYPES) | F.startswith(F.typeof(c), F.lit("decimal")),
+                  F.nullif(c.cast("double"), F.lit(float("nan")))).otherwise(text)
 
 
 def round2(c) -> Column:

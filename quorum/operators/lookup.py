@@ -85,6 +85,29 @@ def edited_place(fact: DataFrame, sheet: DataFrame, local: str = "LOCAL",
     return j.withColumns(cols).drop("__dv")
 
 
+def places(fact: DataFrame, contract_sheet: DataFrame, edited_sheet: DataFrame, local: str = "LOCAL",
+           contract_out: str = "CONTRATACAO", edited_out: str = "LOCAL EDITADO", order: str = "_ord") -> DataFrame:
+    """JN1 and JN3 by one join: both sheets have the key lower(trim(Local)).
+
+    The sheets are stacked and reduced to a row per place, each value keep-first among its own sheet's
+    rows.  The null place is a key of the contract sheet alone.
+    """
+    key = F.lower(tx.strip(F.col("Local"))).alias("__dk")
+    none, first = F.lit(None).cast("string"), lambda v, o: F.min_by(F.struct(v), o)
+    c = contract_sheet.select(key, F.lower(tx.strip(F.col("contratacao"))).alias("__c"), none.alias("__e"),
+                              F.col(order).alias("__co"), F.lit(None).cast("long").alias("__eo"))
+    e = edited_sheet.select(key, none.alias("__c"), tx.strip(F.col("local_editado")).alias("__e"),
+                            F.lit(None).cast("long").alias("__co"), F.col(order).alias("__eo")).where(F.col("__dk").isNotNull())
+    dim = c.unionByName(e).groupBy("__dk").agg(first("__c", "__co").alias("__c"), first("__e", "__eo").alias("__e")).select(
+        "__dk", F.col("__c")["__c"].alias("__dc"), F.col("__e")["__e"].alias("__de"))
+    if edited_out not in fact.columns:
+        fact = fact.withColumn(edited_out, F.lit(None).cast("string"))
+    fact = fact.withColumns({local: tx.strip(F.col(f"`{local}`")), edited_out: tx.strip(F.col(f"`{edited_out}`"))})
+    j = _join_dim(fact, dim, F.lower(F.col(f"`{local}`")), "__dk", True)
+    new = F.nullif(F.col("__de"), F.lit(""))
+    return j.withColumns({contract_out: F.col("__dc"), edited_out: F.coalesce(new, F.col(f"`{edited_out}`"))}).drop("__dc", "__de")
+
+
 def target(fact: DataFrame, sheet: DataFrame, cls: str = "CLASSIFICACAO",
            out: str = "META", found_col: str = "GRUPO_ENCONTRADO",
            sheet_group: str = "grupo", sheet_value: str = "meta", order: str = "_ord") -> DataFrame:
@@ -114,6 +137,19 @@ def unit_operator_map(sheet: DataFrame, unit: str = "UNIDADE", value: str = "OPE
     return keep_first(dim, "__dk", ["__dv"], "__o")
 
 
+def by_distinct(df: DataFrame, col: str, **made) -> DataFrame:
+    """Columns made once for each distinct value of ``col`` and looked up by the rows.
+
+    ``made`` gives a function of the value for each name.  ``df`` is read twice, the first time for
+    one column only, so it should be a written table.  Rows keep their order of columns; a made
+    column that exists is replaced.
+    """
+    value = F.col("__value")
+    values = df.select(F.col(f"`{col}`").alias("__value")).distinct().select("__value", *[f(value).alias(f"__{n}") for n, f in made.items()])
+    j = df.join(values, F.col(f"`{col}`").eqNullSafe(F.col("__value")), "left").drop("__value")
+    return j.withColumns({n: F.col(f"`__{n}`") for n in made}).drop(*[f"__{n}" for n in made])
+
+
 def send_name_map(names: dict) -> dict:
     """JN6 map: folded key -> name and folded name -> name (later entries win)."""
     m = {}
@@ -130,12 +166,18 @@ def literal_map(d: dict) -> Column:
     return F.create_map(*items)
 
 
-def apply_send_names(df: DataFrame, col: str = "CLASSIFICACAO", names: dict | None = None) -> DataFrame:
-    """JN6: replace the class by its delivery name when known, else keep it."""
+def send_name(names: dict | None = None):
+    """JN6 as a function of the class column: its delivery name when known, else the class."""
     from quorum.config.classification import CLASS_NAMES
     m = literal_map(send_name_map(CLASS_NAMES if names is None else names))
-    c = F.col(f"`{col}`")
-    return df.withColumn(col, F.coalesce(F.element_at(m, tx.fold_key(c)), c))
+    return lambda c: F.coalesce(F.element_at(m, tx.fold_key(c)), c)
+
+
+def apply_send_names(df: DataFrame, col: str = "CLASSIFICACAO", names: dict | None = None, distinct: bool = False) -> DataFrame:
+    """JN6: replace the class by its delivery name when known, else keep it; ``distinct``: see :func:`by_distinct`."""
+    if distinct:
+        return by_distinct(df, col, **{col: send_name(names)})
+    return df.withColumn(col, send_name(names)(F.col(f"`{col}`")))
 
 
 def class_group_map(groups: dict) -> dict:
@@ -151,13 +193,16 @@ def class_group_map(groups: dict) -> dict:
 
 
 def assign_group(df: DataFrame, col: str = "CLASSIFICACAO", groups: dict | None = None,
-                 out: str = "GRUPO", norm_out: str | None = "CLASSIFICACAO_NORMALIZADA") -> DataFrame:
-    """JN7 on rows: folded class looked up in the literal class -> group map."""
+                 out: str = "GRUPO", norm_out: str | None = "CLASSIFICACAO_NORMALIZADA", distinct: bool = False) -> DataFrame:
+    """JN7 on rows: folded class looked up in the literal class -> group map; ``distinct``: see :func:`by_distinct`."""
     from quorum.config.classification import DELIVERY_GROUPS
     m = literal_map(class_group_map(DELIVERY_GROUPS if groups is None else groups))
-    key = tx.fold_key(F.col(f"`{col}`"))
-    df = df.withColumn(out, F.element_at(m, key))
-    return df.withColumn(norm_out, key) if norm_out else df
+    made = {out: lambda c: F.element_at(m, tx.fold_key(c))}
+    if norm_out:
+        made[norm_out] = tx.fold_key
+    if distinct:
+        return by_distinct(df, col, **made)
+    return df.withColumns({n: f(F.col(f"`{col}`")) for n, f in made.items()})
 
 
 def unmatched(fact: DataFrame, found: Column) -> DataFrame:

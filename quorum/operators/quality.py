@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorum.functions import text as tx
 from quorum.functions.predicates import is_blank
+from quorum.operators import summary
 
 
 def q(c: str) -> Column:
@@ -37,6 +38,58 @@ def score_violations(df: DataFrame, scores, keys, low=1, high=5) -> DataFrame:
     return long.withColumn("MOTIVO", F.explode(reasons))
 
 
+CHECK, POSITION, REST = "CHECAGEM", "POSICAO", "RESTANTES"
+
+
+def violations(df: DataFrame, keys, checks: dict) -> DataFrame:
+    """DQ4-DQ7: a row per check and row that fails it: check, keys, VALOR, ESPERADO.
+
+    ``checks`` gives (fails, found, expected or None) columns for each name.  All are tested in one
+    pass over ``df``.
+    """
+    none = F.lit(None).cast("string")
+    found = [F.when(fails, F.struct(F.lit(name).alias(CHECK), value.cast("string").alias("VALOR"),
+                                    (none if expected is None else expected.cast("string")).alias("ESPERADO")))
+             for name, (fails, value, expected) in checks.items()]
+    rows = df.select(*[q(k) for k in keys], F.explode_outer(F.array_compact(F.array(*found))).alias("v"))
+    return rows.where(F.col("v").isNotNull()).select(F.col(f"v.{CHECK}").alias(CHECK), *[q(k) for k in keys], "v.VALOR", "v.ESPERADO")
+
+
+def first_violations(found: DataFrame, order, shown: int = 20) -> DataFrame:
+    """The first ``shown`` violations of each check, and how many more there are.
+
+    ``found`` is a written table.  Every task keeps the first rows of each check before anything is
+    shuffled, so a check that all rows fail costs no more than another.  The row after the last shown
+    one has ``RESTANTES``, the number of those that are not shown.
+    """
+    w = Window.partitionBy(CHECK).orderBy(*order)
+    head = found.withColumn(POSITION, F.row_number().over(w)).where(F.col(POSITION) <= shown)
+    more = found.groupBy(CHECK).agg((F.count(F.lit(1)) - shown).alias(REST)).where(F.col(REST) > 0)
+    return head.unionByName(more.withColumn(POSITION, F.lit(shown + 1)), allowMissingColumns=True)
+
+
+def sheet_violations(sheet: DataFrame, line: Column, key: Column, value: Column, allowed=None) -> DataFrame:
+    """DQ6: lookup rows with a blank key or a value that is not allowed, and the values of conflicting keys.
+
+    ``line`` numbers the sheet's rows; a conflict has a row per value and the key instead of a line.
+    """
+    s = sheet.select(line.alias("LINHA"), F.coalesce(key, F.lit("")).alias("CHAVE"), F.coalesce(value, F.lit("")).alias("VALOR"))
+    blank, empty = F.col("CHAVE") == "", F.col("VALOR") == ""
+    bad = ~empty & ~F.col("VALOR").isin(*allowed) if allowed is not None else F.lit(False)
+    rows = violations(s, ["LINHA", "CHAVE"], {"chave vazia": (blank, F.col("VALOR"), None), "valor invalido": (bad, F.col("VALOR"), None)})
+    pairs = summary.conflicts(s.where(~blank & ~empty), "CHAVE", "VALOR")
+    return rows.unionByName(pairs.select(F.lit("valores conflitantes").alias(CHECK), F.lit(None).cast("long").alias("LINHA"), "CHAVE", "VALOR",
+                                         F.lit(None).cast("string").alias("ESPERADO")))
+
+
+def output_violations(out: DataFrame, dim: DataFrame, keys, key: Column, col: str, dim_key: str, dim_val: str) -> DataFrame:
+    """DQ7: rows for whose key the lookup expects nothing, and rows that differ from what it expects (blank: '')."""
+    j = out.withColumn("__k", key).join(dim, F.col("__k").eqNullSafe(dim[dim_key]), "left")
+    expected, found = F.nullif(F.col(dim_val), F.lit("")), F.coalesce(q(col), F.lit(""))
+    return violations(j, keys, {"sem correspondencia": (expected.isNull(), F.col("__k"), None),
+                                "divergente": (expected.isNotNull() & (found != expected), found, expected)})
+
+
 def not_in_allowed(df: DataFrame, col: str, allowed) -> DataFrame:
     """DQ5: values outside the allowed set (null allowed), with counts."""
     return (df.where(q(col).isNotNull() & ~q(col).isin(*allowed))
@@ -70,8 +123,16 @@ def measures(one_row: DataFrame) -> DataFrame:
 
 
 def row_counts(frames: dict) -> DataFrame:
-    """DQ8: (TABELA, LINHAS) for each named table; one count per table."""
-    parts = [f.agg(F.lit(n).alias("TABELA"), F.count(F.lit(1)).alias("LINHAS")) for n, f in frames.items()]
+    """DQ8: (TABELA, LINHAS) for each named table.
+
+    A value is a table, or a table with conditions by name: the rows that fulfil each are counted in
+    one scan.  A written Parquet table is counted from its footers.
+    """
+    parts = []
+    for n, f in frames.items():
+        df, conditions = f if isinstance(f, tuple) else (f, {n: F.lit(True)})
+        parts.append(measures(df.agg(*[F.count(F.when(c, 1)).alias(name) if len(conditions) > 1 else F.count(F.lit(1)).alias(name)
+                                       for name, c in conditions.items()])).withColumnsRenamed({"MEDIDA": "TABELA", "VALOR": "LINHAS"}))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quorum.config.classification import DELIVERY_GROUPS
 from quorum.functions import text as tx
 from quorum.functions.predicates import at_least, between
-from quorum.operators.lookup import apply_send_names, assign_group, class_group_map
+from quorum.operators.lookup import apply_send_names, assign_group, by_distinct, class_group_map
 from quorum.operators.summary import union_sources
 
 GROUP, NORM = "GRUPO", "CLASSIFICACAO_NORMALIZADA"
@@ -53,16 +53,16 @@ def split_by_type(df: DataFrame, ranges=TWO_WAY, tipo: str = "TIPO", out: str =
 
 def route(sources: dict, cls: str = "CLASSIFICACAO", groups: dict | None = None,
           origin: str = "ORIGEM") -> DataFrame:
-    """PL3 core: union the sources with their origin and assign each row its
-    delivery group (null when the class is in no group)."""
+    """PL3 core: union the sources (written tables) with their origin and assign each row its
+    delivery group (null when the class is in no group).  A class is folded once."""
     groups = DELIVERY_GROUPS if groups is None else groups
     class_group_map(groups)  # validates: a class may be in one group only
-    return assign_group(union_sources(sources, origin), cls, groups, GROUP, NORM)
+    return assign_group(union_sources(sources, origin), cls, groups, GROUP, NORM, distinct=True)
 
 
 def delivery(routed: DataFrame, cls: str = "CLASSIFICACAO", names: dict | None = None) -> DataFrame:
-    """IO14 content: routed rows, helper columns dropped, delivery names applied."""
-    return apply_send_names(routed.where(q(GROUP).isNotNull()).drop(NORM), cls, names)
+    """IO14 content: routed rows (a written table), helper columns dropped, delivery names applied."""
+    return apply_send_names(routed.where(q(GROUP).isNotNull()).drop(NORM), cls, names, distinct=True)
 
 
 def class_counts(routed: DataFrame, origin: str = "ORIGEM") -> DataFrame:
@@ -115,25 +115,33 @@ def unassigned(routed: DataFrame, cls: str = "CLASSIFICACAO", origin: str = "ORI
             .agg(F.count(F.lit(1)).alias("QUANTIDADE")))
 
 
-def reconciliation(routed: DataFrame, origin: str = "ORIGEM") -> DataFrame:
-    """AG15: origin total, sent, not sent, difference and OK flag, per origin and overall."""
+def reconciliation(routed: DataFrame, delivered: DataFrame, origin: str = "ORIGEM") -> DataFrame:
+    """AG15: origin total, sent, not sent, difference and OK flag, per origin and overall.
+
+    Sent is what the written delivery holds, not sent what was given no group; the difference is what
+    got lost (or came in twice) between.  Both sides are counted by origin, then the counts meet.
+    """
     per = routed.groupBy(origin).agg(F.count(F.lit(1)).alias("TOTAL_ORIGEM"),
-                                     F.count(q(GROUP)).alias("TOTAL_ENVIADO"))
-    allr = routed.agg(F.lit("total").alias(origin), F.count(F.lit(1)).alias("TOTAL_ORIGEM"),
-                      F.count(q(GROUP)).alias("TOTAL_ENVIADO"))
-    out = per.unionByName(allr)
-    return out.withColumns({
-        "TOTAL_NAO_ENVIADO": F.col("TOTAL_ORIGEM") - F.col("TOTAL_ENVIADO"),
-    }).withColumns({
-        "DIFERENCA": F.col("TOTAL_ORIGEM") - F.col("TOTAL_ENVIADO") - F.col("TOTAL_NAO_ENVIADO"),
-    }).withColumn("OK", F.col("DIFERENCA") == 0)
+                                     F.count(F.when(q(GROUP).isNull(), 1)).alias("TOTAL_NAO_ENVIADO"))
+    sent = delivered.groupBy(origin).agg(F.count(F.lit(1)).alias("TOTAL_ENVIADO"))
+    each = per.join(sent, origin, "full").fillna(0)
+    totals = each.agg(F.lit("total").alias(origin), *[F.sum(c).alias(c) for c in each.columns[1:]])
+    out = each.unionByName(totals).withColumn("DIFERENCA", F.col("TOTAL_ORIGEM") - F.col("TOTAL_ENVIADO") - F.col("TOTAL_NAO_ENVIADO"))
+    return out.withColumn("OK", F.col("DIFERENCA") == 0)
+
+
+def delivery_differences(routed: DataFrame, delivered: DataFrame, origin: str = "ORIGEM") -> DataFrame:
+    """AG15 by partition: (group, origin) whose written rows are not as many as were routed there, absent ones too."""
+    counted = lambda df, n: df.groupBy(GROUP, origin).agg(F.count(F.lit(1)).alias(n))
+    both = counted(routed.where(q(GROUP).isNotNull()), "ESPERADO").join(counted(delivered, "ENCONTRADO"), [GROUP, origin], "full").fillna(0)
+    return both.where(F.col("ESPERADO") != F.col("ENCONTRADO"))
 
 
 def in_group(df: DataFrame, group: str, cls: str = "CLASSIFICACAO", groups: dict | None = None) -> DataFrame:
     """FI11/IO15: rows whose normalised class is in one group's class set."""
     groups = DELIVERY_GROUPS if groups is None else groups
     keys = sorted({tx.fold_key_py(c) for c in groups[group]})
-    return df.where(tx.fold_key(q(cls)).isin(*keys))
+    return by_distinct(df, cls, __in=lambda c: tx.fold_key(c).isin(*keys)).where("__in").drop("__in")
 
 
 # --- fixed values: the older class lists of the one-group form (the other groups are as in DELIVERY_GROUPS)
@@ -155,5 +163,5 @@ def deliver_groups(sources: dict, path: str, groups: dict | None = None, only: s
     groups = ONE_GROUP_CLASSES if groups is None else groups
     if only is not None and only not in groups:
         raise ValueError(f"unknown group: {only}")
-    rows = assign_group(union_sources(sources, origin), cls, groups if only is None else {only: groups[only]}, GROUP, None)
+    rows = assign_group(union_sources(sources, origin), cls, groups if only is None else {only: groups[only]}, GROUP, None, distinct=True)
     rows.where(q(GROUP).isNotNull()).write.mode("overwrite").partitionBy(GROUP, origin).parquet(path)

@@ -96,24 +96,43 @@ def status(df: DataFrame, result: str = "RESULTADO DA UNIDADE", meta: str = "MET
                          .when(r < m, "fora da meta").otherwise("dentro da meta"))
 
 
-def first_non_null(value: Column, order: Column) -> Column:
-    """Pandas ``first``: value of the lowest-order row where it is not null."""
-    return F.min_by(value, F.when(value.isNotNull(), order))
+def order_number(columns: dict) -> Column:
+    """One number that orders rows by several integer columns, each of at most the given number of digits.
+
+    A decimal, so that its minimum is a hash aggregate's; a value with more digits, or below 0, stops the job.
+    """
+    if sum(columns.values()) > 38:
+        raise ValueError("an order number has at most 38 digits")
+    parts = []
+    for c, n in columns.items():
+        fits = (q(c) >= 0) & (q(c) < F.lit(10 ** n).cast("decimal(38,0)"))
+        parts.append(F.when(fits, F.lpad(q(c).cast("string"), n, "0")).otherwise(F.raise_error(F.lit(f"{c} has more than {n} digits"))))
+    return F.concat(*parts).cast("decimal(38,0)")
 
 
 def unit_inspection(df: DataFrame, order: Column, keys=UNIT_KEYS, score: str = "NOTA GERAL",
                     result: str = "RESULTADO DA UNIDADE", meta: str = "META",
                     operator: str = "OPERADORA") -> DataFrame:
-    """AG8: per unit size, first result, min/max score, first META and OPERADORA."""
-    aggs = [F.count(F.lit(1)).alias("QUANTIDADE_LINHAS"),
-            first_non_null(q(result), order).alias("RESULTADO_DA_UNIDADE"),
-            F.min(q(score)).alias("NOTA_GERAL_MIN"),
-            F.max(q(score)).alias("NOTA_GERAL_MAX")]
-    if meta in df.columns:
-        aggs.append(first_non_null(q(meta), order).alias("META"))
-    if operator in df.columns:
-        aggs.append(first_non_null(q(operator), order).alias("OPERADORA"))
-    return df.groupBy(*[q(k) for k in keys]).agg(*aggs)
+    """AG8: per unit size, first result, min/max score, first META and OPERADORA (first: not null).
+
+    ``order`` is a unique number of each row (:func:`order_number`).  A hash aggregate finds the
+    smallest number with a value per unit and column; the values are then looked up by number in the
+    rows that have one of these, which are at most as many as there are units and columns.  ``df``
+    is read twice, so it should be a written table.
+    """
+    firsts = {"RESULTADO_DA_UNIDADE": result}
+    firsts |= {c: c for c in (meta, operator) if c in df.columns}
+    rows = df.withColumn("__o", order)
+    units = rows.groupBy(*[q(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("QUANTIDADE_LINHAS"), F.min(q(score)).alias("NOTA_GERAL_MIN"), F.max(q(score)).alias("NOTA_GERAL_MAX"),
+        *[F.min(F.when(q(c).isNotNull(), F.col("__o"))).alias(f"__first_{n}") for n, c in enumerate(firsts.values())])
+    wanted = reduce(lambda a, b: a.union(b), [units.select(F.col(f"__first_{n}").alias("__o")) for n in range(len(firsts))])
+    picked = rows.join(wanted.where(F.col("__o").isNotNull()), "__o", "left_semi")
+    for n, (out, c) in enumerate(firsts.items()):
+        one = picked.select(F.col("__o").alias(f"__first_{n}"), q(c).alias(f"__value_{n}"))
+        units = units.join(one, f"__first_{n}", "left")
+    return units.select(*[q(k) for k in keys], "QUANTIDADE_LINHAS", "NOTA_GERAL_MIN", "NOTA_GERAL_MAX",
+                        *[F.col(f"__value_{n}").alias(out) for n, out in enumerate(firsts)])
 
 
 def blank_key_rows(df: DataFrame, keys=UNIT_KEYS, out: str = "COLUNA_VAZIA") -> DataFrame:

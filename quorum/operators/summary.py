@@ -116,11 +116,13 @@ def operator_summary(df: DataFrame, op: str = "OPERADORA", score: str = "NOTA GE
 
 
 def conflicts(df: DataFrame, key: str, value: str) -> DataFrame:
-    """AG17: keys with more than one distinct value, with the sorted values."""
-    g = df.groupBy(q(key).alias(key)).agg(
-        F.count_distinct(q(value)).alias("TOTAL_VALORES"),
-        F.array_join(F.array_sort(F.collect_set(q(value))), " | ").alias("VALORES"))
-    return g.where(F.col("TOTAL_VALORES") > 1)
+    """AG17: keys with more than one distinct value, a row per value.
+
+    The values come from a distributed distinct; nothing is gathered for a key.  Null values are none.
+    """
+    pairs = df.where(q(value).isNotNull()).select(q(key).alias(key), q(value).alias(value)).distinct()
+    many = pairs.groupBy(q(key).alias("__k")).agg(F.count(F.lit(1)).alias("TOTAL_VALORES")).where(F.col("TOTAL_VALORES") > 1)
+    return pairs.join(many, q(key).eqNullSafe(F.col("__k"))).select(key, value, "TOTAL_VALORES")
 
 
 def with_origin(df: DataFrame, origin: str, col: str = "ORIGEM") -> DataFrame:
@@ -134,6 +136,6 @@ def union_sources(frames: dict, col: str = "ORIGEM") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def records(df: DataFrame, cols, out: str = "REGISTROS") -> DataFrame:
-    """PR15: rows of a (small) summary as one list of text records, null kept."""
-    return df.agg(F.collect_list(F.struct(*[q(c).cast("string").alias(c) for c in cols])).alias(out))
+def records(df: DataFrame, cols) -> DataFrame:
+    """PR15: rows as text records, null kept; a table, whatever its length."""
+    return df.select(*[q(c).cast("string").alias(c) for c in cols])

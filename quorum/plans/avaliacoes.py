@@ -2,7 +2,8 @@
 
 ``read -> clean -> contract -> score -> classify -> edited place ->
 operator -> target -> unit result -> status``.  All steps are projections,
-filters and lookups except the unit result (one partial aggregate + join
+filters and lookups (contract and edited place by one join, as both go by
+LOCAL) except the unit result (one partial aggregate + join
 back), which needs its input twice: the stage before it is written once to
 shared storage, so the source is read and joined once.
 """
@@ -19,10 +20,9 @@ def scored_pipeline(df: DataFrame, contract_sheet: DataFrame, edited_sheet: Data
                     class_rules=None, names=None) -> DataFrame:
     """PL1: all ten steps of the scored table (before the split)."""
     df = clean.clean_scored(df)
-    df = lookup.contract(df, contract_sheet)
+    df = lookup.places(df, contract_sheet, edited_sheet)
     df = score.row_score(df)
     df = rules.classify(df, class_rules, names)
-    df = lookup.edited_place(df, edited_sheet, action=None)
     df = operator_rules.assign_operator(df, unit_sheet)
     df = lookup.target(df, meta_sheet).drop("GRUPO_ENCONTRADO")
     df = score.unit_result(step_table(df, "before_unit"))
@@ -32,10 +32,8 @@ def scored_pipeline(df: DataFrame, contract_sheet: DataFrame, edited_sheet: Data
 def negative_pipeline(df: DataFrame, contract_sheet: DataFrame, edited_sheet: DataFrame,
                       class_rules=None, names=None) -> DataFrame:
     """PL2: clean, contract, classify, edited place (before the split)."""
-    df = clean.clean_negative(df)
-    df = lookup.contract(df, contract_sheet)
-    df = rules.classify(df, class_rules, names)
-    return lookup.edited_place(df, edited_sheet, action=None)
+    df = lookup.places(clean.clean_negative(df), contract_sheet, edited_sheet)
+    return rules.classify(df, class_rules, names)
 
 
 def persist_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:

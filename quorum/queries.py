@@ -86,6 +86,12 @@ def ru1_classify(spark, d):
     return _classified(spark, d).select(*KEYS, "CLASSIFICACAO")
 
 
+@query("ru1_classify_by_values", sql(f"SELECT {KEYS_SQL}, CLASSIFICACAO FROM {SQL_CLASSIFIED}"))
+def ru1_classify_by_values(spark, d):
+    """The same classes, with every pattern tried once per distinct place or speciality."""
+    return rules.classify_by_values(_step(spark, d, "contracted", lambda: _contracted(spark, d))).select(*KEYS, "CLASSIFICACAO")
+
+
 # ---------------------------------------------------------------- JN3
 @query("jn3_edited_place", sql(f"""SELECT {KEYS_SQL}, LOCAL, "LOCAL EDITADO", ACAO_LOCAL_EDITADO
 FROM ({O.edited('survey', with_action=True)})"""))
@@ -178,6 +184,8 @@ def _pl2_full(spark, d):
 
 #: Step tables that several queries read.
 STEPS = {"avaliacoes": _pl1_full, "negativas": _pl2_full}
+#: Digits of the row order's columns in an order number.
+ORDER_DIGITS = {"l_orderkey": 14, "l_linenumber": 2, "l_partkey": 11, "l_suppkey": 11}
 
 
 def _routed(spark, d):
@@ -287,14 +295,14 @@ def ag16_contract_dimension(spark, d):
     return lookup.keep_first(dim, "LOCAL_COMPARACAO", ["contratacao"], "_ord")
 
 
-@query("ag17_contract_conflicts", sqlx(f"""SELECT k AS LOCAL_COMPARACAO, count(DISTINCT v) AS TOTAL_VALORES,
-  array_to_string(list_sort(list_distinct(list(v))), ' | ') AS VALORES
-FROM (SELECT lower({O.strip('Local')}) AS k, lower({O.strip('contratacao')}) AS v FROM contract_sheet)
-GROUP BY k HAVING count(DISTINCT v) > 1"""))
+@query("ag17_contract_conflicts", sqlx(f"""SELECT DISTINCT k AS LOCAL_COMPARACAO, v AS CONTRATACAO, n AS TOTAL_VALORES
+FROM (SELECT *, count(DISTINCT v) OVER (PARTITION BY k) AS n FROM (
+  SELECT lower({O.strip('Local')}) AS k, lower({O.strip('contratacao')}) AS v FROM contract_sheet))
+WHERE n > 1 AND v IS NOT NULL"""))
 def ag17_contract_conflicts(spark, d):
     sh = S.contract_sheet(spark, d).select(F.lower(lookup.tx.strip(q("Local"))).alias("LOCAL_COMPARACAO"),
-                                           F.lower(lookup.tx.strip(q("contratacao"))).alias("v"))
-    return SM.conflicts(sh, "LOCAL_COMPARACAO", "v")
+                                           F.lower(lookup.tx.strip(q("contratacao"))).alias("CONTRATACAO"))
+    return SM.conflicts(sh, "LOCAL_COMPARACAO", "CONTRATACAO")
 
 
 # ---------------------------------------------------------------- score
@@ -611,8 +619,7 @@ _ORD_SQL = "struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d :=
   arg_min(OPERADORA, CASE WHEN OPERADORA IS NOT NULL THEN {_ORD_SQL} END) AS OPERADORA
 FROM pl1 GROUP BY ALL"""))
 def ag8_unit_inspection(spark, d):
-    order = F.struct(*[F.col(c) for c in S.ORDER_COLUMNS])
-    return score.unit_inspection(_pl1_full(spark, d), order)
+    return score.unit_inspection(_pl1_full(spark, d), score.order_number(ORDER_DIGITS))
 
 
 @query("fi15_blank_unit_keys", sqlx(f"""SELECT {KEYS_SQL}, CLASSIFICACAO, "LOCAL EDITADO", UF,
@@ -647,12 +654,17 @@ def ag10_operator_summary(spark, d):
     return SM.operator_summary(_pl1_full(spark, d))
 
 
-@query("fi14_discard_counts", sqlx("""SELECT count(*) AS LINHAS,
-  count(*) FILTER (WHERE CLASSIFICACAO IS NULL OR trim(CLASSIFICACAO) IN ('', 'nan', 'None')) AS DESCARTADAS_CHAVE,
-  count(*) FILTER (WHERE NOT (CLASSIFICACAO IS NULL OR trim(CLASSIFICACAO) IN ('', 'nan', 'None')) AND "NOTA GERAL" IS NULL) AS DESCARTADAS_NOTA,
-  0::BIGINT AS ERRO_CONVERSAO FROM pl1"""))
+_FAULTY_SCORE = ("case l_linenumber when 3 then 'sem nota' when 4 then '1d' when 5 then null when 6 then ' ' "
+                 "else cast(`NOTA GERAL` as string) end")
+
+
+@query("fi14_discard_counts", sqlx(f"""SELECT count(*) AS LINHAS, count(*) FILTER (WHERE k) AS DESCARTADAS_CHAVE,
+  count(*) FILTER (WHERE NOT k AND TRY_CAST(replace(x, '1d', 'x') AS DOUBLE) IS NULL) AS DESCARTADAS_NOTA,
+  count(*) FILTER (WHERE NOT k AND x IS NOT NULL AND TRY_CAST(replace(x, '1d', 'x') AS DOUBLE) IS NULL) AS ERRO_CONVERSAO
+FROM (SELECT CLASSIFICACAO IS NULL OR trim(CLASSIFICACAO) IN ('', 'nan', 'None') AS k, {_FAULTY_SCORE.replace('`', '"')} AS x FROM pl1)"""))
 def fi14_discard_counts(spark, d):
-    return SM.discard_counts(_pl1_full(spark, d), "CLASSIFICACAO")
+    """Scores with some that are no numbers, so that every counter finds rows."""
+    return SM.discard_counts(_pl1_full(spark, d).withColumn("NOTA GERAL", F.expr(_FAULTY_SCORE)), "CLASSIFICACAO")
 
 
 # ---------------------------------------------------------------- negatives (PL2)
@@ -713,15 +725,36 @@ def ag14_unassigned_classes(spark, d):
     return R.unassigned(_routed_step(spark, d)).orderBy("ORIGEM", "CLASSIFICACAO")
 
 
-@query("ag15_reconciliation")
+def _lossy_delivery(spark, d):
+    """A written delivery in which rows of one source got lost and some of one group came in twice."""
+    def build():
+        out = R.delivery(_routed_step(spark, d)).select(*KEYS, "GRUPO", "ORIGEM", "CLASSIFICACAO")
+        lost = out.where(~((q("ORIGEM") == "avaliacoes") & (q("l_linenumber") == 6)))
+        return lost.unionByName(out.where((q("GRUPO") == "odontologia") & (q("l_linenumber") == 2)))
+    return _step(spark, d, "delivery", build)
+
+
+_SQL_LOSSY = """SELECT * FROM routed WHERE GRUPO IS NOT NULL AND NOT (ORIGEM = 'avaliacoes' AND l_linenumber = 6)
+  UNION ALL SELECT * FROM routed WHERE GRUPO = 'odontologia' AND l_linenumber = 2"""
+
+
+@query("ag15_reconciliation", S.with_views("""SELECT *, DIFERENCA = 0 AS OK FROM (
+  SELECT *, TOTAL_ORIGEM - TOTAL_ENVIADO - TOTAL_NAO_ENVIADO AS DIFERENCA FROM (
+    SELECT r.o AS ORIGEM, TOTAL_ORIGEM, TOTAL_NAO_ENVIADO, TOTAL_ENVIADO FROM
+      (SELECT coalesce(ORIGEM, 'total') AS o, count(*) AS TOTAL_ORIGEM, count(*) FILTER (WHERE GRUPO IS NULL) AS TOTAL_NAO_ENVIADO
+       FROM routed GROUP BY ROLLUP (ORIGEM)) r
+      JOIN (SELECT coalesce(ORIGEM, 'total') AS o, count(*) AS TOTAL_ENVIADO FROM lossy GROUP BY ROLLUP (ORIGEM)) l ON r.o = l.o))""",
+    *STAGES, ("lossy", _SQL_LOSSY)))
 def ag15_reconciliation(spark, d):
-    return R.reconciliation(_routed_step(spark, d))
+    return R.reconciliation(_routed_step(spark, d), _lossy_delivery(spark, d))
 
 
-ORACLES["ag15_reconciliation"] = sqlx("""SELECT ORIGEM, TOTAL_ORIGEM, TOTAL_ENVIADO, TOTAL_ORIGEM - TOTAL_ENVIADO AS TOTAL_NAO_ENVIADO,
-  0::BIGINT AS DIFERENCA, true AS OK FROM (
-  SELECT ORIGEM, count(*) AS TOTAL_ORIGEM, count(GRUPO) AS TOTAL_ENVIADO FROM routed GROUP BY 1
-  UNION ALL SELECT 'total', count(*), count(GRUPO) FROM routed)""")
+@query("ag15_delivery_differences", S.with_views("""SELECT GRUPO, ORIGEM, ESPERADO, ENCONTRADO FROM (
+  SELECT GRUPO, ORIGEM, sum(e) AS ESPERADO, sum(f) AS ENCONTRADO FROM (
+    SELECT GRUPO, ORIGEM, 1 AS e, 0 AS f FROM routed WHERE GRUPO IS NOT NULL
+    UNION ALL SELECT GRUPO, ORIGEM, 0, 1 FROM lossy) GROUP BY ALL) WHERE ESPERADO <> ENCONTRADO""", *STAGES, ("lossy", _SQL_LOSSY)))
+def ag15_delivery_differences(spark, d):
+    return R.delivery_differences(_routed_step(spark, d), _lossy_delivery(spark, d))
 
 
 @query("io14_delivery_datasets", sqlx(f"""SELECT {KEYS_SQL}, GRUPO, ORIGEM, {O.send_name_case('CLASSIFICACAO')} AS CLASSIFICACAO
@@ -944,6 +977,91 @@ def dq5_allowed_contract_values(spark, d):
     return DQ.not_in_allowed(_contracted(spark, d), "CONTRATACAO", ["rede propria"])
 
 
+def _faulty_output(spark, d):
+    """The scored output with wrong and empty contracts and with ids and phones as they came in."""
+    wrong = F.when(q("l_linenumber") == 3, "outra").when(q("l_linenumber") != 4, q("CONTRATACAO"))
+    return _pl1_full(spark, d).withColumn("CONTRATACAO", wrong)
+
+
+_SQL_FAULTY = """SELECT * REPLACE (CASE WHEN l_linenumber = 3 THEN 'outra' WHEN l_linenumber = 4 THEN NULL ELSE CONTRATACAO END AS CONTRATACAO) FROM pl1"""
+_SHOWN = 20
+
+
+def _first_sql(found: str, order: str, columns: str) -> str:
+    """The first violations per check with a count of the others, by plain windows."""
+    return f"""SELECT CHECAGEM, {columns}, VALOR, ESPERADO, POSICAO, NULL::BIGINT AS RESTANTES FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY CHECAGEM ORDER BY {order}) AS INTEGER) AS POSICAO FROM ({found})) WHERE POSICAO <= {_SHOWN}
+UNION ALL BY NAME SELECT CHECAGEM, {_SHOWN + 1} AS POSICAO, count(*) - {_SHOWN} AS RESTANTES FROM ({found}) GROUP BY 1 HAVING count(*) > {_SHOWN}"""
+
+
+_CONTRACT_DIM_SQL = f"""SELECT lower({O.strip('Local')}) AS k, arg_min(lower({O.strip('contratacao')}), _ord) AS v FROM contract_sheet GROUP BY 1"""
+_OUTPUT_FOUND_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS CHECAGEM, {KEYS_SQL}, {value} AS VALOR, {expected} AS ESPERADO FROM faulty LEFT JOIN dim ON lower(LOCAL) IS NOT DISTINCT FROM dim.k WHERE {cond}"
+    for name, value, expected, cond in (
+        ("id com .0", "NUM_BENEFICIARIO", "NULL::VARCHAR", "NUM_BENEFICIARIO LIKE '%.0'"),
+        ("telefone com .0", "TELEFONE", "NULL::VARCHAR", "TELEFONE LIKE '%.0'"),
+        ("contratacao invalida", "CONTRATACAO", "NULL::VARCHAR", "coalesce(CONTRATACAO, '') NOT IN ('', 'rede propria', 'rede credenciada')"),
+        ("sem correspondencia", "lower(LOCAL)", "NULL::VARCHAR", "coalesce(v, '') = ''"),
+        ("divergente", "coalesce(CONTRATACAO, '')", "v", "coalesce(v, '') <> '' AND coalesce(CONTRATACAO, '') <> v")))
+
+
+@query("dq4_output_violations", S.with_views(_first_sql(_OUTPUT_FOUND_SQL, ", ".join(S.ORDER_COLUMNS) + ", VALOR", KEYS_SQL),
+                                             *STAGES, ("faulty", _SQL_FAULTY), ("dim", _CONTRACT_DIM_SQL)))
+def dq4_output_violations(spark, d):
+    """DQ4, DQ5 and DQ7 as rows: all checks in one scan of the output, the first 20 of each and how many more."""
+    dim = ag16_contract_dimension(spark, d)
+    j = _faulty_output(spark, d).withColumn("__k", F.lower(q("LOCAL"))).join(
+        dim.withColumnRenamed("contratacao", "__v"), F.col("__k").eqNullSafe(F.col("LOCAL_COMPARACAO")), "left")
+    found, expected = F.coalesce(q("CONTRATACAO"), F.lit("")), F.nullif(F.col("__v"), F.lit(""))
+    checks = {
+        "id com .0": (q("NUM_BENEFICIARIO").endswith(".0"), q("NUM_BENEFICIARIO"), None),
+        "telefone com .0": (q("TELEFONE").endswith(".0"), q("TELEFONE"), None),
+        "contratacao invalida": (~found.isin("", "rede propria", "rede credenciada"), found, None),
+        "sem correspondencia": (expected.isNull(), F.col("__k"), None),
+        "divergente": (expected.isNotNull() & (found != expected), found, expected)}
+    rows = PL.step_table(DQ.violations(j, KEYS, checks), "violations")
+    return DQ.first_violations(rows, [F.col(c) for c in (*S.ORDER_COLUMNS, "VALOR")], _SHOWN)
+
+
+_SHEET_FOUND_SQL = f"""SELECT 'chave vazia' AS CHECAGEM, _ord AS LINHA, k AS CHAVE, v AS VALOR, NULL::VARCHAR AS ESPERADO FROM sheet WHERE k = ''
+UNION ALL SELECT 'valor invalido', _ord, k, v, NULL FROM sheet WHERE v NOT IN ('', 'rede propria')
+UNION ALL SELECT DISTINCT 'valores conflitantes', NULL::BIGINT, k, v, NULL FROM (
+  SELECT k, v, count(DISTINCT v) OVER (PARTITION BY k) AS n FROM sheet WHERE k <> '' AND v <> '') WHERE n > 1"""
+
+
+@query("dq6_sheet_violations", S.with_views(_first_sql(_SHEET_FOUND_SQL, "LINHA NULLS FIRST, CHAVE, VALOR", "LINHA, CHAVE"), *STAGES, (
+    "sheet", f"SELECT _ord, coalesce(lower({O.strip('Local')}), '') AS k, coalesce(lower({O.strip('contratacao')}), '') AS v FROM contract_sheet")))
+def dq6_sheet_violations(spark, d):
+    """DQ6 as rows: blank keys, values that are not allowed, conflicting keys' values."""
+    sheet = S.contract_sheet(spark, d)
+    found = DQ.sheet_violations(sheet, F.col("_ord").cast("long"), F.lower(TX.strip(q("Local"))), F.lower(TX.strip(q("contratacao"))), ["rede propria"])
+    return DQ.first_violations(PL.step_table(found, "sheet-violations"), [F.col(c) for c in ("LINHA", "CHAVE", "VALOR")], _SHOWN)
+
+
+_LINES_SQL = f"""SELECT MES, 1 + row_number() OVER (PARTITION BY MES ORDER BY {", ".join(S.ORDER_COLUMNS)}) AS LINHA, *
+  EXCLUDE (MES) FROM survey"""
+
+
+@query("an4_violation_lines", S.with_views(f"""SELECT concat('MES=', MES) AS ARQUIVO, LINHA, COLUNA, VALOR, MOTIVO FROM (
+  SELECT * FROM ({_DQ3_SQL}) JOIN (SELECT {KEYS_SQL}, MES, LINHA FROM lines) USING ({KEYS_SQL}))
+UNION ALL SELECT concat('MES=', MES), LINHA, 'TELEFONE', TELEFONE, 'terminando em .0' FROM lines WHERE TELEFONE LIKE '%.0'""",
+    ("lines", _LINES_SQL)))
+def an4_violation_lines(spark, d):
+    """DQ3 and DQ4 over a monthly CSV delivery, by file and line (AN4)."""
+    from quorum.sources import io as IO
+    path = IO.scratch_path(spark, "monthly-csv")
+    rows = S.survey(spark, d).withColumns({"NOTA5": (q("NOTA5") + q("l_linenumber") / 10.0).cast("double"), "NOTA1": F.expr(_DIRTY_SCORE)})
+    (rows.select(*KEYS, "MES", "TELEFONE", *_SCORES).repartition("MES").sortWithinPartitions("MES", *S.ORDER_COLUMNS)
+     .write.partitionBy("MES").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    read = IO.read_raw_text(spark, path, line_numbers=True)
+    folder = F.regexp_extract(IO.FILE, "MES=[0-9]+", 0).alias(IO.FILE)
+    scores = DQ.score_violations(read, _SCORES, [IO.FILE, IO.LINE]).select(folder, IO.LINE, "COLUNA", "VALOR", "MOTIVO")
+    ids = read.where(q("TELEFONE").endswith(".0")).select(
+        folder, IO.LINE, F.lit("TELEFONE").alias("COLUNA"), q("TELEFONE").alias("VALOR"), F.lit("terminando em .0").alias("MOTIVO"))
+    return scores.unionByName(ids)
+
+
 @query("dq6_lookup_validity", sqlx(f"""SELECT * FROM (VALUES
   ('CHAVES_VAZIAS', (SELECT count(*) FROM contract_sheet WHERE coalesce(lower({O.strip('Local')}), '') = '')),
   ('VALORES_INVALIDOS', (SELECT count(*) FROM contract_sheet WHERE lower({O.strip('contratacao')}) IS NULL
@@ -975,9 +1093,10 @@ def dq7_contract_vs_lookup(spark, d):
   ('negativas_entrada', (SELECT count(*) FROM negativas)), ('negativas_saida', (SELECT count(*) FROM pl2)))
   AS t(TABELA, LINHAS)"""))
 def dq8_row_counts(spark, d):
-    return DQ.row_counts({"entrada": S.survey(spark, d), "limpa": clean.clean_scored(S.survey(spark, d)),
-                          "saida": _pl1_full(spark, d), "negativas_entrada": S.negatives(spark, d),
-                          "negativas_saida": _pl2_full(spark, d)})
+    # Both sources of the fixture are the same rows, so one scan counts what goes in and what cleaning keeps.
+    scored = score.count_valid_scores(S.survey(spark, d))
+    sources = {"entrada": F.lit(True), "limpa": q(score.VALID) > 0, "negativas_entrada": F.lit(True)}
+    return DQ.row_counts({"fontes": (scored, sources), "saida": _pl1_full(spark, d), "negativas_saida": _pl2_full(spark, d)})
 
 
 _FAULTY_COUNT = 'CASE WHEN l_linenumber = 2 THEN 9 ELSE "Quantidade notas validas" END'
@@ -1047,6 +1166,86 @@ def dq13_side_tables_agree(spark, d):
     return DQ.measures(total).unionByName(DQ.measures(lines)).unionByName(DQ.measures(by_place))
 
 
+@query("dq13_edited_side_tables", sqlx("""SELECT * FROM (VALUES
+  ('TOTAL_ATUALIZADOS', (SELECT count(*) FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'atualizado')),
+  ('SOMA_ATUALIZADOS', (SELECT count(*) FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'atualizado' AND CONTRATACAO = 'rede propria'
+     AND LOCAL IS NOT NULL)),
+  ('TOTAL_NAO_ENCONTRADOS', (SELECT count(*) FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'nao_encontrado')),
+  ('SOMA_NAO_ENCONTRADOS', (SELECT count(*) FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'nao_encontrado')),
+  ('TOTAL_NAO_ALTERADOS', (SELECT count(*) FROM edited_act WHERE ACAO_LOCAL_EDITADO = 'nao_alterado'))) AS t(MEDIDA, VALOR)"""))
+def dq13_edited_side_tables(spark, d):
+    """Updated and not found places: totals from the rows against the written side tables, of which one lost a contract."""
+    from quorum.sources import io as IO
+    rows = PL.step_table(_edited_action(spark, d), "edited-action")
+    path, act = IO.scratch_path(spark, "local-editado"), q("ACAO_LOCAL_EDITADO")
+    updated = SM.multi_frequency(rows.where(act == "atualizado"), ["LOCAL", "LOCAL EDITADO", "CONTRATACAO"])
+    IO.write_summary_csv(updated.where(q("CONTRATACAO") == "rede propria"), f"{path}/atualizados")
+    IO.write_summary_csv(SM.frequency(rows.where(act == "nao_encontrado"), "LOCAL"), f"{path}/nao_encontrados")
+    totals = {f"TOTAL_{a.upper()}": act == v for a, v in (("atualizados", "atualizado"), ("nao_encontrados", "nao_encontrado"), ("nao_alterados", "nao_alterado"))}
+    sums = [IO.read_csv_columns(spark, f"{path}/{name}", ["QUANTIDADE"]).agg(
+        F.coalesce(F.sum(F.col("QUANTIDADE").cast("long")), F.lit(0)).alias(f"SOMA_{name.upper()}")) for name in ("atualizados", "nao_encontrados")]
+    out = DQ.measures(SM.conditional_totals(rows, totals))
+    for one in sums:
+        out = out.unionByName(DQ.measures(one))
+    return out
+
+
+#: Rules that filter on the operator of the moment and on the rule that set it, beside plain ones.
+STATE_RULES = [
+    ("TELECONSULTA", False, [("CLASSIFICACAO", "contem", "tele")], "tele"),
+    ("REDE CREDENCIADA", False, [("CLASSIFICACAO", "contem", "cred")], "cred"),
+    ("NDI MG", False, [("UF", "igual", "MG")], "uf mg"),
+    ("PROMED", False, [("OPERADORA", "igual", "NDI MG"), ("LOCAL EDITADO", "contem", "Venda Nova")], "venda nova"),
+    ("PROMED", False, [("_REGRA_OPERADORA", "igual", "uf mg"), ("LOCAL EDITADO", "contem", "raja")], "raja"),
+    ("CCG", True, [("UF", "igual", "RS")], "rs vazia"),
+    ("REDE SP", False, [("OPERADORA", "diferente", "TELECONSULTA"), ("UF", "igual", "SP"), ("OPERADORA", "nao_vazio", None)], "sp com operadora"),
+    ("SEM REGRA", False, [("_REGRA_OPERADORA", "vazio", None), ("CONTRATACAO", "nao_contem", "credenciada")], "sem regra"),
+    ("HAPVIDA", True, [], "fecha"),
+]
+
+
+def _state_sheet(spark):
+    rows = []
+    for k, (op, fill, filters, name) in enumerate(STATE_RULES, start=1):
+        three = [x for f in (*filters, *[(None, None, None)] * (3 - len(filters))) for x in f]
+        rows.append((op, "sim" if fill else "nao", *three, str(k), "sim", name, k))
+    from quorum.config import operator as oc
+    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in oc.V2_SHEET_COLUMNS) + ", _ord long")
+
+
+def _state_rules_sql() -> str:
+    """The rules one after the other, each in a query of its own over the state that the one before left."""
+    src = """SELECT *, '' AS __rule, ''::VARCHAR AS __op FROM opprep"""
+    for k, (op, fill, filters, name) in enumerate(STATE_RULES, start=1):
+        conds = ["__op = ''"] if fill else []
+        for column, comparator, value in filters:
+            c = {"OPERADORA": "__op", "_REGRA_OPERADORA": "__rule"}.get(column, f"coalesce({O.normalize(O.qi(column))}, '')")
+            conds.append({"igual": f"{c} = {O.s(value)}", "diferente": f"{c} <> {O.s(value)}", "vazio": f"{c} = ''", "nao_vazio": f"{c} <> ''",
+                          "contem": f"contains(upper({c}), upper({O.s(value)}))", "nao_contem": f"NOT contains(upper({c}), upper({O.s(value)}))"}[comparator])
+        hit = " AND ".join(conds) or "true"
+        src = f"""SELECT * REPLACE (CASE WHEN __h{k} THEN {O.s(op)} ELSE __op END AS __op, CASE WHEN __h{k} THEN {O.s(name)} ELSE __rule END AS __rule),
+  __h{k} AND __op = '' AS __b{k} FROM (SELECT *, ({hit}) AS __h{k} FROM ({src}))"""
+    return src
+
+
+@query("ru14_state_rules", S.with_views(f"SELECT {KEYS_SQL}, __op AS OPERADORA, __rule AS REGRA FROM ({_state_rules_sql()})",
+                                        *STAGES, ("opprep", _opprep_sql(True))))
+def ru14_state_rules(spark, d):
+    """FI12/FI13 on the state: rules that filter on OPERADORA and on the rule that set it."""
+    out = operator_rules.assign_operator_v2(_edited(spark, d), _state_sheet(spark), keep_rule=True)
+    return out.select(*KEYS, "OPERADORA", q(operator_rules.RULE_COL).alias("REGRA"))
+
+
+_STATE_COUNTS = " UNION ALL ".join(
+    f"SELECT {k} AS ORDEM, {O.s(rule[-1])} AS REGRA, count(*) FILTER (WHERE __h{k}) AS TOTAL_ATINGIDAS, count(*) FILTER (WHERE __b{k}) AS TOTAL_VAZIAS, "
+    f"count(*) FILTER (WHERE __h{k} AND NOT __b{k}) AS TOTAL_SOBRESCRITAS FROM folded" for k, rule in enumerate(STATE_RULES, start=1))
+
+
+@query("ru14_state_rules_audit", S.with_views(_STATE_COUNTS, *STAGES, ("opprep", _opprep_sql(True)), ("folded", _state_rules_sql())))
+def ru14_state_rules_audit(spark, d):
+    return operator_rules.operator_v2_audit(_edited(spark, d), _state_sheet(spark)).drop("OPERADORA_APLICADA", "APLICAR_SOMENTE_VAZIOS")
+
+
 # ---------------------------------------------------------------- operator rules v2 (RU12-RU17)
 def _ru13_sql() -> str:
     """Rule-sheet load + validation written in SQL over the same sheet."""
@@ -1186,15 +1385,13 @@ def io17_summary_json(spark, d):
                 F.count(F.when(q("CONTRATACAO") == "rede propria", 1)).alias("total_rede_propria"),
                 F.count(F.when(q("CONTRATACAO") == "rede credenciada", 1)).alias("total_rede_credenciada"),
                 F.count(F.when(q("CONTRATACAO").isNull(), 1)).alias("total_sem_contratacao"))
-    places = SM.records(SM.frequency(c.where(q("CONTRATACAO").isNull()), "LOCAL"), ["LOCAL", "QUANTIDADE"],
-                        "locais_sem_contratacao")
-    summary = tot.unionByName(places, allowMissingColumns=True).agg(
-        *[F.max(x).alias(x) for x in tot.columns], F.first("locais_sem_contratacao", ignorenulls=True)
-        .alias("locais_sem_contratacao"))
+    places = SM.records(SM.frequency(c.where(q("CONTRATACAO").isNull()), "LOCAL"), ["LOCAL", "QUANTIDADE"])
     path = IO.scratch_path(spark, "resumo-json")
-    IO.write_summary_json(summary, path)
-    back = spark.read.schema(summary.schema).json(path)
-    return back.select(*tot.columns, F.size("locais_sem_contratacao").cast("long").alias("locais_sem_contratacao"))
+    IO.write_summary_json(tot, path, locais_sem_contratacao=places)
+    back = spark.read.schema(tot.schema).json(f"{path}/totais")
+    listed = spark.read.schema(places.schema).json(f"{path}/locais_sem_contratacao")
+    both = back.unionByName(listed.agg(F.count(F.lit(1)).alias("locais_sem_contratacao")), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 @query("io18_summary_csv", sqlx("""SELECT ACAO_LOCAL_EDITADO, count(*) AS QUANTIDADE FROM edited_act GROUP BY 1"""))

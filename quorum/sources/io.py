@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,30 +24,50 @@ ID_READ_AS_TEXT = ("NUM_BENEFICIARIO", "TELEFONE")
 
 
 def _header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Column names from the header line only (one small read, no inference)."""
-    first = spark.read.option("header", False).option("sep", sep).csv(path).limit(1).collect()
+    """Column names from the header line only (one small read, no inference, no columns from folder names)."""
+    first = spark.read.option("header", False).option("sep", sep).option("recursiveFileLookup", True).csv(path).limit(1).collect()
     if not first:
         raise ValueError(f"empty CSV: {path}")
     return [c.lstrip("﻿") if c else c for c in first[0]]
 
 
-def _csv(spark, path, names, sep=",", multi_line=False):
-    """All columns as text.  Every file's header is checked against ``names``, so a file with its
+def _csv(spark, path, names, sep=",", multi_line=False, line_numbers=False):
+    """All columns as text.  Folders are read to any depth, their names give no columns.  Every file's header is checked against ``names``, so a file with its
     columns in another order stops the read.  Files are split over tasks unless fields hold line
     feeds (``multi_line``)."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
-            .option("escape", '"').option("sep", sep)
+    scan = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
+            .option("escape", '"').option("sep", sep).option("recursiveFileLookup", True)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .csv(path))
+    return numbered_lines(scan) if line_numbers else scan
+
+
+FILE, LINE = "ARQUIVO", "LINHA"
+
+
+def numbered_lines(scan: DataFrame) -> DataFrame:
+    """AN4: a file scan with each row's file and line, the first row after the header on line 2.
+
+    Rows are numbered within their split; the splits' row counts, summed up in each file by where the
+    split begins, give the lines before it.  So nothing is sorted or moved but one row per split.
+    ``scan`` must be the reader's own DataFrame.  Blank lines and line feeds in fields count as the
+    reader counts them: rows, not physical lines.
+    """
+    rows = scan.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("__begin"),
+                       F.monotonically_increasing_id().alias("__at"))
+    splits = rows.groupBy(FILE, "__begin").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("first"))
+    earlier = Window.partitionBy(FILE).orderBy("__begin").rowsBetween(Window.unboundedPreceding, -1)
+    shift = splits.select(FILE, "__begin", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 2).alias("__shift"))
+    return rows.join(shift, [FILE, "__begin"]).withColumn(LINE, F.col("__at") + F.col("__shift")).select(*scan.columns, FILE, LINE)
 
 
 def read_survey_csv(spark: SparkSession, path: str, strict_ints: bool = True, sep: str = ",",
-                    multi_line: bool = False) -> DataFrame:
-    """IO1: typed survey CSV scan (all text, null tokens, schema overlay)."""
-    df = _csv(spark, path, _header(spark, path, sep), sep, multi_line)
-    df = df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`"))
-                         for c in df.columns})
+                    multi_line: bool = False, line_numbers: bool = False) -> DataFrame:
+    """IO1: typed survey CSV scan (all text, null tokens, schema overlay), with file and line if asked for."""
+    names = _header(spark, path, sep)
+    df = _csv(spark, path, names, sep, multi_line, line_numbers)
+    df = df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")) for c in names})
     return overlay(df, strict_ints=strict_ints)
 
 
@@ -57,10 +77,11 @@ def read_csv_columns(spark: SparkSession, path: str, columns, sep: str = ",") ->
     return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")) for c in columns})
 
 
-def read_raw_text(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """IO5: every field as text, no null tokens (empty fields -> '')."""
-    df = _csv(spark, path, _header(spark, path, sep), sep)
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns})
+def read_raw_text(spark: SparkSession, path: str, sep: str = ",", line_numbers: bool = False) -> DataFrame:
+    """IO5: every field as text, no null tokens (empty fields -> ''), with file and line if asked for."""
+    names = _header(spark, path, sep)
+    df = _csv(spark, path, names, sep, line_numbers=line_numbers)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names})
 
 
 def write_survey_csv(df: DataFrame, path: str, mode: str = "overwrite", strict_ints: bool = True) -> None:
@@ -108,14 +129,20 @@ def write_partitioned(df: DataFrame, path: str, by, fmt: str = "parquet", mode:
     df.write.mode(mode).partitionBy(*by).format(fmt).save(path)
 
 
-def write_summary_json(df: DataFrame, path: str) -> None:
-    """IO17: a one-row summary as JSON (coalesced to one file: it is one row)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_summary_json(df: DataFrame, path: str, **lists: DataFrame) -> None:
+    """IO17: summary totals as JSON, and each list of records as a JSON table of its own beside them.
+
+    Without lists the totals are written to ``path`` itself, else to ``path/totais``.  A one-row
+    aggregate is one partition and so one file; lists have as many files as they need.
+    """
+    df.write.mode("overwrite").json(f"{path}/totais" if lists else path)
+    for name, records in lists.items():
+        records.write.mode("overwrite").json(f"{path}/{name}")
 
 
 def write_summary_csv(df: DataFrame, path: str) -> None:
-    """IO18: a small summary table as one header CSV."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """IO18: a summary table as CSV with a header, a file for each partition."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

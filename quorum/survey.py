@@ -18,6 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 KEY_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 ORDER_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
+
+def _case(number: str, values, otherwise: str) -> str:
+    return f"case {number} " + " ".join(f"when {k} then {v}" for k, v in enumerate(values)) + f" else {otherwise} end"
+
+
+# Words that the class rules look for in places and specialities, and the operator rules in edited places.
+PLACE_WORDS = ("qualivida", "Sinta-se bem", "TELEMED", "nosso medico", "Case", "TEA", "gestar bem", "octaviano neves", "Venda Nova",
+               "PROCLIN ELDORADO", "hvc day", "hospital vera cruz", "Betim", "raja", "efigencia", "life a", "life b", "contorno")
+EDITED_WORDS = {15: "'LIFE CENTER CONTAGEM'", 16: "concat('Hospital ', chr(160), 'Life Center')", 17: "' pa contorno'"}
+SPECIALITY_WORDS = ("viver bem", "NB", "alto risco", "case", "TRANSPLANTE", "gestar bem", "MEDPREV", "odontologia", "pgc")
+STATES = ("'MG'", "'mg '", "'PR'", "'RS'", "'SP'", "'RJ'", "'CE'", "'BA'", "'PE'", "'MG'")
+_EACH = 40  # parts for which the place words come round
+PLACE = _case(f"p_partkey % {_EACH}", [f"concat(p_name, ' {w}')" for w in PLACE_WORDS], "p_name")
+EDITED = ("case " + " ".join(f"when p_partkey % {_EACH} = {k} then {v}" for k, v in EDITED_WORDS.items())
+          + f" else concat(upper({PLACE}), ' - ', p_brand) end")
+
 SURVEY_EXPRS = [
     ("l_orderkey", "l_orderkey"),
     ("l_partkey", "l_partkey"),
@@ -32,10 +48,11 @@ SURVEY_EXPRS = [
     ("ANO", "cast(year(l_shipdate) as bigint)"),
     ("TIPO", "cast(1 + (l_partkey + l_linenumber) % 14 as bigint)"),
     ("LOCAL", "case when l_suppkey % 37 = 0 then null "
-              "when l_suppkey % 11 = 0 then concat(chr(160), upper(p_name), ' ') "
-              "when l_suppkey % 53 = 0 then concat(p_name, ' annex') else p_name end"),
-    ("ESPECIALIDADE", "case when l_orderkey % 41 = 0 then null else p_type end"),
-    ("UF", "case when o_custkey % 29 = 0 then null else n_name end"),
+              f"when l_suppkey % 11 = 0 then concat(chr(160), upper({PLACE}), ' ') "
+              f"when l_suppkey % 53 = 0 then concat({PLACE}, ' annex') else {PLACE} end"),
+    ("ESPECIALIDADE", "case when l_orderkey % 41 = 0 then null else "
+                      + _case("l_orderkey % 31", [f"'{w}'" for w in SPECIALITY_WORDS], "p_type") + " end"),
+    ("UF", "case when o_custkey % 29 = 0 then null else " + _case("n_nationkey % 10", STATES, "'AC'") + " end"),
     ("NOTA1", "cast(nullif(cast(l_quantity as int) % 6, 0) as int)"),
     ("NOTA2", "cast(nullif((cast(l_quantity as int) + l_linenumber) % 6, 0) as int)"),
     ("NOTA3", "cast(nullif((l_partkey + l_linenumber) % 6, 0) as int)"),
@@ -47,21 +64,21 @@ SURVEY_EXPRS = [
 
 SCORE_COLUMNS = ["NOTA1", "NOTA2", "NOTA3", "NOTA4", "NOTA5"]
 
-# Lookup sheets derived from ``part`` (64 names over 2,000 rows: duplicated,
+# Lookup sheets derived from ``part`` (64 names, most with a place word now and then: duplicated,
 # conflicting keys, a null key and dirty text, so keep-first is exercised).
 CONTRACT_EXPRS = [
-    ("Local", "case when p_partkey % 101 = 0 then null when p_partkey % 5 = 0 then upper(p_name) "
-              "when p_partkey % 7 = 0 then concat(chr(160), p_name) else p_name end"),
+    ("Local", f"case when p_partkey % 101 = 0 then null when p_partkey % 5 = 0 then upper({PLACE}) "
+              f"when p_partkey % 7 = 0 then concat(chr(160), {PLACE}) else {PLACE} end"),
     ("contratacao", "case when p_partkey % 3 = 0 then 'Rede Credenciada ' else ' rede propria' end"),
     ("_ord", "p_partkey"),
 ]
 EDITED_EXPRS = [
-    ("Local", "case when p_partkey % 97 = 0 then null when p_partkey % 4 = 0 then upper(p_name) else p_name end"),
-    ("local_editado", "case when p_partkey % 9 = 0 then '' else concat(upper(p_name), ' - ', p_brand) end"),
+    ("Local", f"case when p_partkey % 97 = 0 then null when p_partkey % 4 = 0 then upper({PLACE}) else {PLACE} end"),
+    ("local_editado", f"case when p_partkey % 9 = 0 then '' else {EDITED} end"),
     ("_ord", "p_partkey"),
 ]
 UNIT_SHEET_EXPRS = [
-    ("UNIDADE", "case when p_partkey % 3 = 1 then concat(upper(p_name), ' - ', p_brand) end"),
+    ("UNIDADE", f"case when p_partkey % 3 = 1 then concat(upper({PLACE}), ' - ', p_brand) end"),
     ("OPERA", "case when p_size % 2 = 0 then 'ndi sp' else 'NDI  RJ' end"),
     ("_ord", "p_partkey"),
 ]
