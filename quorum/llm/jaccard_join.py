@@ -56,6 +56,8 @@ SKETCH, SKETCH_ROW = 1 << 20, 1 << 15
 SKETCH_GROUP = 64
 #: N-grams in a block of candidates.
 BLOCK_GRAMS = 1 << 18
+#: Rows of an n-gram that are compared in one group before they are dealt over pairs of blocks.
+GROUP_ROWS = 4096
 #: Rounds of joining with leaders before all candidate pairs across components are joined.
 ROUNDS = 2
 #: Bits of the map of wanted ids; when it fills up, more sets than needed are made.
@@ -196,8 +198,8 @@ def parity(s: np.ndarray) -> bytes:
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(class_id, text, set_key) of the classes' own documents."""
-    return docs.join(classes.select("class_id", "set_key").hint("shuffle_hash"), F.col("doc_id") == F.col("class_id")).select("class_id", "text", "set_key")
+    """(class_id, text, set_key) of the classes' own documents, and of other texts under their ids."""
+    return docs.join(classes.select("class_id", "low", "set_key"), F.col("doc_id") == F.col("low")).select("class_id", "text", "set_key")
 
 
 def _prefixes(texts: DataFrame, shipped, words: int, percent: int) -> DataFrame:
@@ -225,17 +227,17 @@ def _prefixes(texts: DataFrame, shipped, words: int, percent: int) -> DataFrame:
 
 
 def _sequences(docs: DataFrame, classes: DataFrame, shipped, words: int) -> DataFrame:
-    """(class_id, set_key, grams): the whole ordered sets of the given classes, and of a few other rows.
+    """(low, set_key, grams): the whole ordered sets of the given classes by their document, and of a few other rows.
 
     The texts stay where they are: a bit map of the wanted ids, of fixed size, goes to them, and only
     the sets of ids in the map are made.  Joins by both columns find the right ones.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
-    bits = (classes.select(place("class_id").alias("p"))
+    bits = (classes.select(place("low").alias("p"))
             .groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
     # Buckets count from 1 and hold 32768 bits each; at most MAP_BITS / 32768 + 1 rows.
     wanted = docs.sparkSession.sparkContext.broadcast({r.bucket: bytes(r.bits) for r in bits})
-    schema = "class_id long, set_key binary, grams binary"
+    schema = "low long, set_key binary, grams binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, held = shipped.value, wanted.value
@@ -249,7 +251,7 @@ def _sequences(docs: DataFrame, classes: DataFrame, shipped, words: int) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                      pa.array([_ordered(s, ranks).tobytes() for s in sets], pa.binary())],
-                    ["class_id", "set_key", "grams"])
+                    ["low", "set_key", "grams"])
 
     p = place("doc_id")
     mapped = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", F.bitmap_bucket_number(p).alias("bucket"), F.bitmap_bit_position(p).alias("position")).mapInArrow(run, schema)
@@ -269,42 +271,55 @@ class PrefixTree:
             m = min(len(a), len(b))
             differ = np.flatnonzero(a[:m] != b[:m])
             self.shared.append(int(differ[0]) if len(differ) else m)
+        self.shared, self.sizes = np.array(self.shared), np.array([len(p) for p in self.paths])
 
     def linked(self, grams: np.ndarray, percent: int = PERCENT, step: int = 64) -> list[int]:
         """Ids of the sets that link with the set ``grams`` (ordered, rarest first)."""
-        n, found = len(grams), []
+        n, found, i = len(grams), [], 0
         overlaps = [0]  # at the depths known on the current path
-        for i, path in enumerate(self.paths):
-            m = len(path)
+        while i < len(self.paths):
+            path, m = self.paths[i], len(self.paths[i])
             del overlaps[self.shared[i] + 1 :]
-            if 100 * min(m, n) < percent * max(m, n):
-                continue
             least = int(needed(m, n, percent))
             while True:
                 depth, overlap = len(overlaps) - 1, overlaps[-1]
                 if depth >= m:
                     if overlap >= least:
                         found.append(self.ids[i])
+                    i += 1
                     break
                 # What the remaining lengths allow: the path's rest, and what of the set sorts after the path so far.
                 rest = n if depth == 0 else int(np.searchsorted(grams, path[depth - 1]))
                 if overlap + min(m - depth, rest) < least:
+                    i = self._after(i, depth, overlap, rest, n, percent)
                     break
                 part = path[depth : depth + step]
                 at = np.minimum(np.searchsorted(grams, part), n - 1)
                 overlaps += (overlap + np.cumsum(grams[at] == part)).tolist()
         return found
 
+    def _after(self, i: int, depth: int, overlap: int, rest: int, n: int, percent: int) -> int:
+        """The next path to look at when path ``i`` can't link from ``depth`` on.
+
+        The whole subtree there is left if none of its lengths allows a link: the spare overlap grows
+        with the length up to ``depth + rest``, then falls, so the nearest length there decides.
+        """
+        leaving = np.flatnonzero(self.shared[i + 1 :] < depth)
+        end = i + 1 + (int(leaving[0]) if len(leaving) else len(self.paths) - i - 1)
+        sizes = self.sizes[i:end]
+        best = min(max(depth + rest, int(sizes.min())), int(sizes.max()))
+        return end if overlap + min(best - depth, rest) < int(needed(best, n, percent)) else i + 1
+
 
 def _joined(pairs: DataFrame, classes: DataFrame, sequences: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b), those that link.  A repeated row only repeats a set, which changes no link."""
-    sized = pairs.join(classes.select(F.col("class_id").alias("b"), "set_key", "n"), "b")
+    sized = pairs.join(classes.select(F.col("class_id").alias("b"), "low", "set_key", "n"), "b")
     salts = sized.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("salts"))
-    members = sized.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.col("b").alias("class_id"), "set_key", F.lit(1).alias("order"))
-    heads = (members.select("a", "salt").distinct().join(classes.select(F.col("class_id").alias("a"), "set_key"), "a")
-             .select("a", "salt", F.col("a").alias("class_id"), "set_key", F.lit(0).alias("order")))
+    members = sized.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.col("b").alias("class_id"), "low", "set_key", F.lit(1).alias("order"))
+    heads = (members.select("a", "salt").distinct().join(classes.select(F.col("class_id").alias("a"), "low", "set_key"), "a")
+             .select("a", "salt", F.col("a").alias("class_id"), "low", "set_key", F.lit(0).alias("order")))
     blocks = (
-        heads.unionByName(members).join(sequences, ["class_id", "set_key"])
+        heads.unionByName(members).join(sequences, ["low", "set_key"])
         .withColumn("block", F.concat_ws("/", "a", "salt"))
         .repartition("block").sortWithinPartitions("block", "order").select("block", "class_id", "grams")
     )
@@ -327,7 +342,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shipped, word
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(class_id, component): the smallest id that links reach, for all ids in ``links`` (a, b)."""
+    """(class_id, component): the smallest number that links reach, for all in ``links`` (a, b)."""
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     state = written(both.groupBy(F.col("a").alias("class_id")).agg(F.min("b").alias("m"))
                     .select("class_id", F.least("class_id", "m").alias("component")), "components")
@@ -342,9 +357,29 @@ def components(links: DataFrame) -> DataFrame:
         state = state.select("class_id", "component")
 
 
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """The rows in groups of at most some ``GROUP_ROWS`` * 2, in which every two rows of an n-gram meet once.
+
+    An n-gram with more rows is dealt into blocks by class, and each pair of blocks is a group of its
+    own (``apart``: only rows of different ``side`` are compared there).
+    """
+    blocks = rows.groupBy("gram").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("blocks")).filter("blocks > 1")
+    own, other = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"), F.col("other")
+    dealt = rows.join(blocks, "gram", "left").withColumn("own", own).withColumn(
+        "other", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))))
+    low, high = F.least("own", other), F.greatest("own", other)
+    several = F.col("blocks").isNotNull()
+    # Groups with one hash by chance only give more candidates, which are verified like all others.
+    return dealt.withColumns({
+        "apart": F.coalesce(several & (low != high), F.lit(False)), "side": F.coalesce(several & (F.col("own") == high), F.lit(False)),
+        "gram": F.when(several, F.xxhash64("gram", low, high)).otherwise(F.col("gram"))}).drop("blocks", "own", "other")
+
+
 def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
     """Candidate pairs (a, b) of different components among rows (gram, class_id, n, pos, component, parity).
 
+    A class without a parity map is compared without that test.
+
     At the first n-gram that two linked sets share, their positions add up to no more than the
     n-grams in which they may differ, and their parity maps never differ in more bits than that.
 
@@ -361,9 +396,10 @@ def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
             a, b = i, i + d
             na, nb = x["n"][a].astype(np.int64), x["n"][b].astype(np.int64)
             most = na + nb - 2 * needed(na, nb, percent)
-            fits = (root[label[a]] != root[label[b]]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["pos"][a] + x["pos"][b] <= most)
+            fits = (root[label[a]] != root[label[b]]) & (~(x["apart"][a] & x["apart"][b]) | (x["side"][a] != x["side"][b])) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["pos"][a] + x["pos"][b] <= most)
             a, b, most = a[fits], b[fits], most[fits]
             near = np.bitwise_count(x["parity"][a] ^ x["parity"][b]).sum(axis=1) <= (most * 3 // 4 if forest else most)
+            near |= ~(x["sure"][a] & x["sure"][b])
             if forest and near.any():
                 near = connecting(root, label[a], label[b], near)
             if near.any():
@@ -389,7 +425,7 @@ def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
 
     def column(b: pa.RecordBatch, name: str) -> np.ndarray:
         c = b.column(name)
-        return np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), PARITY_WORDS) if name == "parity" else c.to_numpy()
+        return np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), PARITY_WORDS) if name == "parity" else c.to_numpy(zero_copy_only=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
@@ -402,27 +438,31 @@ def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
         if held is not None:
             yield from pairs(held)
 
-    return rows.repartition("gram").sortWithinPartitions("gram", "n", "class_id").mapInArrow(run, "a long, b long").distinct()
+    maps = rows.withColumns({"sure": F.col("parity").isNotNull(), "parity": F.coalesce("parity", F.lit(bytes(8 * PARITY_WORDS)))})
+    return _block_pairs(maps).repartition("gram").sortWithinPartitions("gram", "n", "class_id").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, forest: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, forest: bool = True) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
-    ``forest`` adds a round that connects components by few pairs, for thresholds at which large
-    groups link densely; the result is the same.
+    ``forest`` adds a round that connects components by few pairs, so that large groups that link
+    densely don't come with all their pairs; the result is the same without.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     made = written(_sets(docs, words), "sets")
     rows = made.filter("part is null").select("doc_id", "n", "set_key")
     shipped = spark.sparkContext.broadcast(_ranks(made))  # one byte per counter
-    classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.min("n").alias("n")), "classes")
+    # A class is named by a number of its own, as one id may have several texts.
+    classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"), F.min("n").alias("n"))
+                      .withColumn("class_id", F.monotonically_increasing_id()), "classes")
     texts = _texts_of(docs, classes)
     prefixes = written(_prefixes(texts, shipped, words, percent), "prefixes")
     shared = prefixes.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1").select("gram")
     light = written(prefixes.drop("parity").join(shared, "gram"), "shared")
     # A repeated row of a class's document has the same map.
-    parities = prefixes.filter("pos = 0").groupBy("class_id").agg(F.first("parity").alias("parity"))
+    maps = prefixes.filter("pos = 0").groupBy("class_id").agg(F.min("parity").alias("parity"), F.max("parity").alias("other"))
+    parities = maps.select("class_id", F.when(F.col("parity") == F.col("other"), F.col("parity")).alias("parity"))
     links = light.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).filter("false")
     current = light.withColumn("component", F.col("class_id"))
     for step in range(ROUNDS):
@@ -442,10 +482,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = written(links.unionByName(found), "all_links")
         current = _labelled(light, components(links))
     links = links.unionByName(_linked(docs, classes, _across(current.join(parities, "class_id"), percent), shipped, words, percent))
-    final = components(links).withColumnRenamed("component", "found")
+    final = written(components(links).join(classes.select("class_id", "low"), "class_id"), "components_of_classes")
+    least = final.groupBy("component").agg(F.min("low").alias("found"))
+    named = final.drop("low").join(least, "component").drop("component")
     return (
-        rows.join(classes.drop("n"), "set_key", "left").join(final, "class_id", "left")
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("found", "class_id", "doc_id").alias("c"))
+        rows.join(classes.drop("n"), "set_key", "left").join(named, "class_id", "left")
+        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("found", "low", "doc_id").alias("c"))
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("c")).alias("component_id"))
     )
 

@@ -105,12 +105,13 @@ def document_vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages and their prototypes, from documents that aren't held out."""
-    can = docs.filter(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)) & F.col(text_col).isNotNull())
+    # Own names, so that other columns can have any.
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    can = rows.filter(F.col("lang").isNotNull() & ~held_out(F.col("id")) & F.col("text").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (can.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-              .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("id").distinct())
+    chosen = can.select("id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("id").distinct()
     # Bounded by the documented number per language.
-    sample = can.join(F.broadcast(chosen), can[id_col] == F.col("id"), "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sample = can.join(F.broadcast(chosen), "id", "left_semi").select("lang", "text")
 
     def bundle(t: pa.Table) -> pa.Table:
         texts, total = t.column("text").to_pylist(), np.zeros(DIMENSIONS)
@@ -118,10 +119,10 @@ def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pe
             total += document_vectors(texts[at : at + SLICE_ROWS])[0].sum(axis=0, dtype=np.float64)
         return pa.table({"lang": [t.column("lang")[0].as_py()], "vector": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
-    rows = sorted(sample.groupBy("lang").applyInArrow(bundle, "lang string, vector array<double>").collect())
-    rows = [r for r in rows if any(r.vector)]
-    prototypes = np.array([r.vector for r in rows]).reshape(len(rows), DIMENSIONS)
-    return [r.lang for r in rows], prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12)
+    sums = sorted(sample.groupBy("lang").applyInArrow(bundle, "lang string, vector array<double>").collect())
+    sums = [r for r in sums if any(r.vector)]
+    prototypes = np.array([r.vector for r in sums]).reshape(len(sums), DIMENSIONS)
+    return [r.lang for r in sums], prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12)
 
 
 def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, text_col="text") -> DataFrame:

@@ -19,7 +19,7 @@ phone   | digits after the country code                        | country code, l
 date    | the day within 1800-01-01 to 2199-12-31 (400 years)  | layout
 
 Only DataFrame functions are used.  A text is split at its matches and joined
-again, so there is no shuffle; the key is a parameter.
+again, so there is no shuffle; the key is a parameter or a session setting.
 
 Defined results: a null text stays null, an empty one empty, without values; the
 other columns, null or not, are left as they are, but for one named like
@@ -28,17 +28,21 @@ other columns, null or not, are left as they are, but for one named like
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorum.llm.common import fresh
 
-#: Used where no key is given; a production run passes its own secret.
-KEY = "quorum"
+#: The session setting that holds the key where a call gives none.
+KEY_SETTING = "spark.quorum.pii.key"
 ROUNDS = 8
+#: Steps along a permutation's cycle until a number is sound; nine of ten numbers are.
+WALK = 64
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
-SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
+SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"
 #: Characters of an account number by country, so that a word or year after it is not read as its last group.
 ACCOUNT_CHARS = {
     15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
@@ -200,10 +204,19 @@ def _date(m: Column, key: str) -> Column:
     return _let(F.get(F.filter(reads, lambda r: r["day"].isNotNull()), F.lit(0)), lambda r: F.when(r.isNotNull(), made(r)))
 
 
+def _sound_social(digits: Column) -> Column:
+    number = F.array_join(digits, "")
+    area = F.substring(number, 1, 3)
+    return ~area.isin("000", "666") & (area < "900") & (F.substring(number, 4, 2) != "00") & (F.substring(number, 6, 4) != "0000")
+
+
 def _social(m: Column, key: str) -> Column:
-    area, group, serial = F.substring(m, 1, 3), F.substring(m, 5, 2), F.substring(m, 8, 4)
-    sound = ~area.isin("000", "666") & (area < "900") & (group != "00") & (serial != "0000")
-    return F.when(sound, _refilled(m, feistel(_digits(m), key, "social", (DIGITS,)), "[0-9]"))
+    """Permuted until the number passes the test again, which keeps it a permutation of the sound numbers."""
+    def step(digits, i):
+        return F.when((i == 1) | ~_sound_social(digits), feistel(digits, key, "social", (DIGITS,))).otherwise(digits)
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), _digits(m), step)
+    return F.when(_sound_social(_digits(m)), _refilled(m, walked, "[0-9]"))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -232,14 +245,25 @@ def _named(kind: str, made: Column) -> Column:
     return _let(made, lambda new: F.when(new.isNotNull(), F.struct(F.lit(kind).alias("kind"), new.alias("new"))))
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def session_key(spark: SparkSession) -> str:
+    """The key of ``KEY_SETTING``; where it is unset a random one, kept for the session.
+
+    Pseudonyms can only be linked over several runs, or undone, with a key that the caller set.
+    """
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING)
+
+
+def pseudonym(m: Column, key: str) -> Column:
     """(kind, new): the first kind whose format the match has and whose test it passes; null if none."""
     return F.coalesce(*(
         _named(kind, F.when(m.rlike(f"^(?:{p})$"), MAKERS[kind](m, key))) for kind, p in KINDS))
 
 
-def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = KEY, found_col: str = "n_replaced") -> DataFrame:
-    """``docs`` with pseudonyms in the text and their number in ``found_col``."""
+def pseudonymised(docs: DataFrame, text_col: str = "text", key: str | None = None, found_col: str = "n_replaced") -> DataFrame:
+    """``docs`` with pseudonyms in the text and their number in ``found_col``; without ``key``: :func:`session_key`."""
+    key = key or session_key(docs.sparkSession)
     text = F.col(text_col)
     made, parts = fresh(docs, "pseudonyms"), fresh(docs, "parts")
     # Every kind has a digit or an @, so other texts are not searched further.

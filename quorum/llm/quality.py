@@ -153,9 +153,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     for label in (0, 1):
         ids = ids.unionByName(known.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_label))
     # Bounded by the documented number of each label.
-    text = F.col(text_col).cast("binary")
-    sample = (docs.filter(F.octet_length(text) <= LEARN_BYTES).join(F.broadcast(ids), docs[id_col] == F.col("id"))
-              .select("id", "label", text.alias("text")).dropDuplicates(["id"]).limit(2 * per_label))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    sample = (texts.filter(F.octet_length("text") <= LEARN_BYTES).join(F.broadcast(ids), "id")
+              .select("id", "label", "text").dropDuplicates(["id"]).limit(2 * per_label))
     rows = sorted(sample.collect(), key=lambda r: r["id"])
     total = sum(counts.values())
     return learn([bytes(r["text"]) for r in rows], [r["label"] for r in rows], counts.get(1, 0) / total if total else 0.5)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import SPACE, written
+from quorum.llm.common import SPACE, fresh, written
 
 MIN_WORDS = 8
 #: Tiles of a text; each holds its delimiter and the white space after it.
@@ -118,13 +118,15 @@ def removed(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS,
 
 
 def cleaned(docs: DataFrame, spans: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """``docs`` without the removed spans; ``removed_spans`` keeps their original offsets.
+    """``docs`` without the removed spans; ``removed_spans`` (replaced if there) keeps their original offsets.
 
     A document's spans are at most its units, so they fit in its row.
     """
-    per = (spans.select(F.col("doc_id").alias("_id"), F.struct("start", "length").alias("s")).distinct()
-           .groupBy("_id").agg(F.array_sort(F.collect_list("s")).alias("removed_spans")))
-    joined = docs.join(per, docs[id_col].cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+    own = fresh(docs, "_id")
+    per = (spans.select(F.col("doc_id").alias(own), F.struct("start", "length").alias("s")).distinct()
+           .groupBy(own).agg(F.array_sort(F.collect_list("s")).alias("removed_spans")))
+    rest = docs.drop(*(c for c in docs.columns if c.lower() == "removed_spans"))
+    joined = rest.join(per, rest[id_col].cast("long").eqNullSafe(F.col(own)), "left").drop(own)
     names = joined.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

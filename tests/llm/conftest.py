@@ -14,9 +14,10 @@ def odd(spark):
         (10, "Ünïcödé 𝒳 ▁   漢字 <|endoftext|> </s>[INST] ok [/INST]"), (10, "another text of the same id"),
         (11, "repeated row"), (11, "repeated row"), (None, "no id"), (12, "12345 !!! ???"), (13, "\x00\x01 control"),
     ]
-    rows = [(i, t, "en" if t and k % 2 else None, None, None, k, f"x{k}", 0.5, "y") for k, (i, t) in enumerate(texts)]
+    rows = [(i, t, "en" if t and k % 2 else None, None, None, k, f"x{k}", 0.5, "y", k, 1, "_", None) for k, (i, t) in enumerate(texts)]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, n_chars long, row int, keep string, score double, kept string")
+        rows, "doc_id long, text string, lang string, source string, n_chars long, row int, keep string, score double, kept string, "
+              "id int, label int, _id string, removed_spans string")
 
 
 @pytest.fixture(scope="session")

@@ -69,7 +69,21 @@ def test_against_all_pairs(spark, seed, words, percent):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(df, words=words, percent=percent) == brute(rows, words, percent)
     if percent == 80:
-        assert got(df, words=words, percent=percent, forest=True) == brute(rows, words, percent)
+        assert got(df, words=words, percent=percent, forest=False) == brute(rows, words, percent)
+
+
+def test_hot_grams_are_dealt_over_block_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 7)
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(df, words=3, percent=90, forest=False) == brute(rows, 3, 90)
+    assert got(df, words=5, percent=80) == brute(rows, 5, 80)
+
+
+def test_repeated_ids_with_two_texts(spark):
+    rows = [(k // 2, t) for k, (_, t) in enumerate(corpus(6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(df) == brute(rows, 3, 90)
 
 
 def test_odd_rows(odd, empty):

@@ -20,7 +20,7 @@ CASES = {
 LEFT_ALONE = ["4111111111111112", "300.1.1.1", "1.2.3.4.5", "2023-02-29", "000-12-3456", "DE89370400440532013001", "Version 2.0.", "a@b", "12", "2200-01-01"]
 
 
-def one(spark, values, key=pii.KEY):
+def one(spark, values, key="k"):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     return {r.v: (r.p.kind, r.p.new) if r.p else None for r in df.select("v", pii.pseudonym(F.col("v"), key).alias("p")).collect()}
 
@@ -84,7 +84,7 @@ def test_permutations_have_no_collision(spark):
     social = spark.range(5000).select(F.concat(F.lit("123-45-"), F.lpad((F.col("id") + 1).cast("string"), 4, "0")).alias("v"))
     ips = spark.range(5000).select(F.concat(F.lit("10.0."), F.floor(F.col("id") / 256), F.lit("."), F.col("id") % 256).alias("v"))
     for df in (days, social, ips):
-        new = df.select(pii.pseudonym(F.col("v"))["new"].alias("n"))
+        new = df.select(pii.pseudonym(F.col("v"), "k")["new"].alias("n"))
         assert new.filter("n is null").count() == 0 and new.distinct().count() == 5000
 
 
@@ -103,7 +103,7 @@ def test_rest_of_the_text_is_untouched(spark):
     values = [v for vs in CASES.values() for v in vs]
     text = "start, " + "; then ".join(values) + " end\n\n" + " | ".join(LEFT_ALONE)
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    got, each = pii.pseudonymised(df).first(), one(spark, values)
+    got, each = pii.pseudonymised(df, key="k").first(), one(spark, values)
     for v in values:
         text = text.replace(f" {v};", f" {each[v][1]};").replace(f" {v} end", f" {each[v][1]} end")
     assert got.text == text and got.n_replaced == len(values)
@@ -135,7 +135,7 @@ def test_accounts_before_capital_words_and_years(spark, number, after):
     check = 98 - int("".join(str(int(c, 36)) for c in flat[4:] + flat[:2] + "00")) % 97
     number = f"{number[:2]}{check:02d}{number[4:]}"
     df = spark.createDataFrame([(1, f"pay {number}{after} now")], "doc_id long, text string")
-    got, alone = pii.pseudonymised(df).first(), one(spark, [number])[number]
+    got, alone = pii.pseudonymised(df, key="k").first(), one(spark, [number])[number]
     assert alone[0] == "account" and alone[1] != number
     assert got.text == f"pay {alone[1]}{after} now" and got.n_replaced == 1
 
@@ -143,3 +143,30 @@ def test_accounts_before_capital_words_and_years(spark, number, after):
 def test_account_after_account(spark):
     df = spark.createDataFrame([(1, "BE68 5390 0754 7034 GB82 WEST 1234 5698 7654 32 4111 1111 1111 1111")], "doc_id long, text string")
     assert pii.pseudonymised(df).first().n_replaced == 3
+
+
+def test_secrets_of_any_length(spark):
+    values = ["a1" * 16, "0123456789abcdef" * 4 + "f", "ABCDEF01" * 16, "c0ffee" * 4000]
+    df = spark.createDataFrame([(f"see {v} here",) for v in values] + [("short " + "ab" * 15,)], "text string")
+    got = [r.text for r in pii.pseudonymised(df, key="k").collect()]
+    for v, t in zip(values, got):
+        assert v not in t and len(t) == len(v) + 9 and t.startswith("see ") and t.endswith(" here")
+    assert got[-1] == "short " + "ab" * 15
+
+
+def test_social_numbers_stay_sound(spark):
+    values = [f"{a:03d}-{g:02d}-{n:04d}" for a in (1, 665, 667, 899) for g in (1, 50, 99) for n in range(1, 40)]
+    got = one(spark, values)
+    new = [got[v][1] for v in values]
+    assert all(got[v][0] == "social" for v in values) and len(set(new)) == len(values)
+    assert all(v[:3] not in ("000", "666") and v[:3] < "900" and v[4:6] != "00" and v[7:] != "0000" for v in new)
+
+
+def test_session_key(spark):
+    df = spark.createDataFrame([("mail anna.b@example.com",)], "text string")
+    old = spark.conf.get(pii.KEY_SETTING, None)
+    spark.conf.unset(pii.KEY_SETTING)
+    first, again = (pii.pseudonymised(df).first().text for _ in range(2))
+    spark.conf.set(pii.KEY_SETTING, "other")
+    assert first == again != pii.pseudonymised(df).first().text
+    spark.conf.set(pii.KEY_SETTING, old) if old else spark.conf.unset(pii.KEY_SETTING)
