@@ -65,6 +65,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bit_map(df: DataFrame, place: Column, bits: int) -> bytes:
+    """A map of ``bits`` bits, least significant first, with those set that ``place`` (0 to bits - 1) names in any row."""
+    at = place + 1  # the built-in numbers buckets and positions from 1
+    # Partial maps would be as many as tasks; the places themselves are smaller, and evenly spread by their callers.
+    rows = (df.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("position")).repartition("bucket")
+            .groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")))
+    out = bytearray(bits // 8)
+    for r in rows.toLocalIterator():  # at most one row per 32,768 bits
+        out[(r.bucket - 1) * 4096 : (r.bucket - 1) * 4096 + len(r.bits)] = r.bits
+    return bytes(out)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with the package ready for what is done to it."""
     ship_package(spark)

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import fresh, runs, written
+from quorum.llm.common import bit_map, fresh, runs, written
 
 WORDS = 3
 PERCENT = 90
@@ -197,65 +197,55 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def _texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(class_id, text, set_key) of the classes' own documents, and of other texts under their ids."""
-    return docs.join(classes.select("class_id", "low", "set_key"), F.col("doc_id") == F.col("low")).select("class_id", "text", "set_key")
-
-
-def _prefixes(texts: DataFrame, shipped, words: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, classes: DataFrame, shipped, words: int, percent: int) -> DataFrame:
     """(gram, class_id, n, pos, parity): the first n-grams of each class's ordered set; the parity map at pos 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shipped.value
         for b in _slices(batches):
-            grams, ids, sizes, places, maps = [], [], [], [], []
-            for c, t, k in zip(*(b.column(i).to_pylist() for i in range(3))):
-                s = gram_set(t, words)
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != k:
-                    continue  # another text under the same id
-                p = prefix_length(len(s), percent)
-                grams.append(_ordered(s, ranks)[:p])
-                ids.append(np.full(p, c, np.int64))
-                sizes.append(np.full(p, len(s), np.int32))
-                places.append(np.arange(p, dtype=np.int32))
-                maps += [parity(s), *[None] * (p - 1)]
-            if grams:
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(np.concatenate(x)) for x in ([g.view(np.int64) for g in grams], ids, sizes, places)), pa.array(maps, pa.binary())],
-                    ["gram", "class_id", "n", "pos", "parity"])
+            if not b.num_rows:
+                continue
+            grams = [np.frombuffer(g, np.int64) for g in b.column("grams").to_pylist()]
+            lengths = np.array([len(g) for g in grams])
+            place = np.concatenate([np.arange(p, dtype=np.int32) for p in lengths])
+            own = np.repeat(np.arange(b.num_rows), lengths)
+            maps = b.column("parity").take(pa.array(own, mask=place > 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(grams)), pa.array(b.column("class_id").to_numpy()[own]), pa.array(b.column("n").to_numpy()[own]), pa.array(place), maps],
+                ["gram", "class_id", "n", "pos", "parity"])
+
+    heads = _sequences(docs, classes, shipped, words, percent)
+    named = heads.join(classes.select("class_id", "low", "set_key"), ["low", "set_key"]).select("class_id", "n", "grams", "parity")
+    return named.mapInArrow(run, "gram long, class_id long, n int, pos int, parity binary")
 
-    return texts.mapInArrow(run, "gram long, class_id long, n int, pos int, parity binary")
 
+def _sequences(docs: DataFrame, classes: DataFrame, shipped, words: int, percent: int | None = None) -> DataFrame:
+    """(low, set_key, n, grams, parity): the ordered sets of the given classes by their document, and of a few other rows.
 
-def _sequences(docs: DataFrame, classes: DataFrame, shipped, words: int) -> DataFrame:
-    """(low, set_key, grams): the whole ordered sets of the given classes by their document, and of a few other rows.
+    The sets are whole and have no parity map; with ``percent``, they are the first n-grams that links
+    of so many percent need, with the map of the whole set.
 
     The texts stay where they are: a bit map of the wanted ids, of fixed size, goes to them, and only
     the sets of ids in the map are made.  Joins by both columns find the right ones.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS))
-    bits = (classes.select(place("low").alias("p"))
-            .groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
-    # Buckets count from 1 and hold 32768 bits each; at most MAP_BITS / 32768 + 1 rows.
-    wanted = docs.sparkSession.sparkContext.broadcast({r.bucket: bytes(r.bits) for r in bits})
-    schema = "low long, set_key binary, grams binary"
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_map(classes, place("low"), MAP_BITS))
+    names = ["low", "set_key", "n", "grams", "parity"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, held = shipped.value, wanted.value
+        ranks, held = shipped.value, np.frombuffer(wanted.value, np.uint8)
         for b in batches:
-            position = b.column("position").to_numpy()
-            bucket, bit = b.column("bucket").to_numpy(), position
-            keep = [i for i, (u, v) in enumerate(zip(bucket.tolist(), bit.tolist())) if (m := held.get(u)) is not None and m[v >> 3] >> (v & 7) & 1]
+            bit = b.column("place").to_numpy()
+            keep = np.flatnonzero(held[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
             for at in range(0, len(keep), SLICE_ROWS):
-                part = b.take(pa.array(keep[at : at + SLICE_ROWS], pa.int64()))
+                part = b.take(pa.array(keep[at : at + SLICE_ROWS]))
                 sets = [gram_set(t, words) for t in part.column("text").to_pylist()]
+                ordered = [_ordered(s, ranks)[: prefix_length(len(s), percent) if percent else len(s)].tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                     pa.array([_ordered(s, ranks).tobytes() for s in sets], pa.binary())],
-                    ["low", "set_key", "grams"])
+                     pa.array([len(s) for s in sets], pa.int32()), pa.array(ordered, pa.binary()),
+                     pa.array([parity(s) if percent else None for s in sets], pa.binary())], names)
 
-    p = place("doc_id")
-    mapped = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", F.bitmap_bucket_number(p).alias("bucket"), F.bitmap_bit_position(p).alias("position")).mapInArrow(run, schema)
-    return mapped
+    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", place("doc_id").alias("place"))
+    return rows.mapInArrow(run, "low long, set_key binary, n int, grams binary, parity binary")
 
 
 class PrefixTree:
@@ -319,7 +309,7 @@ def _joined(pairs: DataFrame, classes: DataFrame, sequences: DataFrame, percent:
     heads = (members.select("a", "salt").distinct().join(classes.select(F.col("class_id").alias("a"), "low", "set_key"), "a")
              .select("a", "salt", F.col("a").alias("class_id"), "low", "set_key", F.lit(0).alias("order")))
     blocks = (
-        heads.unionByName(members).join(sequences, ["low", "set_key"])
+        heads.unionByName(members).join(sequences.select("low", "set_key", "grams"), ["low", "set_key"])
         .withColumn("block", F.concat_ws("/", "a", "salt"))
         .repartition("block").sortWithinPartitions("block", "order").select("block", "class_id", "grams")
     )
@@ -456,8 +446,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A class is named by a number of its own, as one id may have several texts.
     classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("low"), F.min("n").alias("n"))
                       .withColumn("class_id", F.monotonically_increasing_id()), "classes")
-    texts = _texts_of(docs, classes)
-    prefixes = written(_prefixes(texts, shipped, words, percent), "prefixes")
+    prefixes = written(_prefixes(docs, classes, shipped, words, percent), "prefixes")
     shared = prefixes.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1").select("gram")
     light = written(prefixes.drop("parity").join(shared, "gram"), "shared")
     # A repeated row of a class's document has the same map.

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import SPACE, fresh, written
+from quorum.llm.common import SPACE, bit_map, fresh, written
 
 MIN_WORDS = 8
 #: Tiles of a text; each holds its delimiter and the white space after it.
@@ -141,24 +141,11 @@ def digests(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS,
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, DIGESTS)
 
 
-def _map_of(repeated: DataFrame) -> np.ndarray:
-    """The bit map, as bytes, of the given digests: one bit of ``MAP_BITS`` by the low bits of each ``h1``."""
-    place = F.col("h1").bitwiseAND(F.lit(MAP_BITS - 1)) + 1
-    # Partial maps would be as many as tasks; the places themselves are smaller, and evenly spread.
-    rows = (repeated.select(place.alias("p")).select("p", F.bitmap_bucket_number("p").alias("bucket")).repartition("bucket")
-            .groupBy("bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")))
-    out = np.zeros(MAP_BITS // 8, np.uint8)
-    for r in rows.toLocalIterator():
-        part = np.frombuffer(bytes(r.bits), np.uint8)
-        out[(r.bucket - 1) * 4096 : (r.bucket - 1) * 4096 + len(part)] = part
-    return out
-
-
 def units(docs: DataFrame, repeated: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS, id_col="doc_id", text_col="text") -> DataFrame:
     """Of the rows of ``digests`` those of ``repeated`` (h1, h2) and few others: whether it is the
     first of its kind in its document, and the units that go with it."""
     tile = TILES[unit]
-    shipped = docs.sparkSession.sparkContext.broadcast(_map_of(repeated).tobytes())  # of fixed size
+    shipped = docs.sparkSession.sparkContext.broadcast(bit_map(repeated, F.col("h1").bitwiseAND(F.lit(MAP_BITS - 1)), MAP_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = re.compile(tile)
