@@ -62,8 +62,10 @@ GROUP_ROWS = 4096
 ROUNDS = 2
 #: Bits of the map of wanted ids; when it fills up, more sets than needed are made.
 MAP_BITS = 1 << 25
-#: 64-bit words of a set's parity map.
-PARITY_WORDS = 16
+#: 64-bit words of a set's parity map at most, and bits of it per n-gram in which linked sets may differ.
+PARITY_WORDS, PARITY_BITS = 16, 4
+#: N-grams with more rows take part in the round that connects components by few pairs.
+FOREST_ROWS = 16
 SLICE_ROWS = 256
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -191,12 +193,32 @@ def _ordered(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.sort(ranks[(s % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | s >> np.uint64(8))
 
 
-def parity(s: np.ndarray) -> bytes:
-    """A bit map in which every n-gram flips one bit: two maps differ in at most as many bits as their sets do in n-grams."""
-    bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+def parity(s: np.ndarray, percent: int = PERCENT) -> bytes:
+    """A bit map in which every n-gram flips one bit: two maps differ in at most as many bits as their sets do in n-grams.
+
+    Maps have 64 bits times a power of two, by the size of the set.  Half of a map laid over the other
+    half by exclusive or is the map of half the size.
+    """
+    most, words = 2 * (len(s) - int(needed(len(s), len(s), percent))), 1
+    while words < PARITY_WORDS and 64 * words < PARITY_BITS * most:
+        words *= 2
+    bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def differing(maps: np.ndarray, words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of bits in which the maps of rows ``a`` and ``b`` differ, the larger of two folded to the other's size.
+
+    ``maps`` has ``PARITY_WORDS`` columns, zero beyond the ``words`` of a row.
+    """
+    out, width = np.zeros(len(a), np.int64), np.minimum(words[a], words[b])
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        apart = (maps[a[at]] ^ maps[b[at]]).reshape(len(at), PARITY_WORDS // w, w)
+        out[at] = np.bitwise_count(np.bitwise_xor.reduce(apart, axis=1)).sum(axis=1)
+    return out
+
+
 def _prefixes(docs: DataFrame, classes: DataFrame, shipped, words: int, percent: int) -> DataFrame:
     """(gram, class_id, n, pos, parity): the first n-grams of each class's ordered set; the parity map at pos 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +264,7 @@ def _sequences(docs: DataFrame, classes: DataFrame, shipped, words: int, percent
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                      pa.array([len(s) for s in sets], pa.int32()), pa.array(ordered, pa.binary()),
-                     pa.array([parity(s) if percent else None for s in sets], pa.binary())], names)
+                     pa.array([parity(s, percent) if percent else None for s in sets], pa.binary())], names)
 
     rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", place("doc_id").alias("place"))
     return rows.mapInArrow(run, "low long, set_key binary, n int, grams binary, parity binary")
@@ -353,7 +375,7 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     An n-gram with more rows is dealt into blocks by class, and each pair of blocks is a group of its
     own (``apart``: only rows of different ``side`` are compared there).
     """
-    blocks = rows.groupBy("gram").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("blocks")).filter("blocks > 1")
+    blocks = written(rows.groupBy("gram").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("blocks")).filter("blocks > 1"), "blocks")
     own, other = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"), F.col("other")
     dealt = rows.join(blocks, "gram", "left").withColumn("own", own).withColumn(
         "other", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))))
@@ -365,16 +387,17 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
         "gram": F.when(several, F.xxhash64("gram", low, high)).otherwise(F.col("gram"))}).drop("blocks", "own", "other")
 
 
-def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
-    """Candidate pairs (a, b) of different components among rows (gram, class_id, n, pos, component, parity).
+def _across(rows: DataFrame, parities: DataFrame, percent: int, forest: bool = False) -> DataFrame:
+    """Candidate pairs (a, b) of different components among rows (gram, class_id, n, pos, component).
 
-    A class without a parity map is compared without that test.
+    ``parities`` (class_id, parity) are the classes' maps; one without a map is compared without that test.
 
     At the first n-gram that two linked sets share, their positions add up to no more than the
     n-grams in which they may differ, and their parity maps never differ in more bits than that.
 
     With ``forest`` a task leaves out pairs whose components it has connected already, and pairs whose
     maps are not well inside the bound: few pairs that nearly always link, for a round before all are joined.
+    Only n-grams with more than ``FOREST_ROWS`` rows are looked at then, as others have few pairs in any case.
     """
     def pairs(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         size = len(x["gram"])
@@ -388,7 +411,7 @@ def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
             most = na + nb - 2 * needed(na, nb, percent)
             fits = (root[label[a]] != root[label[b]]) & (~(x["apart"][a] & x["apart"][b]) | (x["side"][a] != x["side"][b])) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (x["pos"][a] + x["pos"][b] <= most)
             a, b, most = a[fits], b[fits], most[fits]
-            near = np.bitwise_count(x["parity"][a] ^ x["parity"][b]).sum(axis=1) <= (most * 3 // 4 if forest else most)
+            near = differing(x["parity"], x["words"], a, b) <= (most * 3 // 4 if forest else most)
             near |= ~(x["sure"][a] & x["sure"][b])
             if forest and near.any():
                 near = connecting(root, label[a], label[b], near)
@@ -413,14 +436,16 @@ def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
             root[:] = root[root]
         return kept
 
-    def column(b: pa.RecordBatch, name: str) -> np.ndarray:
-        c = b.column(name)
-        return np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), PARITY_WORDS) if name == "parity" else c.to_numpy(zero_copy_only=False)
+    def columns(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        maps = b.column("parity").to_pylist()
+        padded = np.frombuffer(b"".join(m.ljust(8 * PARITY_WORDS, b"\0") for m in maps), np.uint64).reshape(len(maps), PARITY_WORDS)
+        plain = {n: b.column(n).to_numpy(zero_copy_only=False) for n in b.schema.names if n != "parity"}
+        return plain | {"parity": padded, "words": np.array([len(m) // 8 for m in maps], np.int64)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for b in batches:
-            new = {n: column(b, n) for n in b.schema.names}
+            new = columns(b)
             held = new if held is None else {n: np.concatenate((held[n], new[n])) for n in new}
             cut = int(np.searchsorted(held["gram"], held["gram"][-1])) if len(held["gram"]) else 0
             yield from pairs({n: v[:cut] for n, v in held.items()})
@@ -428,8 +453,10 @@ def _across(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
         if held is not None:
             yield from pairs(held)
 
-    maps = rows.withColumns({"sure": F.col("parity").isNotNull(), "parity": F.coalesce("parity", F.lit(bytes(8 * PARITY_WORDS)))})
-    return _block_pairs(maps).repartition("gram").sortWithinPartitions("gram", "n", "class_id").mapInArrow(run, "a long, b long").distinct()
+    if forest:
+        rows = written(rows.join(rows.groupBy("gram").count().filter(F.col("count") > FOREST_ROWS).select("gram"), "gram"), "frequent")
+    maps = _block_pairs(rows).join(parities, "class_id").withColumns({"sure": F.col("parity").isNotNull(), "parity": F.coalesce("parity", F.lit(bytes(8)))})
+    return maps.repartition("gram").sortWithinPartitions("gram", "n", "class_id").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, forest: bool = True) -> DataFrame:
@@ -451,7 +478,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     light = written(prefixes.drop("parity").join(shared, "gram"), "shared")
     # A repeated row of a class's document has the same map.
     maps = prefixes.filter("pos = 0").groupBy("class_id").agg(F.min("parity").alias("parity"), F.max("parity").alias("other"))
-    parities = maps.select("class_id", F.when(F.col("parity") == F.col("other"), F.col("parity")).alias("parity"))
+    parities = written(maps.select("class_id", F.when(F.col("parity") == F.col("other"), F.col("parity")).alias("parity")), "parities")
     links = light.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).filter("false")
     current = light.withColumn("component", F.col("class_id"))
     for step in range(ROUNDS):
@@ -467,10 +494,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = written(links.unionByName(found), "all_links")
         current = _labelled(light, components(links))
     if forest:
-        found = _linked(docs, classes, _across(current.join(parities, "class_id"), percent, forest=True), shipped, words, percent)
+        found = _linked(docs, classes, _across(current, parities, percent, forest=True), shipped, words, percent)
         links = written(links.unionByName(found), "all_links")
         current = _labelled(light, components(links))
-    links = links.unionByName(_linked(docs, classes, _across(current.join(parities, "class_id"), percent), shipped, words, percent))
+    links = links.unionByName(_linked(docs, classes, _across(current, parities, percent), shipped, words, percent))
     final = written(components(links).join(classes.select("class_id", "low"), "class_id"), "components_of_classes")
     least = final.groupBy("component").agg(F.min("low").alias("found"))
     named = final.drop("low").join(least, "component").drop("component")

@@ -80,6 +80,14 @@ def test_hot_grams_are_dealt_over_block_pairs(spark, monkeypatch):
     assert got(df, words=5, percent=80) == brute(rows, 5, 80)
 
 
+@pytest.mark.parametrize("least", [1, 3])
+def test_connecting_round_on_frequent_grams(spark, monkeypatch, least):
+    monkeypatch.setattr(jaccard_join, "FOREST_ROWS", least)
+    rows = corpus(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(df, words=3, percent=90) == brute(rows, 3, 90)
+
+
 def test_repeated_ids_with_two_texts(spark):
     rows = [(k // 2, t) for k, (_, t) in enumerate(corpus(6))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -110,8 +118,24 @@ def test_parity_maps_never_differ_more_than_their_sets():
     for n in (1, 20, 300, 3000):
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         b = np.union1d(a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 63, n // 10, dtype=np.uint64))
-        maps = [np.frombuffer(jaccard_join.parity(s), np.uint64) for s in (a, b)]
-        assert np.bitwise_count(maps[0] ^ maps[1]).sum() <= len(np.setxor1d(a, b))
+        for percent in (50, 80, 90):
+            maps = [jaccard_join.parity(s, percent) for s in (a, b)]
+            words = np.array([len(m) // 8 for m in maps])
+            table = np.frombuffer(b"".join(m.ljust(8 * jaccard_join.PARITY_WORDS, b"\0") for m in maps), np.uint64).reshape(2, -1)
+            assert jaccard_join.differing(table, words, np.array([0]), np.array([1]))[0] <= len(np.setxor1d(a, b))
+
+
+def test_maps_of_two_sizes_differ_as_the_smaller_ones_do():
+    rng = np.random.default_rng(2)
+    long = np.unique(rng.integers(0, 1 << 63, 2000, dtype=np.uint64))
+    short = long[:150]
+    maps = [jaccard_join.parity(s) for s in (long, short)]
+    words = np.array([len(m) // 8 for m in maps])
+    assert words[0] > words[1]
+    table = np.frombuffer(b"".join(m.ljust(8 * jaccard_join.PARITY_WORDS, b"\0") for m in maps), np.uint64).reshape(2, -1)
+    size = 64 * int(words[1])
+    flips = [np.bincount((s >> np.uint64(20)).astype(np.int64) % size, minlength=size) & 1 for s in (long, short)]
+    assert jaccard_join.differing(table, words, np.array([0, 1]), np.array([1, 0])).tolist() == [int((flips[0] ^ flips[1]).sum())] * 2
 
 
 def test_linked_sets_share_required_prefix_grams():
