@@ -59,13 +59,13 @@ BLOCK_GRAMS = 1 << 18
 #: Rows of an n-gram that are compared in one group before they are dealt over pairs of blocks.
 GROUP_ROWS = 4096
 #: Rounds of joining with leaders before all candidate pairs across components are joined.
-ROUNDS = 2
+ROUNDS = 1
 #: Bits of the map of wanted ids; when it fills up, more sets than needed are made.
 MAP_BITS = 1 << 25
 #: 64-bit words of a set's parity map at most, and bits of it per n-gram in which linked sets may differ.
-PARITY_WORDS, PARITY_BITS = 16, 4
+PARITY_WORDS, PARITY_BITS = 16, 16
 #: N-grams with more rows take part in the round that connects components by few pairs.
-FOREST_ROWS = 16
+FOREST_ROWS = 2
 SLICE_ROWS = 256
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
