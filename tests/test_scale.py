@@ -113,3 +113,41 @@ def test_lines_are_not_shuffled_by_customer(spark, sf):
     assert any("c_custkey" in line for line in at)
     depth = {k: next(len(line) - len(line.lstrip(" :+-")) for line in at if k in line.split("Inner")[1]) for k in ("c_custkey", "l_orderkey")}
     assert depth["c_custkey"] > depth["l_orderkey"]
+
+
+
+def test_fold_adds_no_projections(spark, fact):
+    """A nullif in the fold puts a projection of its own, with every column, below the one that reads it."""
+    from quorum.operators import rules
+    steps = [rules.Step(F.col("UF") == uf, F.lit(value), fill) for uf, value, fill in
+             (("MG", "a", False), ("SP", "b", True), ("MG", "c", True), ("SP", "d", False))]
+    df, fold = rules.fold_frame(fact.withColumn("s", F.when(F.col("id") == 1, "x")), steps, F.col("s"))
+    out = df.withColumn("s", fold.final())
+    assert "_common_expr" not in plan(out)
+    assert {r["id"]: r["s"] for r in out.collect()} == {1: "a", 2: "a", 3: None, 4: "d"}
+
+
+def test_fold_equals_the_steps_one_by_one(spark):
+    from itertools import product
+    from quorum.operators import rules
+    rows = [(a, b, c, s) for a, b, c in product((True, False), repeat=3) for s in (None, "", "x")]
+    df = spark.createDataFrame(rows, "a boolean, b boolean, c boolean, s string")
+    for fills in product((True, False), repeat=3):
+        steps = [rules.Step(F.col(m), F.lit(m.upper()), f) for m, f in zip("abc", fills, strict=True)]
+        folded, fold = rules.fold_frame(df, steps, F.col("s"))
+        for r in folded.select("a", "b", "c", "s", fold.final().alias("out"), fold.applied_array().alias("k")).collect():
+            state, applied = r["s"], []
+            for k, (m, f) in enumerate(zip("abc", fills, strict=True), start=1):
+                if r[m] and (not f or not state):
+                    state, applied = m.upper(), [*applied, k]
+            assert (r["out"], r["k"]) == (state, applied), (fills, r)
+
+
+def test_sheets_are_reduced_by_many_tasks(spark, sf):
+    from quorum import survey
+    for sheet in (survey.contract_sheet, survey.edited_sheet, survey.unit_sheet):
+        assert "REPARTITION_BY_COL" in plan(sheet(spark, sf))
+
+
+def test_small_sheets_need_no_key_column(spark, fact, sheet):
+    assert "__fk" not in plan(lookup.contract(fact, sheet)) and "__fk" not in plan(lookup.edited_place(fact, sheet))
