@@ -78,9 +78,16 @@ def class_summary(df: DataFrame, cls: str = "CLASSIFICACAO", score: str = "NOTA
                                  _mean2(q(score)).alias("MEDIA_NOTA_GERAL"))
 
 
+def _hundredths(c: Column) -> Column:
+    return F.rint(c * 100).cast("long")
+
+
+def _mean_of(total: Column, n: Column) -> Column:
+    return tx.round2(total.cast("double") / (F.lit(100.0) * n.cast("double")))
+
+
 def _mean2(c: Column) -> Column:
-    h = F.rint(c * 100).cast("long")
-    return tx.round2(F.sum(h).cast("double") / (F.lit(100.0) * F.count(c).cast("double")))
+    return _mean_of(F.sum(_hundredths(c)), F.count(c))
 
 
 def discard_counts(df: DataFrame, key: str, score: str = "NOTA GERAL") -> DataFrame:
@@ -100,19 +107,21 @@ def discard_counts(df: DataFrame, key: str, score: str = "NOTA GERAL") -> DataFr
 def operator_summary(df: DataFrame, op: str = "OPERADORA", score: str = "NOTA GERAL",
                      combined=None, label: str | None = None) -> DataFrame:
     """AG10: per operator count and mean, plus one combined row for a set of
-    operators (omitted when empty).  Each row is exploded into the groups it
-    belongs to, so the combined row costs no second pass."""
+    operators (omitted when empty).  Rows are counted and summed by operator
+    first; only these totals are exploded into the groups they belong to, so
+    the combined row costs no second pass."""
     from quorum.config.operator import COMBINED_LABEL, COMBINED_OPERATORS
     combined = list(combined or COMBINED_OPERATORS)
     label = label or COMBINED_LABEL
-    c = tx.strip(q(op).cast("string"))
-    s = tx.to_number(q(score))
-    base = (df.select(F.when(~c.isin("", "nan", "None"), c).alias("__op"), s.alias("__s"))
-              .where(F.col("__op").isNotNull() & F.col("__s").isNotNull()))
+    scores = df.select(q(op).cast("string").alias("__raw"), tx.to_number(q(score)).alias("__s")).where(F.col("__s").isNotNull())
+    totals = scores.groupBy("__raw").agg(F.count(F.lit(1)).alias("__n"), F.sum(_hundredths(F.col("__s"))).alias("__h"))
+    c = tx.strip(F.col("__raw"))
+    base = (totals.select(F.when(~c.isin("", "nan", "None"), c).alias("__op"), "__n", "__h")
+                  .where(F.col("__op").isNotNull()))
     groups = F.array(F.col("__op"), F.when(F.col("__op").isin(*combined), F.lit(label)))
-    ex = base.select(F.explode(F.filter(groups, lambda g: g.isNotNull())).alias(op), "__s")
-    return ex.groupBy(op).agg(F.count(F.lit(1)).alias("CONTAGEM"),
-                              _mean2(F.col("__s")).alias("MEDIA_NOTA_GERAL"))
+    ex = base.select(F.explode(F.filter(groups, lambda g: g.isNotNull())).alias(op), "__n", "__h")
+    n = F.sum("__n")
+    return ex.groupBy(op).agg(n.alias("CONTAGEM"), _mean_of(F.sum("__h"), n).alias("MEDIA_NOTA_GERAL"))
 
 
 def conflicts(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -115,6 +115,15 @@ def test_lines_are_not_shuffled_by_customer(spark, sf):
     assert depth["c_custkey"] > depth["l_orderkey"]
 
 
+def test_operator_totals_are_made_before_rows_are_multiplied(spark):
+    from quorum.operators import summary
+    rows = [("PROMED", 1.0), (" PROMED", 2.0), ("HAPVIDA", 4.0), ("CCG", 3.0), ("nan", 5.0), (None, 5.0), ("CCG", None)]
+    out = summary.operator_summary(spark.createDataFrame(rows, "OPERADORA string, `NOTA GERAL` double"))
+    lines = plan(out).splitlines()
+    below = next(k for k, line in enumerate(lines) if "Generate" in line)
+    assert any("HashAggregate" in line for line in lines[below:])
+    assert {r[0]: tuple(r)[1:] for r in out.collect()} == {"PROMED": (2, 1.5), "HAPVIDA": (1, 4.0), "CCG": (1, 3.0), "PROMED + HAPVIDA": (3, 2.33)}
+
 
 def test_fold_adds_no_projections(spark, fact):
     """A nullif in the fold puts a projection of its own, with every column, below the one that reads it."""
@@ -151,3 +160,14 @@ def test_sheets_are_reduced_by_many_tasks(spark, sf):
 
 def test_small_sheets_need_no_key_column(spark, fact, sheet):
     assert "__fk" not in plan(lookup.contract(fact, sheet)) and "__fk" not in plan(lookup.edited_place(fact, sheet))
+
+
+def test_operators_are_normalised_when_rules_read_the_state_or_not(spark):
+    df = spark.createDataFrame([(1, "MG", "casa"), (2, "SP", None), (3, "RS", " pa  contorno")], "id int, UF string, `LOCAL EDITADO` string")
+    df = df.selectExpr("*", "string(null) CLASSIFICACAO", "string(null) CONTRATACAO", "string(null) ESPECIALIDADE")
+    units = spark.createDataFrame([("Casa", " ndi  sp", 1)], "UNIDADE string, OPERA string, _ord long")
+    one = [{"descricao": "r", "valor_operadora": " ccg  b", "filtros": [{"coluna": "UF", "tipo_filtro": "igual", "valor_filtro": "SP"}]}]
+    two = [*one, {"descricao": "s", "valor_operadora": "x", "filtros": [{"coluna": "OPERADORA", "tipo_filtro": "igual", "valor_filtro": " ccg  b"}]}]
+    for rules, second in ((one, "CCG B"), (two, "X")):
+        out = operator_rules.assign_operator(df, units, rules)
+        assert {r["id"]: r["OPERADORA"] for r in out.collect()} == {1: "NDI SP", 2: second, 3: "NDI MG"}
